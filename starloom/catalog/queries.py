@@ -198,7 +198,8 @@ def fact_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nullsafe_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = sample(spark, sf_dir, "events").select("event_id", F.nullif("event_type", F.lit("error")).alias("k"))
-    right = spark.createDataFrame([(None, "none"), ("click", "C")], "rk STRING, v STRING")
+    # Two rows whatever the data: safe to broadcast.
+    right = F.broadcast(spark.createDataFrame([(None, "none"), ("click", "C")], "rk STRING, v STRING"))
     return left.join(right, star.equal_keys(left["k"], right["rk"], null_safe=True)).select("event_id", "v")
 
 
@@ -434,7 +435,8 @@ def snapshot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bi_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = insight.by_day(sample(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice")
+    """The daily sums are stored and also name the days, so the orders are scanned once."""
+    daily = stage(insight.by_day(sample(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice"), "daily")
     return insight.heatmap(daily, star.calendar(daily.select("date_id")))
 
 

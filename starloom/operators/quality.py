@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions.dates import try_date, try_time
 from starloom.specs import WAREHOUSE, ForeignKey, Table
+# Spark's names of the declared types that need no conversion when a column has them already.
+TYPE_NAMES = {"INT": "integer", "BIGINT": "long", "STRING": "string", "BOOLEAN": "boolean", "DATE": "date"}
+
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once. Counts are combined before the shuffle."""
@@ -18,12 +24,25 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row with <column>_nulls for every column, from one scan."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in columns])
+    return df.agg(*[F.expr(f"count_if(`{c}` IS NULL)").alias(f"{c}_nulls") for c in columns])
+
+
+def overflows(df: DataFrame, value: Column, kind: str) -> Column:
+    """True where a number, rounded half up, does not fit a type such as decimal(10,2).
+
+    For doubles this is a comparison with the first value that rounds up to too many digits. It is exact,
+    far cheaper than a cast that fails, and can be pushed to the scan.
+    """
+    if not isinstance(df.select(value).schema[0].dataType, T.DoubleType):
+        return value.isNotNull() & value.try_cast(kind).isNull()
+    precision, scale = (int(n) for n in re.findall(r"\d+", kind))
+    limit = float(Decimal(10) ** (precision - scale) - Decimal(5) * Decimal(10) ** (-scale - 1))
+    return (value >= limit) | (value <= -limit)
 
 
 def numeric_misfits(df: DataFrame, value: Column, kind: str = "decimal(10,2)") -> DataFrame:
     """Rows whose number overflows the declared type."""
-    return df.where(value.isNotNull() & value.try_cast(kind).isNull())
+    return df.where(overflows(df, value, kind))
 
 
 def date_misfits(df: DataFrame, column: str) -> DataFrame:
@@ -55,49 +74,59 @@ def orphan_counts(df: DataFrame, references: Sequence[ForeignKey], dimensions: d
     All references of a row become (column, value) pairs and are counted before the shuffle, so what
     moves is distinct references. One join then answers all columns.
     """
-    by_table = {}
-    for r in references:
-        by_table.setdefault((r.table, r.key), []).append(r.column)
-    pairs = F.array(
-        *[F.struct(F.lit(r.column).alias("column_name"), F.col(r.column).cast("string").alias("value")) for r in references]
-    )
+    pairs = ", ".join(f"struct('{r.column}' AS column_name, string(`{r.column}`) AS value)" for r in references)
     used = (
-        df.select(F.inline(pairs)).where(F.col("value").isNotNull()).groupBy("column_name", "value").agg(
-            F.count(F.lit(1)).alias("n")
-        )
-    )
-    known = reduce(
-        DataFrame.unionByName,
-        [
-            dimensions[table].select(
-                F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"),
-                F.col(key).cast("string").alias("value"),
-            )
-            for (table, key), columns in by_table.items()
-        ],
+        df.selectExpr(f"inline(array({pairs}))")
+        .where("value IS NOT NULL")
+        .groupBy("column_name", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    return used.join(known, ["column_name", "value"], "left_anti")
+    columns = {}
+    for r in references:
+        columns.setdefault((r.table, r.key), []).append(f"'{r.column}'")
+    known = [
+        dimensions[table].selectExpr(f"explode(array({', '.join(names)})) AS column_name", f"string(`{key}`) AS value")
+        for (table, key), names in columns.items()
+    ]
+    return used.join(reduce(DataFrame.unionByName, known), ["column_name", "value"], "left_anti")
+
+
+def same_type(df: DataFrame, column: str, kind: str) -> bool:
+    return df.schema[column].dataType.typeName() == TYPE_NAMES.get(kind)
 
 
-def converted(column: str, kind: str) -> Column:
+def converted(df: DataFrame, column: str, kind: str) -> Column:
     """A column as its warehouse type, NULL where it does not fit."""
+    if same_type(df, column, kind):
+        return F.col(column)
     if kind == "DATE":
-        return try_date(column)
+        return try_date(column).alias(column)
     if kind == "TIME":
-        return try_time(column)
-    return F.col(column).try_cast(kind)
+        return try_time(column).alias(column)
+    if kind.startswith("DECIMAL"):
+        return F.when(~overflows(df, F.col(column), kind), F.col(column).cast(kind)).alias(column)
+    return F.col(column).try_cast(kind).alias(column)
 
 
-def conform(df: DataFrame, spec: Table, time_type: bool = False) -> DataFrame:
+def misfits(df: DataFrame, column: str, kind: str) -> Column:
+    """True where a value does not fit its warehouse type."""
+    if kind.startswith("DECIMAL"):
+        return overflows(df, F.col(column), kind)
+    return F.col(column).isNotNull() & converted(df, column, kind).isNull()
+
+
+def conform(
+    df: DataFrame, spec: Table, columns: Sequence[str] | None = None, time_type: bool = False
+) -> DataFrame:
     """The declared columns in declared types and order; a value that does not fit becomes NULL.
 
     `time_type` turns times from text into TIME(3), for sessions with spark.sql.timeType.enabled.
     """
-    columns = []
-    for c in spec.columns:
-        value = converted(c.name, c.type)
-        columns.append((value.cast("time(3)") if time_type and c.type == "TIME" else value).alias(c.name))
-    return df.select(*columns)
+    kinds = {c.name: c.type for c in spec.columns if columns is None or c.name in columns}
+    ready = df.select(*[converted(df, name, kind) for name, kind in kinds.items()])
+    if time_type:
+        ready = ready.withColumns({n: F.col(n).cast("time(3)") for n, kind in kinds.items() if kind == "TIME"})
+    return ready
 
 
 def violations(df: DataFrame, spec: Table, tables: dict[str, DataFrame]) -> DataFrame:
@@ -106,37 +135,26 @@ def violations(df: DataFrame, spec: Table, tables: dict[str, DataFrame]) -> Data
     not_null and type need one scan together, primary_key one grouping of the key, and foreign_key one
     scan for all references; `tables` holds the referenced dimensions, before conversion too.
     """
-    ready = conform(df, spec)
-    measures = {}
-    for c in spec.columns:
-        if not c.nullable:
-            measures[("not_null", c.name)] = F.col(c.name).isNull()
-        if c.type != "STRING":
-            measures[("type", c.name)] = F.col(c.name).isNotNull() & converted(c.name, c.type).isNull()
-    counted = df.agg(*[F.count_if(m).alias(f"m{i}") for i, m in enumerate(measures.values())])
-    by_column = counted.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(rule).alias("rule"), F.lit(name).alias("column_name"), F.col(f"m{i}").alias("n"))
-                    for i, (rule, name) in enumerate(measures)
-                ]
-            )
-        )
+    rules = [("not_null", name, F.expr(f"count_if(`{name}` IS NULL)")) for name in spec.required]
+    rules += [
+        ("type", c.name, F.count_if(misfits(df, c.name, c.type)))
+        for c in spec.columns
+        if not same_type(df, c.name, c.type)
+    ]
+    labelled = ", ".join(f"'{rule}', '{name}', m{i}" for i, (rule, name, _) in enumerate(rules))
+    found = df.agg(*[count.alias(f"m{i}") for i, (_, _, count) in enumerate(rules)]).selectExpr(
+        f"stack({len(rules)}, {labelled}) AS (rule, column_name, n)"
     )
-    repeated = (
-        duplicate_keys(ready.where(F.col(spec.key).isNotNull()), [spec.key])
+
+    ready = conform(df, spec, [spec.key, *[r.column for r in spec.foreign_keys]])
+    repeated = duplicate_keys(ready.where(f"`{spec.key}` IS NOT NULL"), [spec.key])
+    found = found.unionByName(
+        repeated.groupBy()
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit("primary_key").alias("rule"), F.lit(spec.key).alias("column_name"), "n")
+        .selectExpr("'primary_key' AS rule", f"'{spec.key}' AS column_name", "n")
     )
-    found = by_column.unionByName(repeated)
     if spec.foreign_keys:
-        dimensions = {r.table: conform(tables[r.table], WAREHOUSE[r.table]) for r in spec.foreign_keys}
-        orphans = (
-            orphan_counts(ready, spec.foreign_keys, dimensions)
-            .groupBy("column_name")
-            .agg(F.sum("n").alias("n"))
-            .select(F.lit("foreign_key").alias("rule"), "column_name", "n")
-        )
-        found = found.unionByName(orphans)
-    return found.where(F.col("n") > 0).select(F.lit(spec.name).alias("table_name"), "rule", "column_name", "n")
+        dimensions = {r.table: conform(tables[r.table], WAREHOUSE[r.table], [r.key]) for r in spec.foreign_keys}
+        orphans = orphan_counts(ready, spec.foreign_keys, dimensions).groupBy("column_name").agg(F.sum("n").alias("n"))
+        found = found.unionByName(orphans.selectExpr("'foreign_key' AS rule", "column_name", "n"))
+    return found.where("n > 0").selectExpr(f"'{spec.name}' AS table_name", "rule", "column_name", "n")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.text import JSON_FORMAT, upload_line
-from starloom.storage import exists, log_path, manifest_path
+from starloom.storage import exists, log_path, manifest_path, snapshot_path
 
 # Manifest columns and states.
 MANIFEST = (
@@ -70,24 +70,23 @@ def write_batch(
     spark: SparkSession,
     zone: str,
     batch: str,
-    tables: dict[str, tuple[DataFrame, str]],
+    tables: dict[str, Callable[[], DataFrame]],
     write: Callable[[DataFrame, str, str], None],
     at: datetime,
 ) -> DataFrame:
-    """Write each table -> (DataFrame, path), then the manifest of the batch, and return it.
+    """Build and write every table, several at once, then the manifest of the batch, and return it.
 
     The manifest comes last and makes the batch complete. A complete batch is immutable; what a failed
     attempt left of an incomplete one is replaced.
     """
     require_incomplete(spark, zone, batch)
 
-    def job(name: str, df: DataFrame, path: str) -> Written:
-        rows = write_counted(df, lambda counted: write(counted, path, "overwrite"))
+    def job(name: str, build: Callable[[], DataFrame]) -> Written:
+        path = snapshot_path(zone, batch, name)
+        rows = write_counted(build(), lambda counted: write(counted, path, "overwrite"))
         return Written(batch, name, path, UPLOADED if rows else SKIPPED_EMPTY, rows, at)
 
-    written = each_at_once(
-        spark, [lambda n=n, df=df, path=path: job(n, df, path) for n, (df, path) in tables.items()]
-    )
+    written = each_at_once(spark, [lambda n=n, b=build: job(n, b) for n, build in tables.items()])
     manifest = manifest_of(spark, written)
     manifest.coalesce(1).write.mode("overwrite").json(manifest_path(zone, batch))
     return manifest

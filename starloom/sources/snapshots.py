@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.text import doubled_backslashes
-from starloom.specs import SOURCES
+from starloom.specs import SOURCES, WAREHOUSE
 from starloom.storage import snapshot_path
 
 LAYOUTS = ("lines", "array")
@@ -42,13 +42,19 @@ def read_csv(
 
 
 def read_parquet(
-    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, schema: str | None = None
 ) -> DataFrame:
-    """Parquet with the columns in declared order, the key first."""
-    df = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    """Parquet with the columns in declared order, the key first. A given schema saves reading a footer."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.parquet(*([path] if isinstance(path, str) else path))
     return df.select(*columns) if columns else df
 
 
 def read_landed(spark: SparkSession, zone: str, batch: str, table: str, **options) -> DataFrame:
     """An operational table as landed by one extract."""
     return read_json(spark, snapshot_path(zone, batch, table), SOURCES[table], **options)
+
+
+def read_processed(spark: SparkSession, zone: str, batch: str, table: str) -> DataFrame:
+    """A star-schema table as written by one transform."""
+    return read_parquet(spark, snapshot_path(zone, batch, table), schema=WAREHOUSE[table].processed_ddl)

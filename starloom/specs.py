@@ -5,6 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 
+# Warehouse types whose processed snapshot holds another type.
+PROCESSED_TYPES = {"DATE": "STRING", "TIME": "STRING", "DECIMAL": "DOUBLE"}
+
+
 @dataclass(frozen=True)
 class Column:
     name: str
@@ -37,16 +41,14 @@ class Table:
         return [c.name for c in self.columns]
 
     @property
-    def ddl(self) -> str:
-        return ", ".join(f"{c.name} {c.type}" for c in self.columns)
+    def processed_ddl(self) -> str:
+        """The schema of the processed snapshot, where dates and times are text and prices doubles."""
+        return ", ".join(f"{c.name} {PROCESSED_TYPES.get(c.type.split('(')[0], c.type)}" for c in self.columns)
 
     @property
     def required(self) -> list[str]:
         return [c.name for c in self.columns if not c.nullable]
 
-    def of_type(self, *types: str) -> list[Column]:
-        return [c for c in self.columns if c.type.split("(")[0] in types]
-
 
 def table(name: str, columns: str, references: dict[str, str] | None = None, serial: bool = False) -> Table:
     """`columns` is a DDL list; a trailing ? allows nulls. `references` maps column to dimension."""
