@@ -436,15 +436,16 @@ def snapshot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bi_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily sums are stored and also name the days, so the orders are scanned once."""
-    daily = stage(insight.by_day(sample(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice"), "daily")
+    daily = insight.by_day(sample(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice")
+    daily = stage(daily, scratch_path(spark, "daily"))
     return insight.heatmap(daily, star.calendar(daily.select("date_id")))
 
 
 def bi_star_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimensions are stored first, as in a warehouse, so that the joins know their sizes."""
     orders = sample(spark, sf_dir, "orders").withColumn("counterparty_id", F.col("o_custkey"))
-    dim_dates = stage(star.dim_date(orders, ["o_orderdate"]), "dim-date")
-    places = stage(dim_counterparty(spark, sf_dir), "dim-counterparty")
+    dim_dates = stage(star.dim_date(orders, ["o_orderdate"]), scratch_path(spark, "dim-date"))
+    places = stage(dim_counterparty(spark, sf_dir), scratch_path(spark, "dim-counterparty"))
     return insight.country_years(orders, "o_orderdate", "o_totalprice", dim_dates, places)
 
 

@@ -55,7 +55,7 @@ def moment(column: str | Column) -> Column:
 
 
 def date_text(at: Column) -> Column:
-    return F.date_format(at, DATE_FORMAT)
+    return at.cast("date").cast("string")
 
 
 def time_text(at: Column) -> Column:

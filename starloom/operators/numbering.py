@@ -1,7 +1,8 @@
 """Dense surrogate keys 1..N without a global window.
 
 A `row_number()` over the whole table runs in one task. Here the table is cut into ranges of the order
-column, the ranges are counted on a scan of that one column, and each range is numbered from its offset.
+column, the ranges are counted on a scan of that one column, and each range is sorted by a task of its own
+and numbered from its offset.
 
 Both ways read `df` more than once, so it must stand on an immutable snapshot.
 """
@@ -11,16 +12,18 @@ from __future__ import annotations
 import math
 from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.session import scratch_path, stage
+from starloom.storage import discard
 
 RANGE_ROWS = 250_000
 MAX_RANGES = 65_536
 SKEW_FACTOR = 4
 LONG_SPAN = 2**63 - 1
+POSITION_BITS = 33
 
 
 def with_dense_key(
@@ -29,10 +32,15 @@ def with_dense_key(
     order_by: str,
     range_rows: int = RANGE_ROWS,
     max_ranges: int = MAX_RANGES,
+    scratch: str | None = None,
 ) -> DataFrame:
-    """`df` plus `key` = 1..N in ascending order of `order_by` (nulls last)."""
+    """`df` plus `key` = 1..N in ascending order of `order_by` (nulls last).
+
+    `scratch` is a folder for written tables, if they are needed; whoever names it may discard it once
+    the result has been written.
+    """
     if not isinstance(df.schema[order_by].dataType, T.IntegralType):
-        return _numbered_by_file(df, key, order_by, range_rows, max_ranges)
+        return _numbered_by_file(df, key, order_by, range_rows, max_ranges, scratch)
 
     column = F.col(order_by).cast("long")
     low, high, n = df.agg(F.min(column), F.max(column), F.count(F.lit(1))).first()
@@ -40,31 +48,41 @@ def with_dense_key(
     if low is None:
         low, high = 0, 0
     if high - low > LONG_SPAN:
-        return _numbered_by_file(df, key, order_by, range_rows, max_ranges)
+        return _numbered_by_file(df, key, order_by, range_rows, max_ranges, scratch)
 
     width = (high - low) // ranges + 1
-    bucket = F.coalesce(F.call_function("div", column - F.lit(low), F.lit(width)), F.lit(ranges))
-    # At most max_ranges + 1 rows of two longs come back, whatever the size of the table.
+    bucket = F.coalesce(F.call_function("div", column - F.lit(low), F.lit(width)), F.lit(ranges)).cast("int")
+    # At most max_ranges + 1 rows of two numbers come back, whatever the size of the table.
     sizes = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("n")).orderBy("_bucket").collect()
     if max((r["n"] for r in sizes), default=0) > SKEW_FACTOR * max(range_rows, n // ranges):
-        return _numbered_by_file(df, key, order_by, range_rows, max_ranges)
+        return _numbered_by_file(df, key, order_by, range_rows, max_ranges, scratch)
 
-    starts = accumulate((r["n"] for r in sizes), initial=0)
-    offsets = df.sparkSession.createDataFrame(
-        [(r["_bucket"], start) for r, start in zip(sizes, starts)], "_bucket BIGINT, _start BIGINT"
-    )
-    in_range = Window.partitionBy("_bucket").orderBy(F.col(order_by).asc_nulls_last())
-    return (
+    # One task per range: after the sort, the position within the task is the position within the range.
+    placed = (
         df.withColumn("_bucket", bucket)
-        .repartition(max(1, len(sizes)), "_bucket")
-        .withColumn("_position", F.row_number().over(in_range))
-        .join(F.broadcast(offsets), "_bucket")
-        .select((F.col("_start") + F.col("_position")).alias(key), *df.columns)
+        .repartitionById(ranges + 1, "_bucket")
+        .sortWithinPartitions(F.col(order_by).asc_nulls_last())
+        .withColumn("_place", F.monotonically_increasing_id())
     )
+    return _from_offsets(placed, key, "_bucket", sizes, df.columns)
+
+
+def _from_offsets(placed: DataFrame, key: str, part: str, sizes: list, columns: list[str]) -> DataFrame:
+    """Number rows by the sizes of the parts before theirs, plus their own position `_place` in the part.
+
+    A `_place` is a monotonically_increasing_id(): task in the upper bits, position in the lower 33.
+    The offsets are one row per part, at most MAX_RANGES + 1 of them, so they are safe to broadcast.
+    """
+    starts = accumulate((r["n"] for r in sizes), initial=1)
+    offsets = placed.sparkSession.createDataFrame(
+        [(r[part], start) for r, start in zip(sizes, starts)], f"{part} BIGINT, _start BIGINT"
+    )
+    position = F.col("_place").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    return placed.join(F.broadcast(offsets), part).select((F.col("_start") + position).alias(key), *columns)
 
 
 def _numbered_by_file(
-    df: DataFrame, key: str, order_by: str, range_rows: int, max_ranges: int
+    df: DataFrame, key: str, order_by: str, range_rows: int, max_ranges: int, scratch: str | None
 ) -> DataFrame:
     """For any order column and any skew, at the price of two written tables.
 
@@ -73,33 +91,23 @@ def _numbered_by_file(
     spreads over many tasks. Every sorted task then writes one file that carries its own row positions.
     """
     spark = df.sparkSession
-    staged = stage(df, "numbering-input")
+    folder = scratch_path(spark, "numbering") if scratch is None else f"{scratch}/numbering-{key}"
+    staged = stage(df, f"{folder}/input")
     parts = max(1, min(max_ranges, math.ceil(staged.count() / range_rows)))
     order = [F.col(order_by).asc_nulls_last(), F.col("_file"), F.col("_row")]
-    path = scratch_path(spark, "numbering-sorted")
+    path = f"{folder}/sorted"
     (
         staged.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
         .repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
         .drop("_file", "_row")
         .withColumn("_place", F.monotonically_increasing_id())
-        .write.option("maxRecordsPerFile", 0)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", 0)
         .parquet(path)
     )
-    # monotonically_increasing_id: task number in the upper bits, position within the task in the lower 33.
-    sorted_rows = spark.read.schema(
-        T.StructType(df.schema.fields + [T.StructField("_place", T.LongType())])
-    ).parquet(path)
-    task = F.shiftright("_place", 33)
-    position = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    # One row per written file, at most max_ranges of them.
-    sizes = sorted_rows.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("n")).orderBy("_task").collect()
-    starts = accumulate((r["n"] for r in sizes), initial=1)
-    offsets = spark.createDataFrame(
-        [(r["_task"], start) for r, start in zip(sizes, starts)], "_task BIGINT, _start BIGINT"
-    )
-    return (
-        sorted_rows.withColumn("_task", task)
-        .join(F.broadcast(offsets), "_task")
-        .select((F.col("_start") + position).alias(key), *df.columns)
-    )
+    discard(spark, f"{folder}/input")
+    placed = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_place", T.LongType())])).parquet(path)
+    placed = placed.withColumn("_task", F.shiftright("_place", POSITION_BITS))
+    sizes = placed.groupBy("_task").agg(F.count(F.lit(1)).alias("n")).orderBy("_task").collect()
+    return _from_offsets(placed, key, "_task", sizes, df.columns)

@@ -68,19 +68,29 @@ def orphan_rows(df: DataFrame, column: str, dimension: DataFrame, key: str) -> D
     return df.join(missing, df[column] == missing["_missing"], "left_semi")
 
 
-def orphan_counts(df: DataFrame, references: Sequence[ForeignKey], dimensions: dict[str, DataFrame]) -> DataFrame:
-    """(column_name, value, n) for every missing reference of every column, from one scan of `df`.
+def value_counts(df: DataFrame, kinds: dict[str, str | None]) -> DataFrame:
+    """(column_name, missing, value, n): how often every value of every column occurs.
 
-    All references of a row become (column, value) pairs and are counted before the shuffle, so what
-    moves is distinct references. One join then answers all columns.
+    One grouping per column, each on a scan of that column alone, so values are combined before the
+    shuffle and what moves is distinct values. Values become their declared type after that, then text;
+    a value that does not fit is NULL without being `missing`.
     """
-    pairs = ", ".join(f"struct('{r.column}' AS column_name, string(`{r.column}`) AS value)" for r in references)
-    used = (
-        df.selectExpr(f"inline(array({pairs}))")
-        .where("value IS NOT NULL")
-        .groupBy("column_name", "value")
+    counted = [
+        df.groupBy(c)
         .agg(F.count(F.lit(1)).alias("n"))
-    )
+        .select(
+            F.lit(c).alias("column_name"),
+            F.col(c).isNull().alias("missing"),
+            (converted(df, c, kind) if kind else F.col(c)).cast("string").alias("value"),
+            "n",
+        )
+        for c, kind in kinds.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def known_references(references: Sequence[ForeignKey], dimensions: dict[str, DataFrame]) -> DataFrame:
+    """(column_name, value) for every value that a reference may take."""
     columns = {}
     for r in references:
         columns.setdefault((r.table, r.key), []).append(f"'{r.column}'")
@@ -88,24 +98,33 @@ def orphan_counts(df: DataFrame, references: Sequence[ForeignKey], dimensions: d
         dimensions[table].selectExpr(f"explode(array({', '.join(names)})) AS column_name", f"string(`{key}`) AS value")
         for (table, key), names in columns.items()
     ]
-    return used.join(reduce(DataFrame.unionByName, known), ["column_name", "value"], "left_anti")
+    return reduce(DataFrame.unionByName, known)
+
+
+def orphan_counts(df: DataFrame, references: Sequence[ForeignKey], dimensions: dict[str, DataFrame]) -> DataFrame:
+    """(column_name, value, n) for every missing reference of every column."""
+    used = value_counts(df, {r.column: None for r in references}).where("value IS NOT NULL").drop("missing")
+    return used.join(known_references(references, dimensions), ["column_name", "value"], "left_anti")
 
 
 def same_type(df: DataFrame, column: str, kind: str) -> bool:
     return df.schema[column].dataType.typeName() == TYPE_NAMES.get(kind)
 
 
-def converted(df: DataFrame, column: str, kind: str) -> Column:
-    """A column as its warehouse type, NULL where it does not fit."""
+def converted(df: DataFrame, column: str, kind: str, checked: bool = False) -> Column:
+    """A column as its warehouse type. A value that does not fit becomes NULL, or raises if `checked`."""
+    value = F.col(column)
     if same_type(df, column, kind):
-        return F.col(column)
-    if kind == "DATE":
-        return try_date(column).alias(column)
+        return value
     if kind == "TIME":
-        return try_time(column).alias(column)
+        return value if checked else try_time(column).alias(column)
+    if kind == "DATE":
+        return (F.substring(column, 1, 10).cast("date") if checked else try_date(column)).alias(column)
+    if checked:
+        return value.cast(kind).alias(column)
     if kind.startswith("DECIMAL"):
-        return F.when(~overflows(df, F.col(column), kind), F.col(column).cast(kind)).alias(column)
-    return F.col(column).try_cast(kind).alias(column)
+        return F.when(~overflows(df, value, kind), value.cast(kind)).alias(column)
+    return value.try_cast(kind).alias(column)
 
 
 def misfits(df: DataFrame, column: str, kind: str) -> Column:
@@ -116,14 +135,20 @@ def misfits(df: DataFrame, column: str, kind: str) -> Column:
 
 
 def conform(
-    df: DataFrame, spec: Table, columns: Sequence[str] | None = None, time_type: bool = False
+    df: DataFrame,
+    spec: Table,
+    columns: Sequence[str] | None = None,
+    checked: bool = False,
+    time_type: bool = False,
 ) -> DataFrame:
-    """The declared columns in declared types and order; a value that does not fit becomes NULL.
+    """The declared columns in declared types and order.
 
-    `time_type` turns times from text into TIME(3), for sessions with spark.sql.timeType.enabled.
+    A value that does not fit becomes NULL; for tables that passed their checks, `checked` converts at
+    less cost and raises instead. `time_type` turns times from text into TIME(3), for sessions with
+    spark.sql.timeType.enabled.
     """
     kinds = {c.name: c.type for c in spec.columns if columns is None or c.name in columns}
-    ready = df.select(*[converted(df, name, kind) for name, kind in kinds.items()])
+    ready = df.select(*[converted(df, name, kind, checked) for name, kind in kinds.items()])
     if time_type:
         ready = ready.withColumns({n: F.col(n).cast("time(3)") for n, kind in kinds.items() if kind == "TIME"})
     return ready
@@ -132,29 +157,37 @@ def conform(
 def violations(df: DataFrame, spec: Table, tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, rule, column_name, n) for every broken constraint of one table, before conversion.
 
-    not_null and type need one scan together, primary_key one grouping of the key, and foreign_key one
-    scan for all references; `tables` holds the referenced dimensions, before conversion too.
+    References are judged by their distinct values, which answers not_null, type and foreign_key for them
+    at once. All other columns share one scan, and the primary key has one grouping. `tables` holds the
+    referenced dimensions, before conversion too.
     """
-    rules = [("not_null", name, F.expr(f"count_if(`{name}` IS NULL)")) for name in spec.required]
+    references = {r.column: r for r in spec.foreign_keys}
+    plain = [c for c in spec.columns if c.name not in references]
+    rules = [("not_null", c.name, F.expr(f"count_if(`{c.name}` IS NULL)")) for c in plain if not c.nullable]
     rules += [
-        ("type", c.name, F.count_if(misfits(df, c.name, c.type)))
-        for c in spec.columns
-        if not same_type(df, c.name, c.type)
+        ("type", c.name, F.count_if(misfits(df, c.name, c.type))) for c in plain if not same_type(df, c.name, c.type)
     ]
     labelled = ", ".join(f"'{rule}', '{name}', m{i}" for i, (rule, name, _) in enumerate(rules))
     found = df.agg(*[count.alias(f"m{i}") for i, (_, _, count) in enumerate(rules)]).selectExpr(
         f"stack({len(rules)}, {labelled}) AS (rule, column_name, n)"
     )
 
-    ready = conform(df, spec, [spec.key, *[r.column for r in spec.foreign_keys]])
-    repeated = duplicate_keys(ready.where(f"`{spec.key}` IS NOT NULL"), [spec.key])
-    found = found.unionByName(
-        repeated.groupBy()
-        .agg(F.count(F.lit(1)).alias("n"))
-        .selectExpr("'primary_key' AS rule", f"'{spec.key}' AS column_name", "n")
-    )
-    if spec.foreign_keys:
-        dimensions = {r.table: conform(tables[r.table], WAREHOUSE[r.table], [r.key]) for r in spec.foreign_keys}
-        orphans = orphan_counts(ready, spec.foreign_keys, dimensions).groupBy("column_name").agg(F.sum("n").alias("n"))
-        found = found.unionByName(orphans.selectExpr("'foreign_key' AS rule", "column_name", "n"))
+    keys = conform(df, spec, [spec.key]).where(f"`{spec.key}` IS NOT NULL")
+    repeated = duplicate_keys(keys, [spec.key]).groupBy().agg(F.count(F.lit(1)).alias("n"))
+    found = found.unionByName(repeated.selectExpr("'primary_key' AS rule", f"'{spec.key}' AS column_name", "n"))
+
+    if references:
+        dimensions = {t: conform(tables[t], WAREHOUSE[t], [k]) for t, k in {(r.table, r.key) for r in references.values()}}
+        used = value_counts(df, {c.name: c.type for c in spec.columns if c.name in references})
+        known = known_references(spec.foreign_keys, dimensions).withColumn("known", F.lit(True))
+        # A key that a broken dimension repeats only multiplies rows that are no violations.
+        judged = used.join(known, ["column_name", "value"], "left").selectExpr(
+            "CASE WHEN missing THEN 'not_null' WHEN value IS NULL THEN 'type' WHEN known IS NULL THEN 'foreign_key' END"
+            " AS rule",
+            "column_name",
+            "n",
+        )
+        found = found.unionByName(
+            judged.where("rule IS NOT NULL").groupBy("rule", "column_name").agg(F.sum("n").alias("n"))
+        )
     return found.where("n > 0").selectExpr(f"'{spec.name}' AS table_name", "rule", "column_name", "n")

@@ -97,7 +97,7 @@ def split_moments(df: DataFrame, moments: dict[str, str]) -> DataFrame:
     return df.withColumns(parts)
 
 
-def fact(df: DataFrame, name: str, order_by: str, **numbering: int) -> DataFrame:
+def fact(df: DataFrame, name: str, order_by: str, **numbering) -> DataFrame:
     """A fact table: number the rows, split creation and update times, project the declared columns.
 
     The rows are numbered while their times are still eight bytes each, and turned into text after.
@@ -109,7 +109,7 @@ def fact(df: DataFrame, name: str, order_by: str, **numbering: int) -> DataFrame
     return split_moments(with_dense_key(narrow, spec.key, order_by, **numbering), moments).select(*spec.names)
 
 
-def fact_sales_order(sales_order: DataFrame, **numbering: int) -> DataFrame:
+def fact_sales_order(sales_order: DataFrame, **numbering) -> DataFrame:
     return fact(
         sales_order.withColumn("sales_staff_id", F.col("staff_id")), "fact_sales_order", "sales_order_id", **numbering
     )
@@ -126,9 +126,9 @@ def dim_transaction(transaction: DataFrame) -> DataFrame:
     return transaction.select(*WAREHOUSE["dim_transaction"].names)
 
 
-def fact_purchase_order(purchase_order: DataFrame, **numbering: int) -> DataFrame:
+def fact_purchase_order(purchase_order: DataFrame, **numbering) -> DataFrame:
     return fact(purchase_order, "fact_purchase_order", "purchase_order_id", **numbering)
 
 
-def fact_payment(payment: DataFrame, **numbering: int) -> DataFrame:
+def fact_payment(payment: DataFrame, **numbering) -> DataFrame:
     return fact(payment, "fact_payment", "payment_id", **numbering)

@@ -59,7 +59,7 @@ def extract_batch(
 
 
 def sales_star(
-    sources: dict[str, DataFrame], options: Options = Options()
+    sources: dict[str, DataFrame], options: Options = Options(), scratch: str | None = None
 ) -> dict[str, Callable[[], DataFrame]]:
     """How to build each table of the sales star schema. Numbering a fact runs jobs, hence the callables."""
     orders, address = sources["sales_order"], sources["address"]
@@ -70,7 +70,7 @@ def sales_star(
         "dim_counterparty": lambda: star.dim_counterparty(sources["counterparty"], address, options.null_safe),
         "dim_staff": lambda: star.dim_staff(sources["staff"], sources["department"], options.null_safe),
         "dim_currency": lambda: star.dim_currency(sources["currency"]),
-        "fact_sales_order": lambda: star.fact_sales_order(orders),
+        "fact_sales_order": lambda: star.fact_sales_order(orders, scratch=scratch),
     }
 
 
@@ -87,12 +87,13 @@ def transform_batch(
         n: read_landed(spark, zones.landed, batch, n, layout=options.layout, raw_escapes=options.raw_escapes)
         for n in SALES_SOURCES
     }
-    copy = scratch_path(spark, f"orders-{batch}")
-    landed["sales_order"] = stage(landed["sales_order"], "orders", copy)
+    scratch = scratch_path(spark, f"batch-{batch}")
     try:
-        return write_batch(spark, zones.processed, batch, sales_star(landed, options), write_parquet, at)
+        landed["sales_order"] = stage(landed["sales_order"], f"{scratch}/orders")
+        tables = sales_star(landed, options, scratch)
+        return write_batch(spark, zones.processed, batch, tables, write_parquet, at)
     finally:
-        storage.discard(spark, copy)
+        storage.discard(spark, scratch)
 
 
 def check_batch(spark: SparkSession, zones: Zones, batch: str, names: Iterable[str] = SALES_NAMES) -> DataFrame:
@@ -117,7 +118,7 @@ def load_batch(
 
     def replace(name: str) -> None:
         df = read_processed(spark, zones.processed, batch, name)
-        warehouse.replace(name, quality.conform(df, WAREHOUSE[name], time_type=time_type))
+        warehouse.replace(name, quality.conform(df, WAREHOUSE[name], checked=True, time_type=time_type))
 
     facts = [n for n in SALES_NAMES if WAREHOUSE[n].foreign_keys]
     each_at_once(spark, [lambda n=n: replace(n) for n in SALES_NAMES if n not in facts])

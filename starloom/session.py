@@ -45,13 +45,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
-    """Write `df` once to the shared scratch folder and read it back.
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write `df` once to a folder that all executors share and read it back.
 
-    Cuts the lineage in a way that outlives lost executors, and gives Catalyst real file sizes,
-    so that its own size check decides whether a later join may broadcast the table.
+    Cuts the lineage in a way that outlives lost executors, and gives Catalyst real file sizes, so that
+    its own size check decides whether a later join may broadcast the table.
     """
-    spark = df.sparkSession
-    path = path or scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -61,7 +61,7 @@ def test_whole_batch(spark, zones, target):
     assert str(fact[0].created_date) == "2022-11-03" and fact[0].created_time == "14:20:52.186"
     assert [str(r.date_id) for r in target.table("dim_date").orderBy("date_id").collect()] == [d for d, *_ in golden.DATES]
     after = set(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(scratch_root(spark)).inputFiles())
-    assert not [f for f in after - before if "orders-" in f]
+    assert not [f for f in after - before if "batch-" in f]
 
 
 def test_processed_schema_is_the_declared_one(spark, zones):

@@ -93,9 +93,8 @@ def test_any_ids(spark, ids, rows):
     check(frame(spark, ids), "id", range_rows=rows)
 
 
-def test_no_single_task_window(spark):
-    """The window is partitioned by range; nothing is gathered in one partition."""
+def test_one_task_per_range_and_no_window(spark):
     df = spark.range(0, 5000).select("id", (F.col("id") * 2).alias("v"))
     plan = with_dense_key(df, "n", "id", range_rows=500)._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan
-    assert "hashpartitioning(_bucket" in plan
+    assert "SinglePartition" not in plan and "Window" not in plan
+    assert "shufflepartitionidpassthrough" in plan
