@@ -8,17 +8,17 @@ UNION SELECT CAST(o_orderdate AS DATE) + 7 FROM orders UNION SELECT CAST(o_order
 SALES_ORDERS = """
 SELECT CAST(o_orderkey AS INT) sales_order_id, o_orderdate + INTERVAL '9 hours 30 minutes 15.123456 seconds' created_at,
  o_orderdate + INTERVAL '1 day 10 hours 0.5 seconds' last_updated, CAST(o_orderkey % 100 AS INT) design_id,
- CAST(o_custkey % 25 AS INT) staff_id, CAST(o_custkey AS INT) counterparty_id,
+ CAST(o_custkey % 10 AS INT) staff_id, CAST(o_custkey AS INT) counterparty_id,
  CAST(o_orderkey % 1000 AS INT) units_sold, o_totalprice unit_price, CAST(o_custkey % 3 AS INT) currency_id,
  CAST(o_orderdate AS DATE) + 7 agreed_delivery_date, CAST(o_orderdate AS DATE) + 30 agreed_payment_date,
- CAST(o_orderkey % 25 AS INT) agreed_delivery_location_id
+ CAST(o_custkey AS INT) agreed_delivery_location_id
 FROM orders
 """
 
 STAR_COUNTS = """
-SELECT 'dim_design' table_name, count(*) n FROM part UNION ALL SELECT 'dim_location', count(*) FROM nation
-UNION ALL SELECT 'dim_counterparty', count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey
-UNION ALL SELECT 'dim_staff', count(*) FROM nation JOIN region ON n_regionkey = r_regionkey
+SELECT 'dim_design' table_name, count(*) n FROM part UNION ALL SELECT 'dim_location', count(*) FROM customer
+UNION ALL SELECT 'dim_counterparty', count(*) FROM customer c JOIN customer a ON c.c_custkey // 2 = a.c_custkey
+UNION ALL SELECT 'dim_staff', count(*) FROM supplier JOIN region ON s_nationkey % 5 = r_regionkey
 UNION ALL SELECT 'dim_currency', count(*) FROM region WHERE r_regionkey < 3
 """
 
@@ -75,22 +75,24 @@ SELECT o_orderpriority, CAST(min(record_id) AS BIGINT) first_id, CAST(max(record
  CAST(count(DISTINCT record_id) AS BIGINT) n_ids FROM k GROUP BY o_orderpriority
 """,
     "star_dim_counterparty": """
-SELECT CAST(c_custkey AS INT) counterparty_id, c_name counterparty_legal_name,
- '1 ' || n_name counterparty_legal_address_line_1, CAST(NULL AS VARCHAR) counterparty_legal_address_line_2,
- CASE WHEN n_nationkey % 2 = 0 THEN n_name END counterparty_legal_district,
- 'City of ' || n_name counterparty_legal_city, lpad(CAST(n_nationkey AS VARCHAR), 5, '0') counterparty_legal_postal_code,
- n_name counterparty_legal_country, '0000 000000' counterparty_legal_phone_number
-FROM customer JOIN nation ON c_nationkey = n_nationkey
+SELECT CAST(c.c_custkey AS INT) counterparty_id, c.c_name counterparty_legal_name,
+ '1 ' || a.c_name counterparty_legal_address_line_1, CAST(NULL AS VARCHAR) counterparty_legal_address_line_2,
+ CASE WHEN a.c_custkey % 2 = 0 THEN a.c_mktsegment END counterparty_legal_district,
+ 'City ' || CAST(a.c_nationkey AS VARCHAR) counterparty_legal_city,
+ lpad(CAST(a.c_custkey AS VARCHAR), 9, '0') counterparty_legal_postal_code,
+ 'Country ' || CAST(a.c_nationkey AS VARCHAR) counterparty_legal_country, '0000 000000' counterparty_legal_phone_number
+FROM customer c JOIN customer a ON c.c_custkey // 2 = a.c_custkey
 """,
     "star_dim_staff": """
-SELECT n_nationkey staff_id, n_name first_name, 'Smith' last_name, r_name department_name,
- 'House ' || r_name "location", lower(n_name) || '@example.com' email_address
-FROM nation JOIN region ON n_regionkey = r_regionkey
+SELECT CAST(s_suppkey AS INT) staff_id, s_name first_name, 'Smith' last_name, r_name department_name,
+ 'House ' || r_name "location", lower(s_name) || '@example.com' email_address
+FROM supplier JOIN region ON s_nationkey % 5 = r_regionkey
 """,
     "star_dim_location": """
-SELECT n_nationkey location_id, '1 ' || n_name address_line_1, CAST(NULL AS VARCHAR) address_line_2,
- CASE WHEN n_nationkey % 2 = 0 THEN n_name END district, 'City of ' || n_name city,
- lpad(CAST(n_nationkey AS VARCHAR), 5, '0') postal_code, n_name country, '0000 000000' phone FROM nation
+SELECT CAST(c_custkey AS INT) location_id, '1 ' || c_name address_line_1, CAST(NULL AS VARCHAR) address_line_2,
+ CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END district, 'City ' || CAST(c_nationkey AS VARCHAR) city,
+ lpad(CAST(c_custkey AS VARCHAR), 9, '0') postal_code, 'Country ' || CAST(c_nationkey AS VARCHAR) country,
+ '0000 000000' phone FROM customer
 """,
     "dim_payment_type": """
 SELECT CAST(row_number() OVER (ORDER BY p) AS BIGINT) payment_type_id, p payment_type_name
@@ -144,7 +146,7 @@ SELECT o_orderkey, '{"o_orderkey":' || o_orderkey || ',"status":'
 SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') created_at, event_type, value FROM events
 """,
     "json_array_scan": """
-SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
+SELECT 'order' kind, o_orderkey id FROM orders UNION ALL SELECT 'customer', o_custkey FROM orders
 """,
     "json_escapes": """
 SELECT p_partkey design_id, '/usr/' || p_type file_location, 'proper' reading FROM part
@@ -167,9 +169,10 @@ UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'events', count
 SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 10
 """,
     "manifest_lines": """
-SELECT table_name, CASE WHEN n = 0 THEN 'skipped_empty' ELSE 'uploaded' END status,
+SELECT table_name, CASE WHEN n = 0 THEN 'skipped_empty' ELSE 'uploaded' END status, CAST(n AS BIGINT) row_count,
  'Uploaded: data/20240101_000000/' || table_name || '.json at 2024-01-01 00:00:00' line
-FROM (SELECT 'region' table_name, count(*) n FROM region UNION ALL SELECT 'empty', count(*) FROM region WHERE false)
+FROM (SELECT 'region' table_name, count(*) n FROM region UNION ALL SELECT 'empty', count(*) FROM region WHERE false
+ UNION ALL SELECT 'orders', count(*) FROM orders)
 """,
     "batch_status": """
 SELECT event_type, bool_and(value > 1) all_ok,

@@ -244,14 +244,14 @@ def json_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A snapshot whose lines are arrays of up to 500 records."""
+    """A snapshot whose lines are arrays of two records."""
     path = scratch_path(spark, "orders-arrays")
-    orders = sample(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    arrays = orders.groupBy(F.call_function("div", "o_orderkey", F.lit(500))).agg(
-        F.to_json(F.collect_list(F.struct(*orders.columns))).alias("value")
+    pair = F.array(
+        F.struct(F.lit("order").alias("kind"), F.col("o_orderkey").alias("id")),
+        F.struct(F.lit("customer").alias("kind"), F.col("o_custkey").alias("id")),
     )
-    arrays.select("value").write.text(path)
-    return source.read_json(spark, path, "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING")
+    sample(spark, sf_dir, "orders").select(F.to_json(pair).alias("value")).write.text(path)
+    return source.read_json(spark, path, "kind STRING, id BIGINT")
 
 
 def json_escapes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,13 +302,12 @@ def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = sample(spark, sf_dir, "region")
+    tables = {"region": region, "empty": region.where("false"), "orders": sample(spark, sf_dir, "orders")}
     batch, zone = batch_id(AT), scratch_path(spark, "landed")
-    manifest = extract_batch(
-        spark, FrameSource({"region": region, "empty": region.where("false")}), Zones(zone, zone), batch, AT
-    )
+    manifest = extract_batch(spark, FrameSource(tables), Zones(zone, zone), batch, AT)
     key = F.format_string("data/%s/%s.json", "batch_id", "table_name")
     line = text.upload_line(key, F.date_format("written_at", "yyyy-MM-dd HH:mm:ss"))
-    return manifest.select("table_name", "status", line.alias("line"))
+    return manifest.select("table_name", "status", "row_count", line.alias("line"))
 
 
 def batch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -384,7 +383,7 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 11 == 0, "25:00:00.000").otherwise("09:30:00.000").alias("created_time"),
         F.when(key % 13 != 0, day).alias("last_updated_date"),
         F.lit("10:00:00.000").alias("last_updated_time"),
-        as_int(key % 30).alias("sales_staff_id"),
+        as_int(F.when(key % 30 >= 25, -1).otherwise(key % 10)).alias("sales_staff_id"),
         as_int("o_custkey").alias("counterparty_id"),
         as_int(key % 1000).alias("units_sold"),
         (F.col("o_totalprice") * 1000).alias("unit_price"),
@@ -392,7 +391,7 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_int(key % 100).alias("design_id"),
         F.when(key % 7 == 0, "2024-13-01").otherwise(day).alias("agreed_payment_date"),
         day.alias("agreed_delivery_date"),
-        as_int(key % 25).alias("agreed_delivery_location_id"),
+        as_int("o_custkey").alias("agreed_delivery_location_id"),
     )
     dimensions = {
         "dim_date": star.dim_date(orders, ["o_orderdate"]),

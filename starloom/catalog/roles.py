@@ -1,6 +1,6 @@
 """The sample tables in the role of the operational tables.
 
-Orders play the sales orders, customers the counterparties, parts the designs, nations the addresses and
+Orders play the sales orders, customers the counterparties and the addresses, parts the designs, suppliers
 the staff, regions the departments and (the first three) the currencies.
 """
 
@@ -26,7 +26,7 @@ def stamped(df: DataFrame, *columns: Column) -> DataFrame:
 
 
 def operational(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    nation, region = sample(spark, sf_dir, "nation"), sample(spark, sf_dir, "region")
+    customer, region = sample(spark, sf_dir, "customer"), sample(spark, sf_dir, "region")
     code = F.element_at(F.array(*[F.lit(c) for c in CURRENCY_CODES]), F.col("r_regionkey") + 1)
     return {
         "sales_order": sales_order(sample(spark, sf_dir, "orders")),
@@ -38,31 +38,31 @@ def operational(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.concat("p_brand", F.lit(".json")).alias("file_name"),
         ),
         "address": stamped(
-            nation,
-            F.col("n_nationkey").alias("address_id"),
-            F.concat(F.lit("1 "), "n_name").alias("address_line_1"),
+            customer,
+            as_int("c_custkey").alias("address_id"),
+            F.concat(F.lit("1 "), "c_name").alias("address_line_1"),
             F.lit(None).cast("string").alias("address_line_2"),
-            F.when(F.col("n_nationkey") % 2 == 0, F.col("n_name")).alias("district"),
-            F.concat(F.lit("City of "), "n_name").alias("city"),
-            F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("postal_code"),
-            F.col("n_name").alias("country"),
+            F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("district"),
+            F.format_string("City %d", "c_nationkey").alias("city"),
+            F.lpad(F.col("c_custkey").cast("string"), 9, "0").alias("postal_code"),
+            F.format_string("Country %d", "c_nationkey").alias("country"),
             F.lit("0000 000000").alias("phone"),
         ),
         "counterparty": stamped(
-            sample(spark, sf_dir, "customer"),
+            customer,
             as_int("c_custkey").alias("counterparty_id"),
             F.col("c_name").alias("counterparty_legal_name"),
-            F.col("c_nationkey").alias("legal_address_id"),
+            as_int(F.floor(F.col("c_custkey") / 2)).alias("legal_address_id"),
             F.col("c_mktsegment").alias("commercial_contact"),
             F.col("c_mktsegment").alias("delivery_contact"),
         ),
         "staff": stamped(
-            nation,
-            F.col("n_nationkey").alias("staff_id"),
-            F.col("n_name").alias("first_name"),
+            sample(spark, sf_dir, "supplier"),
+            as_int("s_suppkey").alias("staff_id"),
+            F.col("s_name").alias("first_name"),
             F.lit("Smith").alias("last_name"),
-            F.col("n_regionkey").alias("department_id"),
-            F.concat(F.lower("n_name"), F.lit("@example.com")).alias("email_address"),
+            (F.col("s_nationkey") % 5).alias("department_id"),
+            F.concat(F.lower("s_name"), F.lit("@example.com")).alias("email_address"),
         ),
         "department": stamped(
             region,
@@ -86,14 +86,14 @@ def sales_order(orders: DataFrame) -> DataFrame:
         (at + F.expr("INTERVAL '09:30:15.123456' HOUR TO SECOND")).alias("created_at"),
         (at + F.expr("INTERVAL '1 10:00:00.5' DAY TO SECOND")).alias("last_updated"),
         as_int(key % 100).alias("design_id"),
-        as_int(customer % 25).alias("staff_id"),
+        as_int(customer % 10).alias("staff_id"),
         as_int(customer).alias("counterparty_id"),
         as_int(key % 1000).alias("units_sold"),
         F.col("o_totalprice").alias("unit_price"),
         as_int(customer % 3).alias("currency_id"),
         F.date_format(at + F.expr("INTERVAL '7' DAY"), "yyyy-MM-dd").alias("agreed_delivery_date"),
         F.date_format(at + F.expr("INTERVAL '30' DAY"), "yyyy-MM-dd").alias("agreed_payment_date"),
-        as_int(key % 25).alias("agreed_delivery_location_id"),
+        as_int(customer).alias("agreed_delivery_location_id"),
     )
 
 
