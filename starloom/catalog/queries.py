@@ -393,7 +393,8 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         day.alias("agreed_delivery_date"),
         as_int("o_custkey").alias("agreed_delivery_location_id"),
     )
-    dimensions = {
+    star_tables = {
+        "fact_sales_order": fact,
         "dim_date": star.dim_date(orders, ["o_orderdate"]),
         "dim_design": star.dim_design(tables["design"].where("design_id < 90")),
         "dim_location": star.dim_location(tables["address"]),
@@ -401,7 +402,7 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dim_staff": star.dim_staff(tables["staff"], tables["department"]),
         "dim_currency": star.dim_currency(tables["currency"]),
     }
-    return quality.violations(fact, WAREHOUSE["fact_sales_order"], dimensions)
+    return quality.violations(star_tables, ["fact_sales_order"])
 
 
 # Whole batches

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from starloom.session import scratch_path, stage
 from starloom.storage import discard
 
-RANGE_ROWS = 250_000
+RANGE_ROWS = 500_000
 MAX_RANGES = 65_536
 SKEW_FACTOR = 4
 LONG_SPAN = 2**63 - 1

@@ -154,8 +154,8 @@ def conform(
     return ready
 
 
-def violations(df: DataFrame, spec: Table, tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, rule, column_name, n) for every broken constraint of one table, before conversion.
+def findings(df: DataFrame, spec: Table, tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, rule, column_name, n), to be summed, for the broken constraints of one table.
 
     References are judged by their distinct values, which answers not_null, type and foreign_key for them
     at once. All other columns share one scan, and the primary key has one grouping. `tables` holds the
@@ -173,8 +173,8 @@ def violations(df: DataFrame, spec: Table, tables: dict[str, DataFrame]) -> Data
     )
 
     keys = conform(df, spec, [spec.key]).where(f"`{spec.key}` IS NOT NULL")
-    repeated = duplicate_keys(keys, [spec.key]).groupBy().agg(F.count(F.lit(1)).alias("n"))
-    found = found.unionByName(repeated.selectExpr("'primary_key' AS rule", f"'{spec.key}' AS column_name", "n"))
+    repeated = duplicate_keys(keys, [spec.key])
+    found = found.unionByName(repeated.selectExpr("'primary_key' AS rule", f"'{spec.key}' AS column_name", "1L AS n"))
 
     if references:
         dimensions = {t: conform(tables[t], WAREHOUSE[t], [k]) for t, k in {(r.table, r.key) for r in references.values()}}
@@ -187,7 +187,14 @@ def violations(df: DataFrame, spec: Table, tables: dict[str, DataFrame]) -> Data
             "column_name",
             "n",
         )
-        found = found.unionByName(
-            judged.where("rule IS NOT NULL").groupBy("rule", "column_name").agg(F.sum("n").alias("n"))
-        )
-    return found.where("n > 0").selectExpr(f"'{spec.name}' AS table_name", "rule", "column_name", "n")
+        found = found.unionByName(judged.where("rule IS NOT NULL"))
+    return found.selectExpr(f"'{spec.name}' AS table_name", "rule", "column_name", "n")
+
+
+def violations(tables: dict[str, DataFrame], names: Sequence[str] | None = None) -> DataFrame:
+    """(table_name, rule, column_name, n) for every broken constraint of the named warehouse tables.
+
+    `tables` holds them and the dimensions they refer to, all before conversion.
+    """
+    found = reduce(DataFrame.unionByName, [findings(tables[n], WAREHOUSE[n], tables) for n in names or tables])
+    return found.groupBy("table_name", "rule", "column_name").agg(F.sum("n").alias("n")).where("n > 0")

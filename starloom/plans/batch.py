@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -98,10 +97,7 @@ def transform_batch(
 
 def check_batch(spark: SparkSession, zones: Zones, batch: str, names: Iterable[str] = SALES_NAMES) -> DataFrame:
     """Every broken constraint of a processed batch: (table_name, rule, column_name, n)."""
-    tables = {n: read_processed(spark, zones.processed, batch, n) for n in names}
-    return reduce(
-        DataFrame.unionByName, [quality.violations(df, WAREHOUSE[n], tables) for n, df in tables.items()]
-    )
+    return quality.violations({n: read_processed(spark, zones.processed, batch, n) for n in names})
 
 
 def load_batch(

@@ -21,7 +21,7 @@ MANIFEST = (
 UPLOADED = "uploaded"
 SKIPPED_EMPTY = "skipped_empty"
 
-JOBS_AT_ONCE = 4
+JOBS_AT_ONCE = 8
 
 
 @dataclass(frozen=True)

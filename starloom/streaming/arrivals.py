@@ -28,20 +28,18 @@ def arrivals(spark: SparkSession, zone: str) -> DataFrame:
 def on_arrival(
     spark: SparkSession,
     zone: str,
-    handle: Callable[[str], None],
+    handle: Callable[[list[str]], None],
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Call `handle` with every batch id that lands in `zone`, oldest first.
+    """Call `handle` with the ids of the batches that landed in `zone` since the last trigger, oldest first.
 
-    `handle` must accept a batch it has seen before: after a failure the last trigger is repeated.
+    `handle` must accept batches it has seen before: after a failure the last trigger is repeated.
     """
 
     def each(manifests: DataFrame, _epoch: int) -> None:
         # One manifest file is one batch, so this is at most BATCHES_PER_TRIGGER ids.
-        ids = [r.batch_id for r in manifests.select("batch_id").distinct().collect()]
-        for batch in sorted(ids):
-            handle(batch)
+        handle(sorted(r.batch_id for r in manifests.select("batch_id").distinct().collect()))
 
     return (
         arrivals(spark, zone)
@@ -60,9 +58,10 @@ def transform_arrivals(
     clock: Callable[[], datetime] = datetime.now,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    def handle(batch: str) -> None:
-        if not is_complete(spark, zones.processed, batch):
-            transform_batch(spark, zones, batch, clock(), options)
+    def handle(batches: list[str]) -> None:
+        for batch in batches:
+            if not is_complete(spark, zones.processed, batch):
+                transform_batch(spark, zones, batch, clock(), options)
 
     storage.make_dir(spark, storage.manifest_path(zones.landed, ""))
     return on_arrival(spark, zones.landed, handle, checkpoint, trigger)
@@ -71,8 +70,14 @@ def transform_arrivals(
 def load_arrivals(
     spark: SparkSession, zones: Zones, warehouse: Warehouse, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Refresh the warehouse from every processed batch, oldest first; repeating a refresh is harmless."""
+    """Refresh the warehouse from the newest processed batch; each refresh replaces all there is.
+
+    Repeating a refresh is harmless.
+    """
+
+    def handle(batches: list[str]) -> None:
+        if batches:
+            load_batch(spark, zones, batches[-1], warehouse)
+
     storage.make_dir(spark, storage.manifest_path(zones.processed, ""))
-    return on_arrival(
-        spark, zones.processed, lambda batch: load_batch(spark, zones, batch, warehouse), checkpoint, trigger
-    )
+    return on_arrival(spark, zones.processed, handle, checkpoint, trigger)

@@ -26,7 +26,7 @@ def star_of(spark, **changes):
 
 
 def found(tables, name):
-    rows = quality.violations(tables[name], WAREHOUSE[name], tables).collect()
+    rows = quality.violations(tables, [name]).collect()
     return sorted((r.rule, r.column_name, r.n) for r in rows)
 
 
