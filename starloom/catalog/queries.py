@@ -94,7 +94,9 @@ def dim_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("").alias("email_address"),
     )
     department = sample(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("department_id"), F.col("n_name").alias("department_name"), F.lit("").alias("location")
+        F.col("n_nationkey").alias("department_id"),
+        F.col("n_name").alias("department_name"),
+        F.lit("").alias("location"),
     )
     return star.dim_staff(staff, department).select("staff_id", "first_name", "department_name")
 

@@ -75,7 +75,10 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, n) per table."""
     return reduce(
         DataFrame.unionByName,
-        [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in tables.items()],
+        [
+            df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), "n")
+            for name, df in tables.items()
+        ],
     )
 
 

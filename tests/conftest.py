@@ -14,7 +14,8 @@ def spark(tmp_path_factory):
         "starloom-tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("catalog")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
