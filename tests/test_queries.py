@@ -2,6 +2,8 @@ import pytest
 from compare import differences, views
 
 import __spark_entry__ as entry
+from starloom.catalog.oracles import ORACLES
+from starloom.catalog.queries import QUERIES
 
 SF = "sf0.001"
 
@@ -12,12 +14,13 @@ def con():
 
 
 def test_every_query_has_a_statement():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_statement(spark, con, name):
-    assert differences(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF) is None
+    assert differences(spark, con, name, QUERIES[name], ORACLES[name], SF) is None
 
 
 def test_entry(spark):
