@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import mixing, rules, sharding
+from starloom.llm import decontaminate, language, mixing, rules, sharding
 from starloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.apply_rules(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -36,7 +44,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op5_quality_rules, op9_mixing, op10_sharding)
+    f.__name__: f
+    for f in (op1_language_id, op3_decontamination, op5_quality_rules, op9_mixing, op10_sharding)
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
