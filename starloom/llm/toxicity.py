@@ -22,7 +22,9 @@ from starloom.llm.common import bounded, held_out, settle, words_of
 FOLDS, FOLD = 4, 2
 THRESHOLD = 0.3
 #: Labelled documents that word parts are learned from at most, those with the smallest hashes of their ids.
-TRAIN_ROWS = 60_000
+TRAIN_ROWS = 20_000
+#: Distinct tokens that a task remembers at once.
+KNOWN = 1 << 19
 #: A part must occur in this share of the toxic documents of a half of the sample, and in so many.
 MIN_SHARE, MIN_DOCS = 0.02, 3
 #: Log-odds that the other half must give it.
@@ -145,18 +147,21 @@ def restored(token: str, model: np.ndarray) -> str:
     return decode(word, model) if disguised(word) else word
 
 
-def tokens_of(text: str) -> Iterator[str]:
+def tokens_of(text: str) -> set[str]:
     """Lower-cased tokens of a text, and what three or more single characters in a row spell together."""
     tokens = text.lower().split()
-    yield from set(tokens)
-    run: list[str] = []
-    for i, token in enumerate([*tokens, "  "]):
-        if len(token) == 1 and (token.isalpha() or token in LEET):
-            run.append(token)
-            continue
-        if len(run) > 2 and len(set(run)) > 1:
-            yield "".join(run)
-        run.clear()
+    found = set(tokens)
+    singles = [i for i, token in enumerate(tokens) if len(token) == 1]
+    if len(singles) > 2:
+        run: list[int] = []
+        for i in [*singles, -2]:
+            if run and i != run[-1] + 1:
+                letters = [tokens[k] for k in run]
+                if len(run) > 2 and len(set(letters)) > 1:
+                    found.add("".join(letters))
+                run = []
+            run.append(i)
+    return found
 
 
 def parts_of(word: str) -> set[str]:
@@ -167,16 +172,26 @@ def parts_of(word: str) -> set[str]:
     return parts
 
 
-def _bounded_cache(make: Callable[[str], object], size: int = 1 << 18) -> Callable[[str], object]:
-    known: dict[str, object] = {}
-
-    def get(token: str) -> object:
-        value = known.get(token)
-        if value is None:
-            if len(known) >= size:
-                known.clear()
-            value = known[token] = make(token)
-        return value
+def _telling(make: Callable[[str], frozenset[str]]) -> Callable[[set[str]], Iterator[frozenset[str]]]:
+    """A function that yields what `make` gives for each of some tokens, unless that is empty. Tokens known to give
+    nothing, most of all, are dropped at once; what is known is bounded in number."""
+    nothing: set[str] = set()
+    known: dict[str, frozenset[str]] = {}
+
+    def get(tokens: set[str]) -> Iterator[frozenset[str]]:
+        if len(nothing) > KNOWN:
+            nothing.clear()
+        if len(known) > KNOWN:
+            known.clear()
+        for token in tokens - nothing:
+            value = known.get(token)
+            if value is None:
+                value = make(token)
+                if not value:
+                    nothing.add(token)
+                    continue
+                known[token] = value
+            yield value
 
     return get
 
@@ -191,6 +206,10 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int
     return texts.join(bounded(chosen, rows), "doc_id")
 
 
+def _hash_function(k: int) -> Callable[[Column], Column]:
+    return lambda run: F.xxhash64(run, F.lit(k))
+
+
 def families(texts: DataFrame) -> DataFrame:
     """One text of each family of copies: those that share the least hash of their runs of five words under one of
     some hash functions, as copies do, and near copies almost surely."""
@@ -201,7 +220,7 @@ def families(texts: DataFrame) -> DataFrame:
     )
     keyed = hashed.select("doc_id", "_label", runs.alias("runs"))
     keys = [f"key{k}" for k in range(SKETCHES)]
-    least = [F.array_min(F.transform("runs", lambda r, k=k: F.xxhash64(r, F.lit(k)))) for k in range(SKETCHES)]
+    least = [F.array_min(F.transform("runs", _hash_function(k))) for k in range(SKETCHES)]
     kept = settle(keyed.select("doc_id", "_label", *[m.alias(key) for m, key in zip(least, keys, strict=True)]))
     for key in keys:
         row = F.struct(F.xxhash64("doc_id"), "doc_id", "_label", *keys)
@@ -245,12 +264,13 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[float,
         return prior, {}
     shared = spark.sparkContext.broadcast(model)
 
-    def make_cache() -> Callable[[str], object]:
+    def parts_among(wanted: frozenset[str] | None) -> Callable[[set[str]], Iterator[frozenset[str]]]:
         def parts(token: str) -> frozenset[str]:
             word = restored(token, shared.value)
-            return frozenset(parts_of(word)) if word else frozenset()
+            found = parts_of(word) if word else set()
+            return frozenset(found if wanted is None else found & wanted)
 
-        return _bounded_cache(parts, 1 << 16)
+        return _telling(parts)
 
     def counter(wanted) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
         def rows(counts: Counter) -> pd.DataFrame:
@@ -258,11 +278,10 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[float,
             return pd.DataFrame(listed, columns=["half", "part", "n"])
 
         def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            cache, counts = make_cache(), Counter()
+            telling, counts = parts_among(wanted.value if wanted else None), Counter()
             for batch in batches:
                 for half, text in zip(batch["half"].tolist(), batch["text"], strict=True):
-                    found = set().union(*(cache(t) for t in tokens_of(text)))
-                    counts.update((half, p) for p in (found if wanted is None else found & wanted.value))
+                    counts.update((half, p) for p in set().union(*telling(tokens_of(text))))
                 if len(counts) > 1 << 20:
                     yield rows(counts)
                     counts.clear()
@@ -288,12 +307,11 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[float,
     )
 
     def list_precise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache = make_cache()
+        telling = [parts_among(sharp.value[half]) for half in (0, 1)]
         for batch in batches:
             rows = []
             for half, text in zip(batch["half"].tolist(), batch["text"], strict=True):
-                words = (sorted(cache(token) & sharp.value[half]) for token in tokens_of(text))
-                rows += [(half, parts) for parts in words if parts]
+                rows += [(half, sorted(parts)) for parts in telling[half](tokens_of(text))]
             if rows:
                 yield pd.DataFrame(rows, columns=["half", "parts"])
 
@@ -323,21 +341,17 @@ def score(docs: DataFrame, model: np.ndarray, prior: float, weights: dict[str, f
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, weights = shared.value
 
-        def told(token: str) -> tuple[frozenset[str], str]:
+        def told(token: str) -> frozenset[tuple[str, str]]:
             word = restored(token, model)
-            return frozenset(p for p in parts_of(word) if p in weights) if word else frozenset(), word
+            return frozenset((p, word) for p in parts_of(word) if p in weights) if word else frozenset()
 
-        cache = _bounded_cache(told)
+        telling = _telling(told)
         for batch in batches:
             scores, words = [], []
             for text in batch["text"]:
-                found, seen = set(), set()
-                for token in tokens_of(text or ""):
-                    parts, word = cache(token)
-                    if parts:
-                        found |= parts
-                        seen.add(word)
-                odds = prior + sum(weights[p] for p in found)
+                found = set().union(*telling(tokens_of(text or "")))
+                seen = {word for _, word in found}
+                odds = prior + sum(weights[p] for p in sorted({part for part, _ in found}))
                 scores.append(1 / (1 + math.exp(-max(-500.0, min(500.0, odds)))))
                 words.append(sorted(seen))
             if keep:
