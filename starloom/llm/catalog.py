@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, language, mixing, rules, sharding, toxicity
+from starloom.llm import crf, decontaminate, language, licences, mixing, pseudonyms, rules, sharding, toxicity
 from starloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,10 +17,18 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.apply_rules(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -32,6 +40,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: Sources by domain; a parameter of the mixture, as are the weights.
 DOMAINS = {f"src{n}": "web" if n < 10 else "books" if n < 15 else "reference" for n in range(20)}
 WEIGHTS = ({"web": 50, "books": 30, "reference": 20}, {"en": 60, "de": 15, "fr": 15, "es": 10}, {})
@@ -49,7 +61,17 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_language_id, op3_decontamination, op5_quality_rules, op6_toxicity, op9_mixing, op10_sharding)
+    for f in (
+        op1_language_id,
+        op2_licences,
+        op3_decontamination,
+        op4_pseudonyms,
+        op5_quality_rules,
+        op6_toxicity,
+        op7_line_quality,
+        op9_mixing,
+        op10_sharding,
+    )
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"

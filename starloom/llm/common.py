@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +44,9 @@ def words_of(text: Column) -> Column:
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether a document is kept from learning: by the checksum of its id as text; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds == fold
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is computed once: a lambda's variable stays one, where a column that is used repeatedly
+    may be computed each time after the optimiser has moved it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
