@@ -6,24 +6,61 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import sharding
+from starloom.llm import decontaminate, jaccard, mixing, sharding, toxicity
+from starloom.llm.catalog import DOMAINS, WEIGHTS
 from starloom.llm.common import table
+from starloom.session import scratch_path, stage
+from starloom.storage import discard
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Share of the tokens that the mixture takes, in hundredths.
+MIXED = 90
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, *toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.without_copies(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.chosen(docs, MIXED, seed="mix-1", domains=DOMAINS, weights=WEIGHTS)
+
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("shard", shard)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near copies", drop_copies),
+    ("decontamination", drop_leaks),
+    ("mixing", mix),
+    ("sharding", shard),
+]
 
-#: Language models and tiling have no SQL; the whole is tested stage by stage.
+#: The toxicity model and tiling have no SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages in order. What is between two stages is written to the shared folder, and removed when the next stage
+    has been written; the result reads only what Spark's cleaner keeps track of."""
+    docs, path = table(spark, sf_dir, "documents"), None
+    for name, step in STAGES[:-1]:
+        written = scratch_path(spark, name.replace(" ", "-"))
+        docs = stage(step(spark, docs, sf_dir), written)
+        if path:
+            discard(spark, path)
+        path = written
+    result = STAGES[-1][1](spark, docs, sf_dir)
+    if path:
+        discard(spark, path)
+    return result

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import crf, decontaminate, language, licences, mixing, pseudonyms, rules, sharding, toxicity
+from starloom.llm import (
+    crf,
+    decontaminate,
+    jaccard,
+    language,
+    licences,
+    mixing,
+    pseudonyms,
+    rules,
+    sharding,
+    toxicity,
+)
 from starloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +55,10 @@ def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return crf.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 #: Sources by domain; a parameter of the mixture, as are the weights.
 DOMAINS = {f"src{n}": "web" if n < 10 else "books" if n < 15 else "reference" for n in range(20)}
 WEIGHTS = ({"web": 50, "books": 30, "reference": 20}, {"en": 60, "de": 15, "fr": 15, "es": 10}, {})
@@ -69,6 +84,7 @@ QUERIES: dict[str, Query] = {
         op5_quality_rules,
         op6_toxicity,
         op7_line_quality,
+        op8_jaccard_join,
         op9_mixing,
         op10_sharding,
     )

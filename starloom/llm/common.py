@@ -50,3 +50,13 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
     """`use` of a value that is computed once: a lambda's variable stays one, where a column that is used repeatedly
     may be computed each time after the optimiser has moved it."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def in_tasks(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """doc_id as text and other columns, for Python in tasks: pandas would turn whole numbers with nulls into floats."""
+    return docs.select(F.col("doc_id").cast("string"), *columns)
+
+
+def from_tasks(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Undo `in_tasks`."""
+    return rows.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import held_out
+from starloom.llm.common import from_tasks, held_out, in_tasks
 from starloom.llm.toxicity import sample
 
 FOLDS, FOLD = 5, 0
@@ -226,9 +226,9 @@ def score(docs: DataFrame, field: Field) -> DataFrame:
                 }
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"))
-    return rows.mapInPandas(judge, f"doc_id {kind}, held_out boolean, score double, predicted int, n_lines int")
+    rows = in_tasks(docs, "text", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"))
+    schema = "doc_id string, held_out boolean, score double, predicted int, n_lines int"
+    return from_tasks(rows.mapInPandas(judge, schema), docs)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

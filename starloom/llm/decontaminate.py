@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded, settle
+from starloom.llm.common import bounded, from_tasks, in_tasks, settle
 from starloom.llm.tokens import mixed, passes, shingle_hashes, word_hashes
 
 #: Words that a tile has at least; shared runs of so many words are the seeds.
@@ -167,8 +167,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, covered: int = COVERED, bl
     fewer than TILE words cannot be tiled and never leak. Rows that repeat yield their pairs once each; repeated
     items likewise. Other columns are ignored, whatever their names. Empty tables give an empty result.
     """
-    kinds = (docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString())
-    schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, covered_words int, item_words int"
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    schema = f"doc_id string, item_id {kind}, covered_words int, item_words int"
     result = docs.sparkSession.createDataFrame([], schema)
     for spark, items in _blocks(benchmark, block_words):
         shared = spark.sparkContext.broadcast(block_of([i["item_id"] for i in items], [i["text"] for i in items]))
@@ -183,9 +183,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, covered: int = COVERED, bl
                         rows += [(ids[i], block[0][k], n, of) for k, n, of in _leaks(block, covered, words[a:b])]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "covered_words", "item_words"])
 
-        found = docs.where("text is not null").select("doc_id", "text").mapInPandas(search, schema)
-        result = result.unionByName(found)
-    return result
+        result = result.unionByName(in_tasks(docs.where("text is not null"), "text").mapInPandas(search, schema))
+    return from_tasks(result, docs)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded, held_out, settle
+from starloom.llm.common import bounded, from_tasks, held_out, in_tasks, settle
 
 ORDER = 3
 FOLDS, FOLD = 5, 0
@@ -190,10 +190,9 @@ def predict(docs: DataFrame, trees: dict[str, Tree]) -> DataFrame:
                 }
             )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out")).mapInPandas(
-        score, f"doc_id {kind}, held_out boolean, lang_pred string, score double, bits_per_byte double"
-    )
+    rows = in_tasks(docs, "text", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"))
+    schema = "doc_id string, held_out boolean, lang_pred string, score double, bits_per_byte double"
+    return from_tasks(rows.mapInPandas(score, schema), docs)
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -135,3 +135,9 @@ def mix(
     clear = clear.withColumn("_part", F.when(F.col("_bucket") < F.col("_edge"), F.col("_tokens")).otherwise(0))
     columns = [*own, *LEAF, *ADDED]
     return clear.select(*columns).unionByName(cut.select(*columns))
+
+
+def chosen(docs: DataFrame, percent: int, **options) -> DataFrame:
+    """The rows of `docs` that one epoch takes, with all their columns; those that the end of a prefix cuts stay whole."""
+    mixed = mix(docs, percent, 1, **options)
+    return mixed.where("_whole > 0 and _tokens > 0 or _part > 0").select(*docs.columns)

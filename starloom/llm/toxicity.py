@@ -14,10 +14,11 @@ from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded, held_out, settle, words_of
+from starloom.llm.common import bounded, from_tasks, held_out, in_tasks, settle, words_of
 
 FOLDS, FOLD = 4, 2
 THRESHOLD = 0.3
@@ -329,55 +330,69 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[float,
     return prior, {part: sum(w) / len(w) for part, w in sorted(weights.items())}
 
 
-def score(docs: DataFrame, model: np.ndarray, prior: float, weights: dict[str, float], keep: bool = False) -> DataFrame:
+def _judge(model: np.ndarray, prior: float, weights: dict[str, float]) -> Callable[[str | None], tuple[float, list[str]]]:
+    """A function that scores a text: the score, and the restored words that told."""
+
+    def told(token: str) -> frozenset[tuple[str, str]]:
+        word = restored(token, model)
+        return frozenset((p, word) for p in parts_of(word) if p in weights) if word else frozenset()
+
+    telling = _telling(told)
+
+    def judge(text: str | None) -> tuple[float, list[str]]:
+        found = set().union(*telling(tokens_of(text or "")))
+        odds = prior + sum(weights[p] for p in sorted({part for part, _ in found}))
+        return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds)))), sorted({word for _, word in found})
+
+    return judge
+
+
+def score(docs: DataFrame, model: np.ndarray, prior: float, weights: dict[str, float]) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, score, predicted, evidence (restored words that told).
 
     Null and empty texts have the prior's score. Rows that repeat are scored one by one. Other columns are ignored,
-    whatever their names. An empty table gives an empty result. With `keep`, the rows of `docs` that are not predicted
-    toxic come back instead, with all their columns as they were.
+    whatever their names. An empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model, weights))
-
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, weights = shared.value
+    shared = docs.sparkSession.sparkContext.broadcast((model, prior, weights))
 
-        def told(token: str) -> frozenset[tuple[str, str]]:
-            word = restored(token, model)
-            return frozenset((p, word) for p in parts_of(word) if p in weights) if word else frozenset()
-
-        telling = _telling(told)
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        judge = _judge(*shared.value)
         for batch in batches:
-            scores, words = [], []
-            for text in batch["text"]:
-                found = set().union(*telling(tokens_of(text or "")))
-                seen = {word for _, word in found}
-                odds = prior + sum(weights[p] for p in sorted({part for part, _ in found}))
-                scores.append(1 / (1 + math.exp(-max(-500.0, min(500.0, odds)))))
-                words.append(sorted(seen))
-            if keep:
-                yield batch[[s < THRESHOLD for s in scores]]
-            else:
-                yield pd.DataFrame(
-                    {
-                        "doc_id": batch["doc_id"],
-                        "held_out": batch["held_out"],
-                        "score": scores,
-                        "predicted": [int(s >= THRESHOLD) for s in scores],
-                        "evidence": words,
-                    }
-                )
-
-    if keep:
-        return docs.mapInPandas(judge, docs.schema)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"))
-    return rows.mapInPandas(
-        judge, f"doc_id {kind}, held_out boolean, score double, predicted int, evidence array<string>"
-    )
+            judged = [judge(text) for text in batch["text"]]
+            yield pd.DataFrame(
+                {
+                    "doc_id": batch["doc_id"],
+                    "held_out": batch["held_out"],
+                    "score": [s for s, _ in judged],
+                    "predicted": [int(s >= THRESHOLD) for s, _ in judged],
+                    "evidence": [words for _, words in judged],
+                }
+            )
+
+    scored = in_tasks(docs, "text", held_out(F.col("doc_id"), FOLDS, FOLD).alias("held_out"))
+    schema = "doc_id string, held_out boolean, score double, predicted int, evidence array<string>"
+    return from_tasks(scored.mapInPandas(rows, schema), docs)
+
+
+def without_toxic(docs: DataFrame, model: np.ndarray, prior: float, weights: dict[str, float]) -> DataFrame:
+    """The rows of `docs` that are not predicted toxic, with all their columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, prior, weights))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = _judge(*shared.value)
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            yield batch.filter(pa.array([judge(text)[0] < THRESHOLD for text in texts], pa.bool_()))
 
+    return docs.mapInArrow(kept, docs.schema)
 
-def detect(docs: DataFrame, labels: DataFrame, keep: bool = False) -> DataFrame:
-    """Train on `docs` and the labels that are not held out, and score (or, with `keep`, filter) all of `docs`."""
+
+def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float, dict[str, float]]:
+    """The character model of all of `docs`, and what the labels that are not held out tell."""
     model = language_model(docs)
-    prior, weights = learn(docs, labels, model)
-    return score(docs, model, prior, weights, keep)
+    return model, *learn(docs, labels, model)
+
+
+def detect(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Train on `docs` and the labels that are not held out, and score all of `docs`."""
+    return score(docs, *train(docs, labels))
