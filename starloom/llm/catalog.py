@@ -121,7 +121,40 @@ share{depth} AS (
 
 _DOMAIN = "CASE " + " ".join(f"WHEN source = '{s}' THEN '{d}'" for s, d in DOMAINS.items()) + " ELSE 'other' END"
 
+_TEMPLATES = ", ".join(
+    f"('{name}', {k}, '{text.replace("'", "''")}')" for name, texts in licences.TEMPLATES.items() for k, text in enumerate(texts)
+)
+
 ORACLES: dict[str, str] = {
+    "op2_licences": f"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    list_transform(string_split(text, chr(10)), lambda l: regexp_extract_all(lower(l), '{licences.WORDS}')) AS ls
+  FROM documents WHERE text IS NOT NULL),
+starts AS (SELECT r, doc_id, ls, unnest(range(len(ls))) AS line FROM split),
+runs AS (
+  SELECT r, doc_id, line, k AS lines, flatten(list_slice(ls, line + 1, line + k)) AS words
+  FROM starts, (SELECT unnest(range(1, {licences.LINES} + 1)) AS k)
+  WHERE line + k <= len(ls) AND len(ls[line + 1]) > 0 AND len(ls[line + k]) > 0
+  UNION ALL SELECT r, doc_id, 0, len(ls), flatten(ls) FROM split WHERE len(ls) > {licences.LINES}),
+grams AS (
+  SELECT r, doc_id, line, lines, len(words) - 1 AS size, words[i + 1] || ' ' || words[i + 2] AS gram, count(*) AS n
+  FROM (SELECT *, unnest(range(len(words) - 1)) AS i FROM runs WHERE len(words) BETWEEN 2 AND 200) GROUP BY ALL),
+templates AS (
+  SELECT licence, wording, regexp_extract_all(lower(body), '{licences.WORDS}') AS words
+  FROM (VALUES {_TEMPLATES}) t(licence, wording, body)),
+known AS (
+  SELECT licence, wording, len(words) - 1 AS own, words[i + 1] || ' ' || words[i + 2] AS gram, count(*) AS m
+  FROM (SELECT *, unnest(range(len(words) - 1)) AS i FROM templates) GROUP BY ALL),
+met AS (
+  SELECT doc_id, line, lines, licence, size, own, sum(least(n, m)) AS common
+  FROM grams JOIN known USING (gram) GROUP BY r, doc_id, line, lines, licence, wording, size, own
+  HAVING 200 * sum(least(n, m)) >= {licences.LEAST} * (size + own)),
+best AS (
+  SELECT *, CAST(common * 2 AS DOUBLE) / (size + own) AS dice FROM met
+  QUALIFY row_number() OVER (
+    PARTITION BY doc_id, licence ORDER BY CAST(common * 2 AS DOUBLE) / (size + own) DESC, line, lines) = 1)
+SELECT doc_id, licence, dice, CAST(line AS INTEGER) AS line, CAST(lines AS INTEGER) AS lines FROM best""",
     "op5_quality_rules": f"""
 WITH base AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body,
