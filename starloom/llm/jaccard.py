@@ -1,24 +1,29 @@
 """Exact similarity join of documents by the Jaccard coefficient of their word shingles, in a metric space of sets.
 
-The Jaccard distance is a metric, so pivots can divide it. Documents that may be linked share one of their rarest
-shingles: these cells are the first regions, each with a pivot. All of a region's documents are compared with its
-pivot. Those within the radius are linked to it and so to each other; the others fall into rings around it,
-and by the triangle inequality a link lies within a ring or between neighbouring rings: the documents of a ring are
-replicated into the next as its window. Rings are regions again, with pivots of their own, until they are small
-enough to be compared pair by pair. Regions within one component of links are finished at once.
+The Jaccard distance is a metric, so pivots can divide it. Sets that may be linked share one of their rarest
+shingles, and the least set that has a shingle there is the pivot of its region: a set is replicated into the
+region of each pivot that it may be linked beside. Within a region, sets are ordered by their distance from the
+pivot, and by the triangle inequality a set's links lie in a window of the radius to either side. Sets
+outside the largest component become pivots in turn and are compared with their window, until all others are in
+one component. A region that is too large for a task is first cut into rings around its pivot, each with the ring
+before it as its window, again and again; what no pivot divides is cut into blocks that meet two by two.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import count
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import bounded, from_tasks, in_tasks, settle
-from starloom.llm.tokens import mixed, passes, shingle_hashes, word_hashes
+from starloom.llm.tokens import mixed, shingle_sets
+from starloom.session import scratch_path, stage
+from starloom.storage import discard
 
 WIDTH = 5
 #: Hundredths.
@@ -29,34 +34,27 @@ EXTRA = 15
 BUCKETS, COMMON = 1 << 18, 0.01
 #: A class of copies with this share of the documents is searched by one of them; there are at most 1 / HOT such classes.
 HOT = 0.001
-#: Regions of at most so many documents are compared pair by pair.
-SMALL = 32
-#: After so many pivots, what regions remain large, their documents being far from each other, is compared pair by pair
-#: as well: only pairs of different components and of sizes that allow a link.
-ROUNDS = 8
+#: Sets that a task holds at once. A larger region is cut into rings, so many times, and then into blocks.
+LARGE, CUTS = 2_000, 3
 
 
-def least_common(n):
+def least_common(n: int) -> int:
     """Shingles that a set of n shares with any set it is linked to, at least."""
     return -(-n * SIMILAR // 100)
 
 
-def _extra(n):
-    return np.maximum(n * EXTRA // 100, 1)
+def _extra(n: int) -> int:
+    return max(n * EXTRA // 100, 1)
 
 
 def _sets(texts: list[str | None]) -> Iterator[np.ndarray]:
-    """Sorted shingle hashes of each text."""
-    for first, last in passes(texts):
-        words, limits = word_hashes(texts[first:last])
-        for a, b in zip(limits[:-1], limits[1:], strict=True):
-            yield np.unique(shingle_hashes(words[a:b], WIDTH))
+    return shingle_sets(texts, WIDTH)
 
 
 def _prefix(shingles: np.ndarray) -> np.ndarray:
     """The least hashes of a set: so many that linked sets share `_extra` of them, or what the smaller one has."""
     n = len(shingles)
-    return shingles[: max(0, n - least_common(n) + int(_extra(n)))]
+    return shingles[: max(0, n - least_common(n) + _extra(n))]
 
 
 def _identity(shingles: np.ndarray) -> bytes:
@@ -71,12 +69,13 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A row per document, and at the end of a task its bucket counts."""
     counts = np.zeros(BUCKETS, np.int64)
     for batch in batches:
-        sizes, ids = [], []
+        sizes, ids, prefixes = [], [], []
         for shingles in _sets(batch["text"].tolist()):
             sizes.append(len(shingles))
             ids.append(_identity(shingles))
-            prefix = _prefix(shingles) & np.uint64(BUCKETS - 1)
-            np.add.at(counts, prefix.astype(np.int64), 1)
+            prefixes.append(_prefix(shingles))
+        buckets = np.concatenate([np.zeros(0, np.uint64), *prefixes]) & np.uint64(BUCKETS - 1)
+        counts += np.bincount(buckets.astype(np.int64), minlength=BUCKETS)
         yield pd.DataFrame({"doc_id": batch["doc_id"], "n": sizes, "id": ids, "bucket": -1, "count": 0})
     seen = np.flatnonzero(counts)
     yield pd.DataFrame({"doc_id": None, "n": 0, "id": None, "bucket": seen, "count": counts[seen]})
@@ -118,7 +117,7 @@ def candidates(docs: DataFrame, classes: DataFrame, n_documents: int, common: np
                 rows += [own, prefix[~known].astype(np.int64)]
                 owners.append(own[0])
                 lengths.append(1 + int((~known).sum()))
-                needs.append(int(_extra(least_common(len(shingles)))) - int(known.sum()))
+                needs.append(_extra(least_common(len(shingles))) - int(known.sum()))
             if not owners:
                 continue
             need = np.full(sum(lengths), -(1 << 30), np.int32)
@@ -172,86 +171,175 @@ def nodes_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return settle(ranked.select("id", "n", "shingles", F.slice("shingles", F.lit(1), length).alias("cells")))
 
 
-def distances(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """a, b, common and total (shingles of both) of pairs of ids."""
-    one = nodes.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
-    other = nodes.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
-    both = pairs.join(one, "a").join(other, "b")
-    both = both.withColumn("common", F.size(F.array_intersect("s_a", "s_b")))
-    return both.select("a", "b", "common", (F.col("n_a") + F.col("n_b") - F.col("common")).alias("total"))
+def linked(common, total):
+    """Whether sets with so many common shingles, and so many together, are linked."""
+    return common * 100 >= total * SIMILAR
 
 
-def linked() -> Column:
-    return F.col("common") * 100 >= F.col("total") * SIMILAR
+def region_links(sizes: np.ndarray, sets: list[np.ndarray], pivot: int) -> list[tuple[int, int]]:
+    """Links that connect what links connect among some sets, given by their sizes and the shingles that may be shared.
+
+    First the pivot is compared with all. The sets are put in order of their distance from it; from then on each pivot
+    is compared with those only whose distance from the first differs by the radius at most. A pivot is always taken
+    from outside the largest component of those that have not been one. When that is all of them, each pair of
+    different components has been compared or lies too far apart.
+    """
+    m = len(sets)
+    parent = list(range(m))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    def commons(mine: np.ndarray, tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        mark[mine] = True
+        sums = np.concatenate([[0], np.cumsum(mark[tokens])])
+        mark[mine] = False
+        return sums[starts[1:]] - sums[starts[:-1]]
+
+    _, local = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(int(local.max()) + 1, bool)
+    ends = np.cumsum([0, *map(len, sets)])
+    common = commons(local[ends[pivot] : ends[pivot + 1]], local, ends)
+    distance = 1 - common / (sizes + sizes[pivot] - common)
+    order = np.argsort(distance, kind="stable")
+    pieces = [local[ends[i] : ends[i + 1]] for i in order]
+    tokens, starts = np.concatenate(pieces), np.cumsum([0, *map(len, pieces)])
+    size, near = sizes[order], distance[order]
+    links: list[tuple[int, int]] = []
+    done = np.zeros(m, bool)
+    labels = np.arange(m)
+    radius = (100 - SIMILAR) / 100 + 1e-9
+    at = int(np.flatnonzero(order == pivot)[0])
+    while True:
+        low, high = np.searchsorted(near, [near[at] - radius, near[at] + radius])
+        found = commons(pieces[at], tokens[starts[low] : starts[high]], starts[low : high + 1] - starts[low])
+        for k in np.flatnonzero(linked(found, size[low:high] + size[at] - found)) + low:
+            a, b = root(at), root(int(k))
+            if a != b:
+                parent[b] = a
+                links.append((int(order[at]), int(order[k])))
+        done[at] = True
+        labels = np.array([root(i) for i in range(m)]) if links else labels
+        rest = np.flatnonzero(~done)
+        if not len(rest):
+            return links
+        of, counts = np.unique(labels[rest], return_counts=True)
+        outside = rest[labels[rest] != of[counts.argmax()]]
+        if not len(outside):
+            return links
+        at = int(outside[0])
+
+
+def _join_region(batch: pd.DataFrame) -> pd.DataFrame:
+    ids = batch["id"].tolist()
+    pivot = ids.index(batch["pivot"].iloc[0]) if batch["pivot"].iloc[0] in ids else 0
+    found = region_links(batch["n"].to_numpy(np.int64), list(batch["shingles"]), pivot)
+    return pd.DataFrame([(ids[a], ids[b]) for a, b in found], columns=["a", "b"])
+
+
+def _regions(nodes: DataFrame) -> DataFrame:
+    """Members of regions of several sets: region, pivot, id, own. The least set that has one of its rarest shingles there
+    is the pivot for all that do; the shingles of a pivot are one region."""
+    cells = nodes.select(F.explode("cells").alias("cell"), "id")
+    pivots = cells.groupBy("cell").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = cells.join(pivots, "cell").select("pivot", "id").distinct()
+    return members.select(F.xxhash64("pivot").alias("region"), "pivot", "id", F.lit(True).alias("own"))
+
+
+def _rings(members: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links with the pivots of large regions, and their rings as regions: a set is its ring's own, and in the window of
+    the next one. The innermost ring is linked to the pivot and so done."""
+    one = nodes.select("id", "n", "shingles")
+    other = nodes.select(F.col("id").alias("pivot"), F.col("n").alias("n_p"), F.col("shingles").alias("s_p"))
+    met = members.join(one, "id").join(other, "pivot").withColumn("common", F.size(F.array_intersect("shingles", "s_p")))
+    total = F.col("n") + F.col("n_p") - F.col("common")
+    met = met.where("id != pivot").select("region", "pivot", "id", "own", "common", total.alias("total"))
+    links = met.where(linked(F.col("common"), F.col("total"))).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+    # Sets within the radius are in ring 0, if by a hair.
+    step = (F.col("total") - F.col("common")) * 100 / (F.col("total") * (100 - SIMILAR))
+    ring = F.when(linked(F.col("common"), F.col("total")), 0).otherwise(F.greatest(F.ceil(step) - 1, F.lit(1)).cast("int"))
+    placed = met.withColumn("ring", ring).withColumn("window", F.explode(F.array(F.lit(0), F.lit(1))))
+    at = F.col("ring") + F.col("window")
+    rings = placed.where("ring + window > 0").select(
+        F.xxhash64("region", "pivot", at).alias("region"), "id", (F.col("own") & (F.col("window") == 0)).alias("own")
+    )
+    return links, rings
 
 
-def components(links: DataFrame) -> DataFrame:
-    """id and label (the least id that links reach) of all ends of `links` (a, b).
+def _blocks(members: DataFrame, sized: DataFrame) -> DataFrame:
+    """Large regions cut into blocks of half a task's sets; each two blocks are a region."""
+    n = F.ceil(F.col("size") * 2 / LARGE).cast("int")
+    cut = members.join(sized, "region").withColumn("n", n).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")))
+    each = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    pair = F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other"))
+    return each.select(pair.alias("region"), "pivot", "id", "own").distinct()
 
-    Labels go along links and then along themselves, so that chains shorten by half or more each time.
+
+def _sized(members: DataFrame) -> DataFrame:
+    """Regions of several sets of which one at least is their own: size, and the least of these as the pivot."""
+    own = F.when(F.col("own"), F.col("id"))
+    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min(own).alias("pivot"))
+    return sizes.where("size > 1 and pivot is not null")
+
+
+def join_regions(nodes: DataFrame) -> DataFrame:
+    """id and label of each set that is linked: sets with links between them, however many, have one label."""
+    spark = nodes.sparkSession
+    folder = scratch_path(spark, "regions")
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        return stage(df, f"{folder}/{name}")
+
+    try:
+        members, links = keep(_regions(nodes), "members-0"), []
+        small = []
+        for cut in range(CUTS + 1):
+            sized = keep(_sized(members), f"sizes-{cut}")
+            held = members.drop("pivot").join(sized, "region")
+            small.append(held.where(F.col("size") <= LARGE))
+            large = held.where(F.col("size") > LARGE)
+            if sized.where(F.col("size") > LARGE).isEmpty():
+                break
+            if cut == CUTS:
+                small.append(_blocks(large.drop("size"), sized.select("region", "size")))
+                break
+            found, rings = _rings(large.drop("size"), nodes)
+            links.append(keep(found, f"found-{cut}"))
+            members = keep(rings, f"members-{cut + 1}")
+        for k, regions in enumerate(small):
+            whole = regions.select("region", "pivot", "id").join(nodes.select("id", "n", "shingles"), "id")
+            found = whole.groupBy("region").applyInPandas(_join_region, "a binary, b binary")
+            links.append(keep(found, f"links-{k}"))
+        both = reduce(DataFrame.union, [x.select("a", "b").union(x.select("b", "a")) for x in links])
+        return settle(components(keep(both.distinct(), "both"), keep))
+    finally:
+        discard(spark, folder)
+
+
+def components(both: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """id and label (the least id that links reach) of all ends of links, given in both directions as a and b.
+
+    Labels go along links and then along themselves, so that chains shorten by half or more each time. Tables between
+    are written by `keep`.
     """
-    both = settle(links.select("a", "b").union(links.select("b", "a")).distinct())
     labels = both.groupBy("a").agg(F.min("b").alias("b"))
-    labels = settle(labels.select(F.col("a").alias("id"), F.least("a", "b").alias("label")))
-    while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("near"))
-        lower = labels.join(near, "id").select("id", "label", F.least("label", "near").alias("low"))
+    labels = keep(labels.select(F.col("a").alias("id"), F.least("a", "b").alias("label")), "labels-0")
+    for k in count(1):
+        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id"))
+        lower = labels.join(near.agg(F.min("label").alias("near")), "id")
+        lower = lower.select("id", "label", F.least("label", "near").alias("low"))
         roots = labels.select(F.col("id").alias("low"), F.col("label").alias("root"))
         # A label that is lowered is also followed once: its own label is at least as low.
-        followed = settle(lower.join(roots, "low").select("id", F.least("low", "root").alias("new"), "label"))
+        followed = lower.join(roots, "low").select("id", F.least("low", "root").alias("new"), "label")
+        followed = keep(followed, f"labels-{k}")
         labels = followed.select("id", F.col("new").alias("label"))
         if followed.where("new != label").isEmpty():
             return labels
 
 
-def _live(cells: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members of the cells that hold documents of several components, with their labels, the cell's size and pivot. Only
-    cells count that have documents of their own, and one of these is the pivot."""
-    named = cells.join(labels, "id", "left") if labels is not None else cells.withColumn("label", F.lit(None).cast("binary"))
-    named = named.withColumn("label", F.coalesce("label", "id"))
-    about = named.groupBy("cell").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"),
-        F.min(F.when(F.col("own"), F.col("id"))).alias("pivot"),
-    )
-    return named.join(about.where("low != high and pivot is not null").drop("low", "high"), "cell")
-
-
-def join_regions(nodes: DataFrame) -> DataFrame:
-    """Links (a, b) that connect all that links connect: id and label of each linked set."""
-    cells = settle(nodes.select(F.explode("cells").alias("cell"), "id", "n", F.lit(True).alias("own")))
-    links, labels = None, None
-    for round_ in range(ROUNDS + 1):
-        live = settle(_live(cells, labels))
-        if live.isEmpty():
-            break
-        far = F.col("size") > SMALL if round_ < ROUNDS else F.lit(False)
-        # At first pivots link what they can, in small cells too; then small cells are compared whole.
-        around = live if round_ == 0 else live.where(far)
-        spokes = around.where("id != pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-        measured = settle(distances(spokes, nodes))
-        found = measured.where(linked()).select("a", "b")
-        if round_:
-            small = live.where(~far).select("cell", "id", "n", "label", "own")
-            other = small.select("cell", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "label", "own")])
-            sized = F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * SIMILAR
-            apart = (F.col("id") < F.col("id_b")) & (F.col("label") != F.col("label_b")) & (F.col("own") | F.col("own_b"))
-            pairs = small.join(other, "cell").where(apart & sized).select(F.col("id").alias("a"), F.col("id_b").alias("b"))
-            found = found.union(distances(pairs.distinct(), nodes).where(linked()).select("a", "b"))
-        links = settle(found if links is None else links.union(found).distinct())
-        labels = components(links)
-        # Rings of a radius each; beyond the outermost there are none. A document goes into its ring and the next.
-        ring = F.floor((F.col("total") - F.col("common")) * 100 / (F.col("total") * (100 - SIMILAR))).cast("int")
-        large = live.where(far & (F.col("id") != F.col("pivot"))).select("cell", "id", "n", "pivot")
-        placed = large.join(
-            measured.select(F.col("a").alias("id"), F.col("b").alias("pivot"), ring.alias("ring")), ["id", "pivot"]
-        )
-        rings = placed.withColumn("own", F.explode(F.array(F.lit(True), F.lit(False))))
-        at = F.col("ring") + F.when(F.col("own"), 0).otherwise(1)
-        rings = rings.select(F.xxhash64("cell", at).alias("cell"), "id", "n", "own")
-        cells = settle(rings.union(live.where(~far).select("cell", "id", "n", "own")) if round_ == 0 else rings)
-    return labels if labels is not None else nodes.select("id", F.col("id").alias("label")).limit(0)
-
-
 def join(docs: DataFrame) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id (the least doc_id that links reach, itself included).
 

@@ -84,3 +84,16 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
             out = out * MIX_A + words[k : n - width + 1 + k]
             out ^= out >> np.uint64(29)
         return mixed(out)
+
+
+def shingle_sets(texts: list[str | None], width: int) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each text, hashed for all texts of a pass at once."""
+    for first, last in passes(texts):
+        words, limits = word_hashes(texts[first:last])
+        runs = shingle_hashes(words, width) if len(words) >= width else np.zeros(0, np.uint64)
+        for a, b in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True):
+            if b - a >= width:
+                found = np.sort(runs[a : b - width + 1])
+                yield found[np.concatenate([[True], found[1:] != found[:-1]])]
+            else:
+                yield shingle_hashes(words[a:b], width)

@@ -1,7 +1,10 @@
 """Every operator and stage on nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
 import corpus_pipeline
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starloom.llm import crf, decontaminate, jaccard, language, licences, mixing, pseudonyms, rules, sharding, toxicity
@@ -207,17 +210,40 @@ def test_components_of_copies_and_near_copies(spark):
     assert [found[n]["n_shingles"] for n in (5, 11, 14)] == [56, 1, 0]
 
 
-def test_large_regions_go_through_pivots(spark, monkeypatch):
-    """A hundred near copies of two texts that are no copies of each other, with regions cut as small as can be."""
-    monkeypatch.setattr(jaccard, "SMALL", 2)
+@pytest.mark.parametrize("large, cuts", [(2000, 3), (10, 3), (10, 0)])
+def test_regions_of_any_size_give_the_same(spark, monkeypatch, large, cuts):
+    """Near copies of two texts that are no copies of each other, and of one beside each: whole, by rings, by blocks."""
+    monkeypatch.setattr(jaccard, "LARGE", large)
+    monkeypatch.setattr(jaccard, "CUTS", cuts)
     rows = []
-    for n in range(100):
-        text = [f"{'a' if n % 2 else 'b'}{k}" for k in range(80)]
-        text[10:15] = ["common", "words", "of", "all", "texts"]
-        text[40 + n % 7] = f"own{n}"
+    for n in range(120):
+        text = [f"{'abcd'[n % 2 + 2 * (n > 99)]}{k}" for k in range(80)]
+        text[:45] = [f"{'ab'[n % 2]}{k}" for k in range(45)]
+        text[60 + n % 7] = f"own{n}"
         rows.append((n, " ".join(text)))
     found = by_id(jaccard.join(spark.createDataFrame(rows, "doc_id int, text string")))
-    assert {r["component_id"] for r in found.values()} == {0, 1}
+    assert {r["component_id"] for r in found.values()} == {0, 1, 100, 101}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(2, 40))
+def test_region_links_connect_what_all_pairs_connect(seed, m):
+    random = np.random.default_rng(seed)
+    bases = [random.permutation(60)[:40] for _ in range(3)]
+    sets = [np.unique(np.where(random.random(40) < random.choice([0.02, 0.1, 0.2]), random.integers(0, 90, 40), bases[random.integers(3)])) for _ in range(m)]
+    sizes = np.array([len(s) + random.integers(0, 4) for s in sets])
+
+    def parts(links):
+        label = list(range(m))
+        for a, b in links:
+            old, new = label[a], label[b]
+            label = [new if x == old else x for x in label]
+        return [label.index(x) for x in label]
+
+    pairs = [(a, b, len(np.intersect1d(sets[a], sets[b]))) for a in range(m) for b in range(a)]
+    every = [(a, b) for a, b, n in pairs if jaccard.linked(n, sizes[a] + sizes[b] - n)]
+    found = jaccard.region_links(sizes, sets, int(random.integers(m)))
+    assert len(found) < m and parts(found) == parts(every)
 
 
 def test_shortage_goes_to_siblings_first(spark):
