@@ -30,12 +30,13 @@ WIDTH = 5
 SIMILAR = 75
 #: Hundredths of a set that the search for shared shingles looks at beyond what one shared shingle takes.
 EXTRA = 15
-#: Shingles are counted in so many buckets; a bucket with this share of the documents is known to be shared.
+#: Shingles are counted in so many buckets. One with this share of the documents is common, and its shingles count as
+#: shared. Tasks report what has half the share among their documents, which leaves out less than half of a common one.
 BUCKETS, COMMON = 1 << 18, 0.01
 #: A class of copies with this share of the documents is searched by one of them; there are at most 1 / HOT such classes.
 HOT = 0.001
 #: Sets that a task holds at once. A larger region is cut into rings, so many times, and then into blocks.
-LARGE, CUTS = 2_000, 3
+LARGE, CUTS = 4_000, 3
 
 
 def least_common(n: int) -> int:
@@ -66,8 +67,8 @@ def _identity(shingles: np.ndarray) -> bytes:
 
 
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row per document, and at the end of a task its bucket counts."""
-    counts = np.zeros(BUCKETS, np.int64)
+    """A row per document, and at the end of a task its fullest buckets."""
+    counts, documents = np.zeros(BUCKETS, np.int64), 0
     for batch in batches:
         sizes, ids, prefixes = [], [], []
         for shingles in _sets(batch["text"].tolist()):
@@ -76,8 +77,9 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             prefixes.append(_prefix(shingles))
         buckets = np.concatenate([np.zeros(0, np.uint64), *prefixes]) & np.uint64(BUCKETS - 1)
         counts += np.bincount(buckets.astype(np.int64), minlength=BUCKETS)
+        documents += len(batch)
         yield pd.DataFrame({"doc_id": batch["doc_id"], "n": sizes, "id": ids, "bucket": -1, "count": 0})
-    seen = np.flatnonzero(counts)
+    seen = np.flatnonzero(counts > max(documents * COMMON / 2, 1))
     yield pd.DataFrame({"doc_id": None, "n": 0, "id": None, "bucket": seen, "count": counts[seen]})
 
 
@@ -86,10 +88,10 @@ def describe(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     schema = "doc_id string, n int, id binary, bucket int, count bigint"
     rows = settle(in_tasks(docs, "text").mapInPandas(_describe, schema))
     documents = from_tasks(rows.where("bucket = -1").select("doc_id", "n", "id"), docs)
-    least = documents.count() * COMMON
+    least = max(documents.count() * COMMON / 2, 1)
     counts = rows.where("bucket >= 0").groupBy("bucket").agg(F.sum("count").alias("n"))
     common = np.zeros(BUCKETS, bool)
-    common[[r["bucket"] for r in counts.where(F.col("n") > max(least, 1)).collect()]] = True
+    common[[r["bucket"] for r in counts.where(F.col("n") > least).collect()]] = True
     return documents, common
 
 
@@ -138,31 +140,45 @@ def candidates(docs: DataFrame, classes: DataFrame, n_documents: int, common: np
     return classes.withColumn("own", own).join(found, "own", "left_semi").select("id", "doc_id")
 
 
-def _shingle_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """id and shingles of the chosen sets, from one document of each."""
+def _shingle_rows(docs: DataFrame, chosen: DataFrame, common: np.ndarray) -> DataFrame:
+    """id, size and shingles of the chosen sets, in common buckets and in others, from one document of each."""
     ids = bounded(settle(chosen.select("doc_id").distinct()))
     wanted = docs.where("text is not null").select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        common = shared.value
         for batch in batches:
-            found = list(_sets(batch["text"].tolist()))
+            found = [s for s in _sets(batch["text"].tolist()) if len(s)]
+            known = [common[(s & np.uint64(BUCKETS - 1)).astype(np.int64)] for s in found]
             yield pd.DataFrame(
-                {"id": [_identity(s) for s in found], "n": [len(s) for s in found], "all": [s.astype(np.int64) for s in found]}
+                {
+                    "id": [_identity(s) for s in found],
+                    "n": [len(s) for s in found],
+                    "rare": [s[~k].astype(np.int64) for s, k in zip(found, known, strict=True)],
+                    "common": [s[k].astype(np.int64) for s, k in zip(found, known, strict=True)],
+                }
             )
 
-    rows = wanted.mapInPandas(sets, "id binary, n int, all array<bigint>").where("n > 0")
-    # Texts with one set, or an id with several texts: one row of each set, of those that were chosen.
-    return rows.dropDuplicates(["id"]).join(bounded(chosen.select("id")), "id", "left_semi")
+    rows = wanted.mapInPandas(sets, "id binary, n int, rare array<bigint>, common array<bigint>")
+    # A doc_id may have other texts too.
+    return rows.join(bounded(chosen.select("id")), "id", "left_semi")
 
 
-def nodes_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """id, n, shingles (that other chosen sets have too, rarest first), and cells: the rarest shingles of the set, one of
-    which it shares with every set that it is linked to, in their cells."""
-    sets = settle(_shingle_rows(docs, settle(chosen)))
-    rows = sets.select("id", "n", F.explode("all").alias("shingle"))
-    frequent = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    ranked = rows.join(frequent, "shingle").groupBy("id", "n").agg(
-        F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("ranked")
+def nodes_of(docs: DataFrame, chosen: DataFrame, common: np.ndarray) -> DataFrame:
+    """id, n, shingles (that other chosen sets may have too, rarest first), and cells: the rarest shingles of the set, one
+    of which it shares with every set that it is linked to.
+
+    Any one order of all shingles will do for the cells. Those in common buckets come last, uncounted, so that no
+    counted one is in a large share of the sets.
+    """
+    sets = settle(_shingle_rows(docs, settle(chosen), common))
+    counted = sets.select("id", "n", F.explode("rare").alias("shingle"))
+    counted = counted.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("shingle"))).where("df > 1")
+    known = sets.select("id", "n", F.explode("common").alias("shingle"), F.lit((1 << 63) - 1).alias("df"))
+    # Repeated rows of a set make its shingles look shared, and are one here.
+    ranked = counted.unionByName(known).groupBy("id", "n").agg(
+        F.array_sort(F.collect_set(F.struct("df", "shingle"))).alias("ranked")
     )
     least = F.ceil(F.col("n") * SIMILAR / 100).cast("int")
     ranked = ranked.withColumn("shingles", F.col("ranked.shingle")).where(F.size("shingles") >= least)
@@ -353,7 +369,7 @@ def join(docs: DataFrame) -> DataFrame:
     worded = documents.where("n > 0")
     classes = settle(worded.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")))
     chosen = candidates(docs, classes, documents.count(), common)
-    labels = join_regions(nodes_of(docs, chosen))
+    labels = join_regions(nodes_of(docs, chosen, common))
     # Classes without links are components of their own.
     named = classes.join(labels, "id", "left").select("id", "doc_id", F.coalesce("label", "id").alias("label"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
