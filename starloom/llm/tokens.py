@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes that one pass of array code takes. A longer text is taken alone and whole.
-PASS = 1 << 21
+PASS = 1 << 19
 
 _SPACES = [32, *range(9, 14)]
 _IS_SPACE = np.zeros(256, bool)
@@ -27,21 +27,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(base: np.uint64, n: int) -> np.ndarray:
+    """Powers of the base modulo 2^64. Not kept: what this module holds is sent along with each function to the tasks."""
     return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base, np.uint64)]))
 
 
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64, kept up to the size of a pass."""
-    if n > PASS * 2:
-        return _powers(BASE, n), _powers(INVERSE, n)
-    if not _POWERS:
-        _POWERS.update(up=_powers(BASE, PASS * 2), down=_powers(INVERSE, PASS * 2))
-    return _POWERS["up"][: n + 1], _POWERS["down"][: n + 1]
-
-
 def passes(texts: list[str | None]) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about PASS bytes together; a text is never cut."""
     first, size = 0, 0
@@ -64,7 +53,7 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     inside = ~_IS_SPACE[raw]
     edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
     starts, ends = edges[::2], edges[1::2]
-    up, down = _power_tables(len(raw))
+    up, down = _powers(BASE, len(raw)), _powers(INVERSE, len(raw))
     with np.errstate(over="ignore"):
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)])])
         hashes = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
