@@ -45,9 +45,11 @@ LEET = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
 FILLERS = ".-_~^'"
+DOUBLED = re.compile(r"(.)\1+", re.DOTALL)
 EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»„“”‘’…¿¡"
-# Costs in nats of the channel: a letter as itself, a look-alike, a filler skipped, a starred letter, a run shortened.
-SAME, ALIKE, SKIPPED, STARRED, SHORTENED = 0.0, 1.0, 0.5, 1.5, 0.7
+# Costs in nats of the channel: a letter as itself, a look-alike, a filler skipped, a starred letter, a longer run
+# shortened to one or two letters, and a pair to one.
+SAME, ALIKE, SKIPPED, STARRED, SHORTENED, UNDOUBLED = 0.0, 1.0, 0.5, 1.5, 0.7, 3.0
 
 
 def _codes() -> np.ndarray:
@@ -97,7 +99,7 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             steps.extend([[(chr(a), STARRED) for a in range(97, 123)] + [("", SKIPPED)]] * min(n, 3))
         elif c in LEET or c.isalpha():
             once = [(a, ALIKE) for a in LEET[c]] if c in LEET else [(c, SAME)]
-            step = [(a, cost + (0 if n == 1 else SHORTENED)) for a, cost in once]
+            step = [(a, cost + (0 if n == 1 else UNDOUBLED if n == 2 else SHORTENED)) for a, cost in once]
             steps.append(step + [(a + a, cost + (0 if n == 2 else SHORTENED)) for a, cost in once if n > 1])
         else:
             steps.append([("", SKIPPED)])
@@ -134,16 +136,24 @@ def disguised(word: str) -> bool:
     alike = sum(c in LEET for c in word)
     if not letters and alike < 3 or letters + alike < 3:
         return False
-    return letters < len(word) or re.search(r"(.)\1\1", word) is not None
+    return letters < len(word) or stretched(word)
+
+
+def stretched(word: str) -> bool:
+    """Whether a letter is written three times in a row, or letters are doubled three times."""
+    return re.search(r"(.)\1\1|(.)\2.*(.)\3.*(.)\4", word) is not None
 
 
 def restored(token: str, model: np.ndarray) -> str:
-    """The word behind a lower-cased token, without punctuation around it."""
+    """The word behind a lower-cased token, without punctuation around it. One or two signs that look like letters are
+    no punctuation right at the word, but at its end `!` is."""
     word = token.strip(EDGES)
-    tail = token[len(token.rstrip("$@")) :]
+    head, tail = token[: len(token) - len(token.lstrip("$@!|"))], token[len(token.rstrip("$@|")) :]
     if word and 0 < len(tail) < 3 and token.endswith(word + tail):
         word += tail
-    if word.isalpha() and not re.search(r"(.)\1\1", word):
+    if word and 0 < len(head) < 3 and token.startswith(head + word):
+        word = head + word
+    if word.isalpha() and not stretched(word):
         return word
     return decode(word, model) if disguised(word) else word
 
@@ -152,22 +162,24 @@ def tokens_of(text: str) -> set[str]:
     """Lower-cased tokens of a text, and what three or more single characters in a row spell together."""
     tokens = text.lower().split()
     found = set(tokens)
-    singles = [i for i, token in enumerate(tokens) if len(token) == 1]
+    singles = [i for i, token in enumerate(tokens) if len(token) < 3 and (len(token) == 1 or token[1] in ".,;:!?")]
     if len(singles) > 2:
         run: list[int] = []
         for i in [*singles, -2]:
             if run and i != run[-1] + 1:
-                letters = [tokens[k] for k in run]
+                letters = "".join(tokens[k][0] for k in run)
                 if len(run) > 2 and len(set(letters)) > 1:
-                    found.add("".join(letters))
+                    # A word of one letter may stand before or after.
+                    found.update((letters, letters[1:], letters[:-1]))
                 run = []
             run.append(i)
     return found
 
 
 def parts_of(word: str) -> set[str]:
-    """Parts of a word that starts with ^ and ends with $: runs of some characters, and the whole."""
-    marked = f"^{word}$"
+    """Parts of a word between ^ and $: runs of some characters, and the whole. Doubled letters count as one, as decoding
+    cannot always tell them from stretched ones."""
+    marked = f"^{DOUBLED.sub(r'\1', word)}$"
     parts = {marked[i : i + n] for n in PART_SIZES for i in range(len(marked) - n + 1)}
     parts.add(marked)
     return parts
