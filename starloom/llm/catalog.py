@@ -171,21 +171,24 @@ flagged AS (
     (PARTITION BY word.r ORDER BY word.i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS repeated
   FROM word LEFT JOIN starts ON word.r = starts.r AND word.i = starts.i),
 again AS (SELECT r, count(*) AS n_repeat_words FROM flagged WHERE repeated GROUP BY r),
+echoes AS (
+  SELECT r, count(*) AS n_echoed FROM (
+    SELECT r, w = lag(w) OVER (PARTITION BY r ORDER BY i) AS echo FROM word) WHERE echo GROUP BY r),
 counted AS (
-  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_echoed, 0) AS n_echoed_words,
     CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
     CAST(length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
     CAST(len(lines) AS BIGINT) AS n_lines,
     CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
     CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
     len(list_filter(words, lambda w: lower(w) IN ({_STOP}))) AS n_stop_words
-  FROM base LEFT JOIN again USING (r)),
+  FROM base LEFT JOIN again USING (r) LEFT JOIN echoes USING (r)),
 judged AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND 1000 * word_chars BETWEEN 1500 * n_words AND 20000 * n_words
   AND 1000 * n_symbols <= 100 * n_words AND 1000 * n_stop_words >= 30 * n_words
-  AND 1000 * n_dup_lines <= 300 * n_lines AS kept
+  AND 1000 * n_dup_lines <= 500 * n_lines AND 1000 * n_echoed_words <= 300 * n_words AS kept
 FROM judged""",
     "op9_mixing": f"""
 WITH docs AS (

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +62,13 @@ def in_tasks(docs: DataFrame, *columns: Column | str) -> DataFrame:
 def from_tasks(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """Undo `in_tasks`."""
     return rows.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+
+
+def portions(batches: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
+    """Batches cut into smaller ones, for functions whose arrays take many times the room of their rows. What Arrow holds
+    but does not use goes back to the system after each batch, as workers stay for other stages."""
+    for batch in batches:
+        for first in range(0, len(batch), rows):
+            yield batch.iloc[first : first + rows]
+        del batch
+        pa.default_memory_pool().release_unused()

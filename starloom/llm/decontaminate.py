@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded, from_tasks, in_tasks, settle
+from starloom.llm.common import bounded, from_tasks, in_tasks, portions, settle
 from starloom.llm.tokens import mixed, passes, shingle_hashes, word_hashes
 
 #: Words that a tile has at least; shared runs of so many words are the seeds.
@@ -175,7 +175,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, covered: int = COVERED, bl
 
         def search(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             block = shared.value
-            for batch in batches:
+            for batch in portions(batches):
                 texts, ids, rows = batch["text"].tolist(), batch["doc_id"].tolist(), []
                 for first, last in passes(texts):
                     words, limits = word_hashes(texts[first:last])

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded, from_tasks, in_tasks, settle
+from starloom.llm.common import bounded, from_tasks, in_tasks, portions, settle
 from starloom.llm.tokens import mixed, shingle_sets
 from starloom.session import scratch_path, stage
 from starloom.storage import discard
@@ -69,7 +69,7 @@ def _identity(shingles: np.ndarray) -> bytes:
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A row per document, and at the end of a task its fullest buckets."""
     counts, documents = np.zeros(BUCKETS, np.int64), 0
-    for batch in batches:
+    for batch in portions(batches):
         sizes, ids, prefixes = [], [], []
         for shingles in _sets(batch["text"].tolist()):
             sizes.append(len(shingles))
@@ -105,7 +105,7 @@ def candidates(docs: DataFrame, classes: DataFrame, n_documents: int, common: np
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         common, hot = shared.value
-        for batch in batches:
+        for batch in portions(batches):
             rows, owners, lengths, needs = [], [], [], []
             for doc_id, shingles in zip(batch["doc_id"].tolist(), _sets(batch["text"].tolist()), strict=True):
                 if not len(shingles):
@@ -148,7 +148,7 @@ def _shingle_rows(docs: DataFrame, chosen: DataFrame, common: np.ndarray) -> Dat
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         common = shared.value
-        for batch in batches:
+        for batch in portions(batches):
             found = [s for s in _sets(batch["text"].tolist()) if len(s)]
             known = [common[(s & np.uint64(BUCKETS - 1)).astype(np.int64)] for s in found]
             yield pd.DataFrame(

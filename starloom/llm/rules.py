@@ -51,7 +51,8 @@ RULES = (
     Rule("word_length", "word_chars", "n_words", low=1500, high=20000),
     Rule("symbols", "n_symbols", "n_words", high=100),
     Rule("stop_words", "n_stop_words", "n_words", low=30),
-    Rule("repeated_lines", "n_dup_lines", "n_lines", high=300),
+    Rule("repeated_lines", "n_dup_lines", "n_lines", high=500),
+    Rule("echoed_words", "n_echoed_words", "n_words", high=300),
 )
 
 
@@ -115,7 +116,9 @@ def measure(docs: DataFrame) -> DataFrame:
             lambda i: F.xxhash64(*[F.get(F.col("hashed"), i + k) for k in range(WINDOW)]),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
-    third = second.withColumn("windows", window).drop("hashed")
+    # Words equal to the one before.
+    echoed = F.filter("hashed", lambda h, i: (i > 0) & (F.get(F.col("hashed"), i - 1) == h))
+    third = second.withColumn("n_echoed_words", F.size(echoed).cast("bigint")).withColumn("windows", window).drop("hashed")
     return third.withColumn("n_repeat_words", _repeated_words(F.col("windows"))).drop("windows")
 
 

@@ -18,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded, from_tasks, held_out, in_tasks, settle, words_of
+from starloom.llm.common import bounded, from_tasks, held_out, in_tasks, portions, settle, words_of
 
 FOLDS, FOLD = 4, 2
 THRESHOLD = 0.3
 #: Labelled documents that word parts are learned from at most, those with the smallest hashes of their ids.
 TRAIN_ROWS = 20_000
 #: Distinct tokens that a task remembers at once.
-KNOWN = 1 << 19
+KNOWN = 1 << 18
 #: A part must occur in this share of the toxic documents of a half of the sample, and in so many.
 MIN_SHARE, MIN_DOCS = 0.02, 3
 #: Log-odds that the other half must give it.
@@ -64,7 +64,7 @@ def _codes() -> np.ndarray:
 
 def _count_trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     codes, total = _codes(), np.zeros(LETTERS**3, np.int64)
-    for batch in batches:
+    for batch in portions(batches):
         for text in batch["text"]:
             c = codes[np.frombuffer((" " + text.lower().replace("?", " ") + " ").encode("latin-1", "replace"), np.uint8)]
             c = c[np.concatenate([[True], (c[1:] != 0) | (c[:-1] != 0)])]
@@ -378,7 +378,7 @@ def score(docs: DataFrame, model: np.ndarray, prior: float, weights: dict[str, f
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         judge = _judge(*shared.value)
-        for batch in batches:
+        for batch in portions(batches):
             judged = [judge(text) for text in batch["text"]]
             yield pd.DataFrame(
                 {
@@ -404,6 +404,8 @@ def without_toxic(docs: DataFrame, model: np.ndarray, prior: float, weights: dic
         for batch in batches:
             texts = batch.column("text").to_pylist()
             yield batch.filter(pa.array([judge(text)[0] < THRESHOLD for text in texts], pa.bool_()))
+            del batch, texts
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(kept, docs.schema)
 
