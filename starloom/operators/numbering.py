@@ -4,6 +4,9 @@ A `row_number()` over the whole table runs in one task. Here the table is cut in
 column, the ranges are counted on a scan of that one column, and each range is sorted by a task of its own
 and numbered from its offset.
 
+Equal order values are numbered by the other columns, in their order, nulls last. Rows that are equal in
+all of these are the same row, so the numbers depend on the content of the table alone, not on its layout.
+
 Both ways read `df` more than once, so it must stand on an immutable snapshot.
 """
 
@@ -12,7 +15,7 @@ from __future__ import annotations
 import math
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +37,9 @@ def with_dense_key(
     max_ranges: int = MAX_RANGES,
     scratch: str | None = None,
 ) -> DataFrame:
-    """`df` plus `key` = 1..N in ascending order of `order_by` (nulls last).
+    """`df` plus `key` = 1..N in ascending order of `order_by` (nulls last), then of the other columns.
+
+    Columns of a type without an order, such as maps, cannot break ties and are passed over.
 
     `scratch` is a folder for written tables, if they are needed; whoever names it may discard it once
     the result has been written.
@@ -61,12 +66,26 @@ def with_dense_key(
     placed = (
         df.withColumn("_bucket", bucket)
         .repartitionById(ranges + 1, "_bucket")
-        .sortWithinPartitions(F.col(order_by).asc_nulls_last())
+        .sortWithinPartitions(*_content_order(df, order_by))
         .withColumn("_place", F.monotonically_increasing_id())
     )
     return _from_offsets(placed, key, "_bucket", sizes, df.columns)
 
 
+def _content_order(df: DataFrame, order_by: str) -> list[Column]:
+    """Orders rows by `order_by` and then by the other columns."""
+    others = [f.name for f in df.schema.fields if f.name != order_by and _has_order(f.dataType)]
+    return [F.col(f"`{c}`").asc_nulls_last() for c in (order_by, *others)]
+
+
+def _has_order(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def _from_offsets(placed: DataFrame, key: str, part: str, sizes: list, columns: list[str]) -> DataFrame:
     """Number rows by the sizes of the parts before theirs, plus their own position `_place` in the part.
 
@@ -86,15 +105,15 @@ def _numbered_by_file(
 ) -> DataFrame:
     """For any order column and any skew, at the price of two written tables.
 
-    The rows are range-partitioned by the order column and, for equal values, by their place in a staged
-    file. That place is unique and survives a retry, so one hot value, or a group of whole-row copies,
-    spreads over many tasks. Every sorted task then writes one file that carries its own row positions.
+    The rows are range-partitioned by the order column, the other columns and, for whole-row copies, their
+    place in a staged file. That place is unique and survives a retry, so one hot value, or a group of
+    copies, spreads over many tasks. Every sorted task then writes one file that carries its own row positions.
     """
     spark = df.sparkSession
     folder = scratch_path(spark, "numbering") if scratch is None else f"{scratch}/numbering-{key}"
     staged = stage(df, f"{folder}/input")
     parts = max(1, min(max_ranges, math.ceil(staged.count() / range_rows)))
-    order = [F.col(order_by).asc_nulls_last(), F.col("_file"), F.col("_row")]
+    order = [*_content_order(df, order_by), F.col("_file"), F.col("_row")]
     path = f"{folder}/sorted"
     (
         staged.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))

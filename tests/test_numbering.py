@@ -35,6 +35,20 @@ def ways(monkeypatch):
     return taken
 
 
+def contents(numbered):
+    return sorted((r.n, r.id, r.v) for r in numbered.collect())
+
+
+@pytest.mark.parametrize("range_rows, way", [(1000, []), (10, ["file"])])
+def test_ties_are_broken_by_content_whatever_the_layout(spark, ways, range_rows, way):
+    rows = [(i % 5, f"v{i * 37 % 400}") for i in range(400)]
+    expected = [(n, *r) for n, r in enumerate(sorted(rows), 1)]
+    for tasks in (3, 7):
+        df = spark.createDataFrame(rows, "id BIGINT, v STRING").repartition(tasks)
+        assert contents(with_dense_key(df, "n", "id", range_rows=range_rows)) == expected
+    assert ways == way * 2
+
+
 def test_many_ranges(spark, ways):
     check(spark.range(5, 3005).select("id", (F.col("id") % 7).alias("v")).repartition(5), "id", range_rows=100)
     assert ways == []
