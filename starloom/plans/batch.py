@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom import storage
+from starloom.functions.text import CURRENCY_NAMES
 from starloom.operators import quality, star
 from starloom.session import scratch_path, stage
-from starloom.sinks.snapshots import each_at_once, require_incomplete, write_batch, write_json, write_log, write_parquet
+from starloom.sinks.snapshots import require_incomplete, write_batch, write_json, write_log, write_parquet
 from starloom.sinks.warehouse import Warehouse
 from starloom.sources.snapshots import read_landed, read_processed
 from starloom.sources.tables import Source
@@ -35,6 +37,7 @@ class Options:
     null_safe: bool = False
     quarter: str = "thirds"
     nulls: str = "drop"
+    currency_names: Mapping[str, str] = MappingProxyType(CURRENCY_NAMES)
 
 
 class BrokenConstraints(ValueError):
@@ -68,7 +71,7 @@ def sales_star(
         "dim_location": lambda: star.dim_location(address),
         "dim_counterparty": lambda: star.dim_counterparty(sources["counterparty"], address, options.null_safe),
         "dim_staff": lambda: star.dim_staff(sources["staff"], sources["department"], options.null_safe),
-        "dim_currency": lambda: star.dim_currency(sources["currency"]),
+        "dim_currency": lambda: star.dim_currency(sources["currency"], dict(options.currency_names)),
         "fact_sales_order": lambda: star.fact_sales_order(orders, scratch=scratch),
     }
 
@@ -100,26 +103,33 @@ def check_batch(spark: SparkSession, zones: Zones, batch: str, names: Iterable[s
     return quality.violations({n: read_processed(spark, zones.processed, batch, n) for n in names})
 
 
-def load_batch(
-    spark: SparkSession, zones: Zones, batch: str, warehouse: Warehouse, time_type: bool = False
-) -> None:
-    """Replace the warehouse by a processed batch: dimensions side by side, then the fact.
+def load_batch(spark: SparkSession, zones: Zones, batch: str, warehouse: Warehouse) -> bool:
+    """Replace the warehouse by a processed batch, unless it holds a newer one already; whether it did.
 
-    All constraints are checked first; a batch that breaks one leaves the warehouse as it was.
+    All constraints are checked first; a batch that breaks one leaves the warehouse as it was. Loading the batch that
+    is there once more is harmless.
     """
+    loaded = warehouse.loaded()
+    if loaded is not None and batch < loaded:
+        return False
     # At most one row per constraint comes back.
     found = check_batch(spark, zones, batch).collect()
     if found:
         raise BrokenConstraints(found)
+    processed = {n: read_processed(spark, zones.processed, batch, n) for n in SALES_NAMES}
+    tables = {
+        n: quality.conform(df, WAREHOUSE[n], checked=True, time_type=warehouse.time_type)
+        for n, df in processed.items()
+    }
+    warehouse.refresh(batch, tables)
+    return True
 
-    def replace(name: str) -> None:
-        df = read_processed(spark, zones.processed, batch, name)
-        warehouse.replace(name, quality.conform(df, WAREHOUSE[name], checked=True, time_type=time_type))
 
-    facts = [n for n in SALES_NAMES if WAREHOUSE[n].foreign_keys]
-    each_at_once(spark, [lambda n=n: replace(n) for n in SALES_NAMES if n not in facts])
-    for name in facts:
-        replace(name)
+def record_refusal(spark: SparkSession, zones: Zones, batch: str, found: list) -> None:
+    """Note why a batch was refused, beside the processed batches."""
+    rows = [(batch, r.table_name, r.rule, r.column_name, r.n) for r in found]
+    schema = "batch_id STRING, table_name STRING, rule STRING, column_name STRING, n BIGINT"
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").json(storage.refusal_path(zones.processed, batch))
 
 
 def run_batch(

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +11,7 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -26,19 +25,10 @@ def session(app: str = "starloom", master: str | None = None, **extra: str) -> S
     return builder.getOrCreate()
 
 
-@cache
-def _local_scratch(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="starloom-")
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only in local mode."""
+    """The folder named by spark.checkpoint.dir; where that is unset, one inside the warehouse, which all share too."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_scratch(spark.sparkContext.applicationId)
-    raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return (shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -53,3 +43,14 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute `df` once, into files in the shared folder that Spark's cleaner removes when nothing refers to them.
+
+    For what a returned plan still needs. What reads them outlives lost executors and never computes `df` again.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_root(df.sparkSession))
+    return df.checkpoint()

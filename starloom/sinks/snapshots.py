@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.text import JSON_FORMAT, upload_line
-from starloom.storage import exists, log_path, manifest_path, snapshot_path
+from starloom.storage import exists, log_path, manifest_path, snapshot_key, snapshot_path
 
 # Manifest columns and states.
 MANIFEST = (
@@ -47,7 +47,7 @@ def write_counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     """Write `df` and return its row count, observed by the write itself."""
     seen = Observation()
     write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get.get("rows", 0)
+    return seen.get["rows"]
 
 
 def each_at_once(spark: SparkSession, tasks: Iterable[Callable[[], object]]) -> list:
@@ -101,9 +101,10 @@ def read_manifest(spark: SparkSession, zone: str, batch: str = "*") -> DataFrame
 
 
 def manifest_lines(manifest: DataFrame) -> DataFrame:
-    """The log text of a manifest: one line per uploaded table."""
+    """The log text of a manifest: one line per uploaded table, with the table's place inside the zone."""
     at = F.date_format("written_at", "yyyy-MM-dd HH:mm:ss")
-    return manifest.where(F.col("status") == UPLOADED).select(upload_line(F.col("path"), at).alias("line"))
+    key = F.format_string(snapshot_key("%2$s", "%1$s", ".json"), "batch_id", "table_name")
+    return manifest.where(F.col("status") == UPLOADED).select(upload_line(key, at).alias("line"))
 
 
 def write_log(manifest: DataFrame, zone: str, at: datetime) -> str | None:
@@ -117,7 +118,20 @@ def write_log(manifest: DataFrame, zone: str, at: datetime) -> str | None:
 
 
 def batch_status(results: DataFrame, by: str, ok: Column, code: Column) -> DataFrame:
-    """Per batch: did every write succeed, and which codes did the others report."""
+    """Per batch: did every write succeed, and which codes did the others report.
+
+    The codes come as a list, so they must be a closed set, as the states of a manifest are. `status_counts` counts
+    any codes.
+    """
     return results.groupBy(by).agg(
         F.bool_and(ok).alias("all_ok"), F.sort_array(F.collect_set(F.when(~ok, code))).alias("bad_codes")
     )
+
+
+def status_counts(results: DataFrame, by: str, ok: Column, code: Column) -> DataFrame:
+    """Per batch: did every write succeed, and how many different codes did the others report.
+
+    Codes are made distinct by a grouping of their own, so no task holds all codes of a batch.
+    """
+    each = results.groupBy(F.col(by), F.when(~ok, code).alias("_code")).agg(F.bool_and(ok).alias("_ok"))
+    return each.groupBy(by).agg(F.bool_and("_ok").alias("all_ok"), F.count("_code").alias("n_bad_codes"))

@@ -1,52 +1,146 @@
-"""Full-refresh sinks for the warehouse: Parquet folders, catalog tables, or a database over JDBC."""
+"""Full-refresh sinks for the warehouse: Parquet folders, catalog tables, or a database over JDBC.
+
+A refresh is written beside what is there and takes its place by one switch at the end. Until then, and if it
+breaks off, readers see the old star whole. The warehouse knows which batch it holds.
+"""
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.specs import SALES_NAMES
+from starloom.sinks.snapshots import each_at_once
+from starloom.specs import SALES_NAMES, WAREHOUSE
+from starloom.storage import discard, exists
+
+# Types that databases name otherwise.
+SQL_TYPES = {"STRING": "TEXT"}
+POINTER = "batch_id STRING, version STRING, switched BIGINT"
 
 
 class Warehouse(Protocol):
-    def replace(self, name: str, df: DataFrame) -> None: ...
+    time_type: bool
+
+    def loaded(self) -> str | None:
+        """The batch that readers see."""
+        ...
+
+    def refresh(self, batch: str, tables: dict[str, DataFrame]) -> None: ...
 
     def table(self, name: str) -> DataFrame: ...
 
 
+class Versioned:
+    """Keeps a version of all tables per refresh, and a growing list of switches.
+
+    Readers follow the switch to the newest batch, and of a batch's to the last one, so of two refreshes at the same
+    time the older batch cannot win. The version before is kept for those who still read it.
+    """
+
+    spark: SparkSession
+
+    def _switches(self) -> DataFrame | None: ...
+
+    def _switch(self, pointer: DataFrame) -> None: ...
+
+    def _write(self, version: str, name: str, df: DataFrame) -> None: ...
+
+    def _drop(self, version: str, names: list[str]) -> None: ...
+
+    def _newest(self, n: int) -> list[Row]:
+        switches = self._switches()
+        return [] if switches is None else switches.orderBy(F.desc("batch_id"), F.desc("switched")).limit(n).collect()
+
+    def loaded(self) -> str | None:
+        newest = self._newest(1)
+        return newest[0].batch_id if newest else None
+
+    def version(self) -> str:
+        newest = self._newest(1)
+        if not newest:
+            raise LookupError("no batch has been loaded yet")
+        return newest[0].version
+
+    def refresh(self, batch: str, tables: dict[str, DataFrame]) -> None:
+        version = f"{batch}_{uuid.uuid4().hex[:8]}"
+        before = self._newest(2)
+        each_at_once(self.spark, [lambda n=n, df=df: self._write(version, n, df) for n, df in tables.items()])
+        number = max((r.switched for r in before), default=0) + 1
+        self._switch(self.spark.createDataFrame([(batch, version, number)], POINTER))
+        for old in before[1:]:
+            self._drop(old.version, list(tables))
+
+
 @dataclass
-class FolderWarehouse:
+class FolderWarehouse(Versioned):
     spark: SparkSession
     root: str
+    time_type: bool = False
+
+    def _switches(self) -> DataFrame | None:
+        path = f"{self.root}/switches"
+        return self.spark.read.schema(POINTER).json(path) if exists(self.spark, path) else None
 
-    def replace(self, name: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+    def _switch(self, pointer: DataFrame) -> None:
+        pointer.coalesce(1).write.mode("append").json(f"{self.root}/switches")
+
+    def _write(self, version: str, name: str, df: DataFrame) -> None:
+        df.write.parquet(f"{self.root}/versions/{version}/{name}")
+
+    def _drop(self, version: str, names: list[str]) -> None:
+        discard(self.spark, f"{self.root}/versions/{version}")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        return self.spark.read.parquet(f"{self.root}/versions/{self.version()}/{name}")
 
 
 @dataclass
-class CatalogWarehouse:
+class CatalogWarehouse(Versioned):
+    """A table per version. The view of a table's name follows after the switch, for readers by SQL."""
+
     spark: SparkSession
     database: str
+    time_type: bool = False
 
-    def replace(self, name: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").saveAsTable(f"{self.database}.{name}")
+    def _name(self, name: str, version: str) -> str:
+        return f"{self.database}.{name}__{version}"
+
+    def _switches(self) -> DataFrame | None:
+        name = f"{self.database}.switches"
+        return self.spark.table(name) if self.spark.catalog.tableExists(name) else None
+
+    def _switch(self, pointer: DataFrame) -> None:
+        pointer.coalesce(1).write.mode("append").saveAsTable(f"{self.database}.switches")
+
+    def _write(self, version: str, name: str, df: DataFrame) -> None:
+        df.write.saveAsTable(self._name(name, version))
+
+    def _drop(self, version: str, names: list[str]) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(name, version)}")
+
+    def refresh(self, batch: str, tables: dict[str, DataFrame]) -> None:
+        super().refresh(batch, tables)
+        for name in tables:
+            version = self._name(name, self.version())
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self.database}.{name} AS SELECT * FROM {version}")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.table(f"{self.database}.{name}")
+        return self.spark.table(self._name(name, self.version()))
 
 
 @dataclass
 class JdbcWarehouse:
-    """Bulk inserts in place of a statement per row, into the declared tables.
+    """Bulk inserts into staging tables, then one statement that the database runs as a transaction.
 
-    Emptying a dimension also empties the fact that references it, hence dimensions are replaced first.
+    That statement empties the facts of the batch, brings the dimensions up to date by key and fills the facts again,
+    with each column cast to its declared type. Nothing cascades: facts outside the batch keep their rows, and if one
+    of them refers to a row that is gone, the database refuses the whole refresh.
     """
 
     spark: SparkSession
@@ -54,19 +148,50 @@ class JdbcWarehouse:
     options: dict[str, str] = field(default_factory=dict)
     batch_rows: int = 10_000
     connections: int = 16
+    time_type: bool = False
+
+    STAGING = "__new"
+    LOADED = "loaded_batch"
 
     def _options(self, name: str) -> dict[str, object]:
         return {"url": self.url, "dbtable": name, **self.options}
 
-    def replace(self, name: str, df: DataFrame) -> None:
-        settings = {
-            "truncate": "true",
-            "cascadeTruncate": "true",
-            "batchsize": self.batch_rows,
-            "numPartitions": self.connections,
-        }
+    def _write(self, name: str, df: DataFrame) -> None:
+        settings = {"batchsize": self.batch_rows, "numPartitions": self.connections}
         df.write.format("jdbc").mode("overwrite").options(**self._options(name), **settings).save()
 
+    def _execute(self, statement: str) -> None:
+        """Run a statement through the hook that the reader offers for each session; the query itself is a formality."""
+        settings = {"url": self.url, "query": "SELECT 1 AS done", "sessionInitStatement": statement, **self.options}
+        self.spark.read.format("jdbc").options(**settings).load().collect()
+
+    def loaded(self) -> str | None:
+        self._execute(f"CREATE TABLE IF NOT EXISTS {self.LOADED} (batch_id TEXT)")
+        return self.table(self.LOADED).agg(F.max("batch_id")).first()[0]
+
+    def statement(self, batch: str, names: list[str]) -> str:
+        facts = [n for n in names if WAREHOUSE[n].foreign_keys]
+        dimensions = [n for n in names if n not in facts]
+        steps = ["BEGIN", *[f"DELETE FROM {n}" for n in facts]]
+        for name in [*dimensions, *facts]:
+            spec, staged = WAREHOUSE[name], name + self.STAGING
+            insert = (
+                f"INSERT INTO {name} ({', '.join(spec.names)}) "
+                f"SELECT {', '.join(f'CAST({c.name} AS {SQL_TYPES.get(c.type, c.type)})' for c in spec.columns)} FROM {staged}"
+            )
+            if name in dimensions:
+                gone = f"NOT EXISTS (SELECT 1 FROM {staged} s WHERE s.{spec.key} = {name}.{spec.key})"
+                steps.append(f"DELETE FROM {name} WHERE {gone}")
+                changed = ", ".join(f"{c} = EXCLUDED.{c}" for c in spec.names[1:])
+                insert += f" ON CONFLICT ({spec.key}) DO UPDATE SET {changed}"
+            steps.append(insert)
+        steps += [f"DELETE FROM {self.LOADED}", f"INSERT INTO {self.LOADED} VALUES ('{batch}')"]
+        return "; ".join([*steps, "COMMIT"])
+
+    def refresh(self, batch: str, tables: dict[str, DataFrame]) -> None:
+        each_at_once(self.spark, [lambda n=n, df=df: self._write(n + self.STAGING, df) for n, df in tables.items()])
+        self._execute(self.statement(batch, list(tables)))
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self._options(name)).load()
 

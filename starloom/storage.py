@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 DATA_DIR = "data"
 MANIFEST_DIR = "manifest"
 LOG_DIR = "logs"
+REFUSED_DIR = "refused"
 BATCH_FORMAT = "%Y%m%d_%H%M%S"
 LOG_FORMAT = "%Y-%m-%d_%H-%M-%S"
 
@@ -31,6 +32,10 @@ def manifest_path(zone: str, batch: str = "*") -> str:
     return f"{zone.rstrip('/')}/{MANIFEST_DIR}/{batch}"
 
 
+def refusal_path(zone: str, batch: str = "*") -> str:
+    return f"{zone.rstrip('/')}/{REFUSED_DIR}/{batch}"
+
+
 def log_path(zone: str, at: datetime) -> str:
     return f"{zone.rstrip('/')}/{LOG_DIR}/{at.strftime(LOG_FORMAT)}.log"
 

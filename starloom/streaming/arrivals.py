@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from starloom import storage
-from starloom.plans.batch import Options, Zones, load_batch, transform_batch
+from starloom.plans.batch import BrokenConstraints, Options, Zones, load_batch, record_refusal, transform_batch
 from starloom.sinks.snapshots import MANIFEST, is_complete
 from starloom.sinks.warehouse import Warehouse
 
+#: How many batches a trigger takes up. It has no bearing on which batch ends up in the warehouse.
 BATCHES_PER_TRIGGER = 16
 
 
@@ -70,14 +71,19 @@ def transform_arrivals(
 def load_arrivals(
     spark: SparkSession, zones: Zones, warehouse: Warehouse, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Refresh the warehouse from the newest processed batch; each refresh replaces all there is.
+    """Keep the warehouse at the newest processed batch that breaks no constraint.
 
-    Repeating a refresh is harmless.
+    However batches arrive and triggers are cut, a batch is loaded only if it is newer than what is there. One that
+    breaks a constraint is recorded as refused, and the next older one of the trigger is tried in its place.
     """
 
     def handle(batches: list[str]) -> None:
-        if batches:
-            load_batch(spark, zones, batches[-1], warehouse)
+        for batch in reversed(batches):
+            try:
+                load_batch(spark, zones, batch, warehouse)
+                return
+            except BrokenConstraints as refused:
+                record_refusal(spark, zones, batch, refused.found)
 
     storage.make_dir(spark, storage.manifest_path(zones.processed, ""))
     return on_arrival(spark, zones.processed, handle, checkpoint, trigger)

@@ -140,16 +140,62 @@ def test_catalog_warehouse(spark, zones, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS stars LOCATION '{tmp_path}/stars'")
     target = CatalogWarehouse(spark, "stars")
     try:
-        for _ in range(2):
-            target.replace("dim_currency", spark.createDataFrame(golden.CURRENCIES, "currency_id INT, a STRING, b STRING"))
-        assert target.table("dim_currency").count() == 3
+        assert target.loaded() is None
+        for n, batch in ((2, "b1"), (3, "b2"), (1, "b3")):
+            rows = golden.CURRENCIES[:n]
+            target.refresh(batch, {"dim_currency": spark.createDataFrame(rows, "currency_id INT, a STRING, b STRING")})
+            assert target.loaded() == batch
+            assert target.table("dim_currency").count() == spark.table("stars.dim_currency").count() == n
+        kept = [t.name for t in spark.catalog.listTables("stars") if t.name.startswith("dim_currency__")]
+        assert len(kept) == 2
     finally:
         spark.sql("DROP DATABASE stars CASCADE")
 
 
-def test_jdbc_warehouse_options(spark):
-    target = JdbcWarehouse(spark, "jdbc:x", {"user": "u"})
+def test_a_refresh_that_breaks_off_leaves_the_old_star(spark, zones, target):
+    plan.run_batch(spark, FrameSource(frames.consistent(spark)), zones, target, AT)
+    before = counts(target)
+    broken = spark.range(3).withColumn("x", F.raise_error(F.lit("gone")).cast("string"))
+    with pytest.raises(PySparkException):
+        target.refresh("20990101_000000", {"dim_design": spark.range(1), "fact_sales_order": broken})
+    assert target.loaded() == BATCH and counts(target) == before
+
+
+def test_an_older_batch_does_not_replace_a_newer_one(spark, zones, target):
+    newer = land(spark, zones, datetime(2025, 3, 4))
+    older = land(spark, zones, datetime(2025, 3, 3), sales_order=frames.sales_order(spark).where("sales_order_id < 4"))
+    for batch in (newer, older):
+        plan.transform_batch(spark, zones, batch, AT)
+    assert plan.load_batch(spark, zones, newer, target)
+    assert not plan.load_batch(spark, zones, older, target)
+    assert target.loaded() == newer and counts(target)["fact_sales_order"] == 10
+
+
+class FakeJdbcWarehouse(JdbcWarehouse):
+    """Records what would be sent to a database; none is available here."""
+
+    def _write(self, name, df):
+        self.sent = [*getattr(self, "sent", []), name]
+
+    def _execute(self, statement):
+        self.sent = [*getattr(self, "sent", []), statement]
+
+
+def test_jdbc_warehouse_switches_in_one_statement(spark):
+    target = FakeJdbcWarehouse(spark, "jdbc:x", {"user": "u"})
     assert target._options("dim_date") == {"url": "jdbc:x", "dbtable": "dim_date", "user": "u"}
+    target.refresh("b7", {n: spark.range(1) for n in SALES_NAMES})
+    assert sorted(target.sent[:-1]) == sorted(f"{n}__new" for n in SALES_NAMES)
+    steps = target.sent[-1].split("; ")
+    assert steps[:2] == ["BEGIN", "DELETE FROM fact_sales_order"] and steps[-1] == "COMMIT"
+    assert steps[-3:-1] == ["DELETE FROM loaded_batch", "INSERT INTO loaded_batch VALUES ('b7')"]
+    assert "INSERT INTO fact_sales_order " in steps[-4] and "CAST(created_time AS TIME)" in steps[-4]
+    for word in ("TRUNCATE", "CASCADE", "fact_purchase_order", "fact_payment"):
+        assert word not in target.sent[-1]
+    (currency,) = [s for s in steps if s.startswith("INSERT INTO dim_currency")]
+    assert currency.endswith(
+        "ON CONFLICT (currency_id) DO UPDATE SET currency_code = EXCLUDED.currency_code, currency_name = EXCLUDED.currency_name"
+    )
 
 
 def test_preview(spark):
@@ -178,6 +224,19 @@ def test_stream_transforms_and_loads_batches_as_they_land(spark, zones, target,
     assert sorted(r.batch_id for r in done) == [first, second]
 
 
+def test_stream_keeps_the_newest_sound_batch(spark, zones, target, tmp_path):
+    some = frames.sales_order(spark)
+    newer = land(spark, zones, datetime(2025, 1, 2))
+    older = land(spark, zones, datetime(2025, 1, 1), sales_order=some.where("sales_order_id < 4"))
+    broken = land(spark, zones, datetime(2025, 1, 3), sales_order=frames.sales_order(spark, staff_id=99))
+    for batch in (newer, older, broken):
+        plan.transform_batch(spark, zones, batch, AT)
+        finished(load_arrivals(spark, zones, target, str(tmp_path / "l")))
+        assert target.loaded() == newer and counts(target)["fact_sales_order"] == 10
+    refused = spark.read.json(storage.refusal_path(zones.processed)).collect()
+    assert [(r.batch_id, r.column_name, r.n) for r in refused] == [(broken, "sales_staff_id", 10)]
+
+
 def test_stream_repeats_a_trigger_without_harm(spark, zones, tmp_path):
     land(spark, zones)
     finished(transform_arrivals(spark, zones, str(tmp_path / "t"), clock=lambda: AT))
