@@ -71,21 +71,23 @@ def orphan_rows(df: DataFrame, column: str, dimension: DataFrame, key: str) -> D
 def value_counts(df: DataFrame, kinds: dict[str, str | None]) -> DataFrame:
     """(column_name, missing, value, n): how often every value of every column occurs.
 
-    One grouping per column, each on a scan of that column alone, so values are combined before the
-    shuffle and what moves is distinct values. Values become their declared type after that, then text;
-    a value that does not fit is NULL without being `missing`.
+    Columns that are alike in type and declared type are grouped together, on one scan of just these columns, under
+    their names. Values are combined before the shuffle, so what moves is distinct values in their own
+    type. They become their declared type after that, then text; a value that does not fit is NULL without
+    being `missing`.
     """
-    counted = [
-        df.groupBy(c)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            F.lit(c).alias("column_name"),
-            F.col(c).isNull().alias("missing"),
-            (converted(df, c, kind) if kind else F.col(c)).cast("string").alias("value"),
-            "n",
-        )
-        for c, kind in kinds.items()
-    ]
+    types = dict(df.dtypes)
+    alike: dict[tuple[str, str | None], list[str]] = {}
+    for column, kind in kinds.items():
+        alike.setdefault((types[column], kind), []).append(column)
+    counted = []
+    for (_, kind), columns in alike.items():
+        named = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("_value")) for c in columns]
+        each = df.select(F.explode(F.array(*named)).alias("_each")).select("_each.*")
+        grouped = each.groupBy("column_name", "_value").agg(F.count(F.lit(1)).alias("n"))
+        value = converted(grouped, "_value", kind) if kind else F.col("_value")
+        missing = F.col("_value").isNull().alias("missing")
+        counted.append(grouped.select("column_name", missing, value.cast("string").alias("value"), "n"))
     return reduce(DataFrame.unionByName, counted)
 
 

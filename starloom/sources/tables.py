@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions.text import is_public
+from starloom.specs import SOURCES
 
 
 class Source(Protocol):
@@ -44,11 +48,19 @@ class CatalogSource:
         return self.spark.table(f"{self.database}.{table}" if self.database else table)
 
 
+class UnknownKey(ValueError):
+    """A table whose scan cannot be divided, as no key of it is known."""
+
+
 @dataclass
 class JdbcSource:
-    """Tables of one database schema, each read by `partitions` parallel range scans of its key.
+    """Tables of one database schema, each read by `partitions` parallel scans.
 
-    Filters and column selections on the result are pushed to the database. A failing table raises.
+    A scan is divided by the table's key: the one given in `keys`, or the first declared column of an operational
+    table. Whole-number keys are cut where the database counts equal shares of the rows, so that clustered keys make
+    no hot partition; other keys by a hash that the database computes. A table without a known key is refused
+    unless `whole` names it, which reads it in one task. Filters and column selections on the result are
+    pushed to the database. A failing table raises.
     """
 
     spark: SparkSession
@@ -56,36 +68,52 @@ class JdbcSource:
     options: dict[str, str] = field(default_factory=dict)
     database_schema: str = "public"
     keys: dict[str, str] = field(default_factory=dict)
+    whole: frozenset[str] = frozenset()
     partitions: int = 32
     fetch_rows: int = 10_000
+    #: A non-negative whole number from the key, in the database's own dialect.
+    hash_expression: str = "abs(hashtext(CAST({key} AS TEXT)) % {n})"
 
     def _load(self, **options) -> DataFrame:
         settings = {"url": self.url, "fetchsize": self.fetch_rows, **self.options, **options}
         return self.spark.read.format("jdbc").options(**settings).load()
 
+    def _divided(self, table: str, predicates: list[str]) -> DataFrame:
+        settings = {"fetchsize": str(self.fetch_rows), **self.options}
+        return self.spark.read.jdbc(self.url, table, predicates=predicates, properties=settings)
+
     def tables(self) -> list[str]:
         names = self._load(dbtable="information_schema.tables")
         mine = (F.col("table_schema") == self.database_schema) & is_public("table_name")
         return [r.table_name for r in names.where(mine).select("table_name").orderBy("table_name").collect()]
 
-    def range_options(self, table: str) -> dict[str, object]:
-        """Bounds of the key, from one aggregate in the database. Rows outside them are read as well."""
-        key = self.keys.get(table)
-        if key is None:
-            return {}
-        query = f"SELECT min({key}) AS low, max({key}) AS high FROM {self.database_schema}.{table}"
-        low, high = self._load(query=query).first()
-        if low is None:
-            return {}
-        return {
-            "partitionColumn": key,
-            "lowerBound": low,
-            "upperBound": high + 1,
-            "numPartitions": self.partitions,
-        }
+    def key(self, table: str) -> str:
+        known = self.keys.get(table) or (SOURCES[table].split()[0] if table in SOURCES else None)
+        if known is None:
+            raise UnknownKey(f"no key of {table} is known to divide its scan by; name one, or read it whole")
+        return known
+
+    def predicates(self, table: str) -> list[str]:
+        """Conditions that together hold for every row once."""
+        key, name = self.key(table), f"{self.database_schema}.{table}"
+        kind = self._load(query=f"SELECT {key} FROM {name} WHERE 1 = 0").schema[0].dataType
+        if not isinstance(kind, T.IntegralType):
+            part = self.hash_expression.format(key=key, n=self.partitions)
+            return [f"{key} IS NULL", *[f"{part} = {i}" for i in range(self.partitions)]]
+        shares = f"SELECT {key}, ntile({self.partitions}) OVER (ORDER BY {key}) AS part FROM {name} WHERE {key} IS NOT NULL"
+        query = f"SELECT max({key}) AS upper FROM ({shares}) shares GROUP BY part"
+        # One row per share comes back.
+        uppers = sorted({r.upper for r in self._load(query=query).collect()})[:-1]
+        if not uppers:
+            return ["1 = 1"]
+        between = [f"{key} > {low} AND {key} <= {high}" for low, high in zip(uppers, uppers[1:])]
+        return [f"{key} <= {uppers[0]} OR {key} IS NULL", *between, f"{key} > {uppers[-1]}"]
 
     def read(self, table: str) -> DataFrame:
-        return self._load(dbtable=f"{self.database_schema}.{table}", **self.range_options(table))
+        name = f"{self.database_schema}.{table}"
+        if table in self.whole:
+            return self._load(dbtable=name)
+        return self._divided(name, self.predicates(table))
 
 
 def changed_since(df: DataFrame, watermark: Column | str, column: str = "last_updated") -> DataFrame:
@@ -94,11 +122,27 @@ def changed_since(df: DataFrame, watermark: Column | str, column: str = "last_up
 
 
 def latest_per_key(df: DataFrame, keys: list[str], *order_by: str) -> DataFrame:
-    """The newest version of every key.
+    """The newest version of every key: the one with the greatest `order_by`, column by column, nulls least.
 
-    An aggregate rather than a window: versions collapse before the shuffle, so a key with very many
-    versions never meets in one task.
+    Of versions that are equal in these, the one with the greatest hash of all columns; copies of it are one. The
+    greatest values are found by hash aggregates of fixed-width columns alone, one column at a time, so versions
+    collapse before each shuffle and nothing is sorted; a key with very many versions never meets in one task. The
+    rows then meet only their key's newest values.
     """
-    others = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*others), F.struct(*order_by)).alias("_newest")
-    return df.groupBy(*keys).agg(newest).select(*[c if c in keys else f"_newest.{c}" for c in df.columns])
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    steps = [*order_by, "_hash"]
+    best = hashed.select(*keys, *steps)
+    newest: DataFrame | None = None
+    maxima = []
+    for k in range(len(steps) - 1, -1, -1):
+        best = best.groupBy(*keys, *steps[:k]).agg(F.max(steps[k]).alias(steps[k]))
+        maxima.append(best)
+    for k, level in enumerate(reversed(maxima)):
+        newest = level if newest is None else _same(level, newest, [*keys, *steps[:k]])
+    return _same(hashed, newest, [*keys, *steps]).select(*df.columns).distinct()
+
+
+def _same(rows: DataFrame, wanted: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows whose values in the columns, nulls included, are among the wanted ones."""
+    renamed = wanted.select(*[F.col(c).alias(f"_wanted_{c}") for c in columns])
+    return rows.join(renamed, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_wanted_{c}")) for c in columns]), "left_semi")

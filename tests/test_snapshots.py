@@ -12,7 +12,7 @@ from starloom.functions import text
 from starloom.plans.batch import Zones, extract_batch
 from starloom.sinks import snapshots as sink
 from starloom.sources import snapshots as source
-from starloom.sources.tables import CatalogSource, FrameSource, JdbcSource, changed_since, latest_per_key
+from starloom.sources.tables import CatalogSource, FrameSource, JdbcSource, UnknownKey, changed_since, latest_per_key
 from starloom.specs import SOURCES
 
 AT = datetime(2024, 3, 3, 12, 0, 0)
@@ -123,11 +123,11 @@ def written(spark, *names, status=sink.UPLOADED):
 
 
 def test_log_text(spark, tmp_path):
-    manifest = written(spark, "file1.txt", "file2.txt", "file3.txt")
+    manifest = written(spark, "design", "staff").union(written(spark, "currency", status=sink.SKIPPED_EMPTY))
     path = sink.write_log(manifest, str(tmp_path), AT)
-    assert path.endswith("logs/2024-03-03_12-00-00.log")
+    assert path.endswith(f"logs/{AT:%Y-%m-%d_%H-%M-%S}.log")
     assert [r.value for r in spark.read.text(path).orderBy("value").collect()] == [
-        f"Uploaded: file{i}.txt at 2024-03-03 12:00:00" for i in (1, 2, 3)
+        f"Uploaded: data/b/{name}.json at {AT:%Y-%m-%d %H:%M:%S}" for name in ("design", "staff")
     ]
     assert sink.write_log(written(spark), str(tmp_path), datetime(2024, 1, 1)) is None
     assert not storage.exists(spark, storage.log_path(str(tmp_path), datetime(2024, 1, 1)))
@@ -182,35 +182,61 @@ def test_catalog_source_hides_underscored_tables(spark):
 class FakeJdbc(JdbcSource):
     """Records what would be sent to a database; none is available here."""
 
+    kind = "BIGINT"
+    uppers = ()
+
     def _load(self, **options):
-        self.sent = [*getattr(self, "sent", []), options]
+        if options.get("query", "").endswith("1 = 0"):
+            return self.spark.createDataFrame([], f"key {self.kind}")
         if "query" in options:
-            return self.spark.createDataFrame([self.bounds], "low BIGINT, high BIGINT")
+            self.query = options["query"]
+            return self.spark.createDataFrame([(u,) for u in self.uppers], "upper BIGINT")
         if options["dbtable"] == "information_schema.tables":
             return self.spark.createDataFrame(
                 [("public", "staff"), ("public", "_prisma"), ("other", "x"), ("public", "design")],
                 "table_schema STRING, table_name STRING",
             )
+        self.whole_read = options["dbtable"]
+        return self.spark.range(1)
+
+    def _divided(self, table, predicates):
+        self.sent = (table, predicates)
         return self.spark.range(1)
 
 
-def test_jdbc_source(spark):
-    tables = FakeJdbc(spark, "jdbc:x", keys={"staff": "staff_id"}, partitions=4)
-    assert tables.tables() == ["design", "staff"]
-    tables.bounds = (3, 90)
-    tables.read("staff")
-    assert tables.sent[-1] == {
-        "dbtable": "public.staff",
-        "partitionColumn": "staff_id",
-        "lowerBound": 3,
-        "upperBound": 91,
-        "numPartitions": 4,
-    }
-    tables.bounds = (None, None)
+def test_jdbc_tables(spark):
+    assert FakeJdbc(spark, "jdbc:x").tables() == ["design", "staff"]
+
+
+def test_jdbc_scan_of_a_whole_number_key_is_cut_into_counted_shares(spark):
+    tables = FakeJdbc(spark, "jdbc:x", partitions=4)
+    tables.uppers = (10, 1000, 20, 15)
     tables.read("staff")
-    assert tables.sent[-1] == {"dbtable": "public.staff"}
+    assert tables.sent == (
+        "public.staff",
+        ["staff_id <= 10 OR staff_id IS NULL", "staff_id > 10 AND staff_id <= 15", "staff_id > 15 AND staff_id <= 20", "staff_id > 20"],
+    )
+    assert "ntile(4) OVER (ORDER BY staff_id)" in tables.query
+    tables.uppers = ()
     tables.read("design")
-    assert tables.sent[-1] == {"dbtable": "public.design"}
+    assert tables.sent == ("public.design", ["1 = 1"])
+
+
+@pytest.mark.parametrize("kind", ["STRING", "TIMESTAMP"])
+def test_jdbc_scan_of_another_key_is_cut_by_a_hash(spark, kind):
+    tables = FakeJdbc(spark, "jdbc:x", keys={"log": "code"}, partitions=2)
+    tables.kind = kind
+    tables.read("log")
+    hashed = "abs(hashtext(CAST(code AS TEXT)) % 2)"
+    assert tables.sent == ("public.log", ["code IS NULL", f"{hashed} = 0", f"{hashed} = 1"])
+
+
+def test_jdbc_scan_without_a_key_is_refused_unless_it_is_asked_for(spark):
+    with pytest.raises(UnknownKey):
+        FakeJdbc(spark, "jdbc:x").read("log")
+    tables = FakeJdbc(spark, "jdbc:x", whole=frozenset({"log"}))
+    tables.read("log")
+    assert tables.whole_read == "public.log"
 
 
 def test_changed_since_and_latest(spark):
@@ -223,3 +249,17 @@ def test_changed_since_and_latest(spark):
     latest = latest_per_key(versions, ["id"], "last_updated")
     assert latest.columns == versions.columns
     assert sorted((r.id, r.v) for r in latest.collect()) == [(1, "b"), (2, None)]
+
+
+def test_latest_breaks_ties_column_by_column(spark):
+    rows = [(1, 5, None, "a"), (1, 5, 2, "b"), (1, 4, 9, "c"), (2, None, 1, "d"), (2, None, 1, "d"), (None, 1, 1, "e")]
+    versions = spark.createDataFrame(rows, "id INT, at BIGINT, nr BIGINT, v STRING")
+    latest = latest_per_key(versions, ["id"], "at", "nr")
+    assert sorted((r.v for r in latest.collect())) == ["b", "d", "e"]
+
+
+def test_status_counts(spark):
+    rows = [("a", 1, "x"), ("a", 0, "y"), ("a", 0, "y"), ("a", 0, "z"), ("b", 1, "x"), ("c", 0, None)]
+    results = spark.createDataFrame(rows, "batch STRING, ok INT, code STRING")
+    status = sink.status_counts(results, "batch", F.col("ok") == 1, F.col("code"))
+    assert sorted(map(tuple, status.collect())) == [("a", False, 2), ("b", True, 0), ("c", False, 0)]
