@@ -19,7 +19,18 @@ STAR_COUNTS = """
 SELECT 'dim_design' table_name, count(*) n FROM part UNION ALL SELECT 'dim_location', count(*) FROM customer
 UNION ALL SELECT 'dim_counterparty', count(*) FROM customer c JOIN customer a ON c.c_custkey // 2 = a.c_custkey
 UNION ALL SELECT 'dim_staff', count(*) FROM supplier JOIN region ON s_nationkey % 5 = r_regionkey
-UNION ALL SELECT 'dim_currency', count(*) FROM region WHERE r_regionkey < 3
+UNION ALL SELECT 'dim_currency', count(*) FROM region
+"""
+
+ORDER_DATES = "SELECT DISTINCT CAST(o_orderdate AS DATE) dt FROM orders"
+
+FULL_FACT = f"""
+WITH s AS ({SALES_ORDERS})
+SELECT CAST(row_number() OVER (ORDER BY sales_order_id) AS BIGINT) sales_record_id, sales_order_id,
+ CAST(created_at AS DATE) created_date, strftime(created_at, '%H:%M:%S.%g') created_time,
+ CAST(last_updated AS DATE) last_updated_date, strftime(last_updated, '%H:%M:%S.%g') last_updated_time,
+ staff_id sales_staff_id, counterparty_id, units_sold, CAST(unit_price AS DECIMAL(10,2)) unit_price, currency_id,
+ design_id, agreed_payment_date, agreed_delivery_date, agreed_delivery_location_id FROM s
 """
 
 ORACLES = {
@@ -61,18 +72,15 @@ SELECT CAST(row_number() OVER (ORDER BY event_id) AS BIGINT) sales_record_id, ev
  strftime(ts, '%Y-%m-%d') created_date, strftime(ts, '%H:%M:%S.%g') created_time, user_id counterparty_id,
  CAST(value AS DECIMAL(10,2)) unit_price FROM events
 """,
-    "fact_sales_order_full": f"""
-WITH s AS ({SALES_ORDERS})
-SELECT CAST(row_number() OVER (ORDER BY sales_order_id) AS BIGINT) sales_record_id, sales_order_id,
- CAST(created_at AS DATE) created_date, strftime(created_at, '%H:%M:%S.%g') created_time,
- CAST(last_updated AS DATE) last_updated_date, strftime(last_updated, '%H:%M:%S.%g') last_updated_time,
- staff_id sales_staff_id, counterparty_id, units_sold, CAST(unit_price AS DECIMAL(10,2)) unit_price, currency_id,
- design_id, agreed_payment_date, agreed_delivery_date, agreed_delivery_location_id FROM s
-""",
+    "fact_sales_order_full": FULL_FACT,
     "fact_by_text_key": """
 WITH k AS (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority, o_orderkey) record_id FROM orders)
 SELECT o_orderpriority, CAST(min(record_id) AS BIGINT) first_id, CAST(max(record_id) AS BIGINT) last_id,
  CAST(count(DISTINCT record_id) AS BIGINT) n_ids FROM k GROUP BY o_orderpriority
+""",
+    "fact_tied_keys": """
+SELECT CAST(row_number() OVER (ORDER BY event_id % 20, user_id NULLS LAST, event_id NULLS LAST, event_type NULLS LAST)
+ AS BIGINT) record_id, event_id % 20 k, user_id, event_id, event_type FROM events
 """,
     "star_dim_counterparty": """
 SELECT CAST(c.c_custkey AS INT) counterparty_id, c.c_name counterparty_legal_name,
@@ -169,8 +177,11 @@ UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'events', count
 SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 10
 """,
     "manifest_lines": """
-SELECT table_name, CASE WHEN n = 0 THEN 'skipped_empty' ELSE 'uploaded' END status, CAST(n AS BIGINT) row_count,
- 'Uploaded: data/20240101_000000/' || table_name || '.json at 2024-01-01 00:00:00' line
+SELECT 'Uploaded: data/20240101_000000/' || table_name || '.json at 2024-01-01 00:00:00' line
+FROM (SELECT 'region' table_name, count(*) n FROM region UNION ALL SELECT 'orders', count(*) FROM orders) WHERE n > 0
+""",
+    "manifest_states": """
+SELECT table_name, CASE WHEN n = 0 THEN 'skipped_empty' ELSE 'uploaded' END status, CAST(n AS BIGINT) row_count
 FROM (SELECT 'region' table_name, count(*) n FROM region UNION ALL SELECT 'empty', count(*) FROM region WHERE false
  UNION ALL SELECT 'orders', count(*) FROM orders)
 """,
@@ -223,9 +234,24 @@ WITH found AS (
   SELECT 1 FROM orders GROUP BY CASE WHEN o_orderkey % 10 = 1 THEN o_orderkey - 1 ELSE o_orderkey END
   HAVING count(*) > 1)
  UNION ALL SELECT 'foreign_key', 'sales_staff_id', count(*) FROM orders WHERE o_orderkey % 30 >= 25
- UNION ALL SELECT 'foreign_key', 'currency_id', count(*) FROM orders WHERE o_orderkey % 4 = 3
+ UNION ALL SELECT 'foreign_key', 'currency_id', count(*) FROM orders WHERE o_orderkey % 6 = 5
  UNION ALL SELECT 'foreign_key', 'design_id', count(*) FROM orders WHERE o_orderkey % 100 >= 90)
 SELECT 'fact_sales_order' table_name, rule, column_name, CAST(n AS BIGINT) n FROM found WHERE n > 0
+""",
+    "dq_dimensions": f"""
+WITH found AS (
+ SELECT 'dim_date' table_name, 'not_null' rule, 'day_name' column_name, count(*) n
+  FROM ({ORDER_DATES}) WHERE day(dt) = 13
+ UNION ALL SELECT 'dim_design', 'primary_key', 'design_id', count(*) FROM (
+  SELECT 1 FROM part GROUP BY p_partkey // 2 HAVING count(*) > 1)
+ UNION ALL SELECT 'dim_location', 'not_null', 'city', count(*) FROM customer WHERE c_custkey % 17 = 0
+ UNION ALL SELECT 'dim_counterparty', 'primary_key', 'counterparty_id', count(*) FROM (
+  SELECT 1 FROM customer c JOIN customer a ON c.c_custkey // 2 = a.c_custkey GROUP BY c.c_custkey // 3
+  HAVING count(*) > 1)
+ UNION ALL SELECT 'dim_staff', 'not_null', 'email_address', count(*)
+  FROM supplier JOIN region ON s_nationkey % 5 = r_regionkey WHERE s_suppkey % 4 = 0
+ UNION ALL SELECT 'dim_currency', 'not_null', 'currency_name', count(*) FROM region WHERE r_regionkey >= 3)
+SELECT table_name, rule, column_name, CAST(n AS BIGINT) n FROM found WHERE n > 0
 """,
     "star_batch_refresh": f"""
 SELECT table_name, CAST(n AS BIGINT) n FROM ({STAR_COUNTS}
@@ -233,13 +259,25 @@ UNION ALL SELECT 'fact_sales_order', count(*) FROM orders
 UNION ALL SELECT 'dim_date', count(*) FROM ({ORDER_DAYS}))
 """,
     "snapshot_stream": f"""
-WITH batches(batch_id, until) AS (VALUES ('20240101_000000', DATE '1998-01-01'), ('20240102_000000', DATE '9999-01-01')),
+WITH batches(batch_id) AS (VALUES ('20240101_000000'), ('20240102_000000')),
 counts AS (SELECT batch_id, c.* FROM batches, ({STAR_COUNTS}) c
- UNION ALL SELECT batch_id, 'fact_sales_order', count(*) FROM orders, batches WHERE o_orderdate < until GROUP BY batch_id
- UNION ALL SELECT batch_id, 'dim_date', count(DISTINCT CAST(o_orderdate AS DATE) + CAST(later AS INT))
-  FROM orders, batches, (VALUES (0), (1), (7), (30)) l(later) WHERE o_orderdate < until GROUP BY batch_id)
+ UNION ALL SELECT '20240101_000000', 'fact_sales_order', 2 * count(*) FROM orders
+ UNION ALL SELECT '20240102_000000', 'fact_sales_order', count(*) FROM orders
+ UNION ALL SELECT '20240101_000000', 'dim_date', count(*) FROM (
+  {ORDER_DAYS} UNION SELECT CAST(o_orderdate - INTERVAL 1 YEAR AS DATE) FROM orders)
+ UNION ALL SELECT '20240102_000000', 'dim_date', count(*) FROM ({ORDER_DAYS}))
 SELECT batch_id, table_name, CASE WHEN n > 0 THEN 'uploaded' ELSE 'skipped_empty' END status,
  CAST(n AS BIGINT) row_count FROM counts
+""",
+    "loaded_fact_sales_order": FULL_FACT,
+    "loaded_dim_currency": """
+SELECT CAST(r_regionkey AS INT) currency_id, list_extract(['GBP', 'USD', 'EUR', 'CHF', 'JPY'], r_regionkey + 1) currency_code,
+ list_extract(['Great British Pounds', 'United States Dollars', 'Euro', 'Swiss Franc', 'Yen'], r_regionkey + 1) currency_name
+FROM region
+""",
+    "stream_load_order": """
+SELECT '20240102_000000' batch_id, CAST(count(*) AS BIGINT) n,
+ CAST(sum(CAST(o_totalprice + 1 AS DECIMAL(10,2))) AS DECIMAL(28,2)) revenue FROM orders
 """,
     "bi_heatmap": """
 SELECT CAST(year(o_orderdate) AS INT) "year", CAST(isodow(o_orderdate) AS INT) day_of_week,
@@ -249,6 +287,9 @@ FROM orders GROUP BY 1, 2
     "bi_star_rollup": """
 SELECT n.n_name country, CAST(year(o.o_orderdate) AS INT) "year",
  CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) revenue
-FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY 1, 2
+FROM orders o LEFT JOIN (customer c JOIN nation n ON c.c_nationkey = n.n_nationkey) ON o.o_custkey = c.c_custkey
+GROUP BY 1, 2
 """,
 }
+
+ORACLES["loaded_dim_counterparty"] = ORACLES["star_dim_counterparty"]

@@ -8,24 +8,25 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.catalog.roles import as_int, event_orders, operational, sales_order, sample
+from starloom.catalog.roles import CURRENCIES, as_int, event_orders, operational, sales_order, sample
 from starloom.functions import dates, text
 from starloom.operators import quality, star
 from starloom.operators.numbering import with_dense_key
 from starloom.plans import insight
-from starloom.plans.batch import Zones, extract_batch, run_batch
-from starloom.session import scratch_path, stage
+from starloom.plans.batch import Options, Zones, extract_batch, run_batch, transform_batch
+from starloom.session import scratch_path, settle
 from starloom.sinks import snapshots as sink
 from starloom.sinks import warehouse as wh
 from starloom.sources import snapshots as source
 from starloom.sources.tables import FrameSource, changed_since, latest_per_key
 from starloom.specs import SALES_SOURCES, WAREHOUSE, ForeignKey
 from starloom.storage import batch_id
-from starloom.streaming.arrivals import transform_arrivals
+from starloom.streaming.arrivals import load_arrivals, transform_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AT = datetime(2024, 1, 1)
+OPTIONS = Options(currency_names=CURRENCIES)
 
 
 # Star-schema transforms
@@ -134,6 +135,12 @@ def fact_by_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fact_tied_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense numbers by a whole number of which few values are shared by all rows; the other columns break ties."""
+    events = sample(spark, sf_dir, "events").select((F.col("event_id") % 20).alias("k"), "user_id", "event_id", "event_type")
+    return with_dense_key(events, "record_id", "k")
+
+
 def star_dim_counterparty(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = operational(spark, sf_dir)
     return star.dim_counterparty(tables["counterparty"], tables["address"])
@@ -288,7 +295,7 @@ def full_refresh_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = wh.FolderWarehouse(spark, scratch_path(spark, "warehouse"))
     orders = sample(spark, sf_dir, "orders")
     for _ in range(2):
-        target.replace("orders", orders)
+        target.refresh(batch_id(AT), {"orders": orders})
     return target.table("orders").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("n_keys")
     )
@@ -306,16 +313,20 @@ def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = sample(spark, sf_dir, "region")
     tables = {"region": region, "empty": region.where("false"), "orders": sample(spark, sf_dir, "orders")}
     batch, zone = batch_id(AT), scratch_path(spark, "landed")
-    manifest = extract_batch(spark, FrameSource(tables), Zones(zone, zone), batch, AT)
-    key = F.format_string("data/%s/%s.json", "batch_id", "table_name")
-    line = text.upload_line(key, F.date_format("written_at", "yyyy-MM-dd HH:mm:ss"))
-    return manifest.select("table_name", "status", "row_count", line.alias("line"))
+    return sink.manifest_lines(extract_batch(spark, FrameSource(tables), Zones(zone, zone), batch, AT))
+
+
+def manifest_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    region = sample(spark, sf_dir, "region")
+    tables = {"region": region, "empty": region.where("false"), "orders": sample(spark, sf_dir, "orders")}
+    zone = scratch_path(spark, "landed")
+    manifest = extract_batch(spark, FrameSource(tables), Zones(zone, zone), batch_id(AT), AT)
+    return manifest.select("table_name", "status", "row_count")
 
 
 def batch_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = sample(spark, sf_dir, "events")
-    status = sink.batch_status(events, "event_type", F.col("value") > 1, F.col("event_id") % 5)
-    return status.select("event_type", "all_ok", F.size("bad_codes").cast("bigint").alias("n_bad_codes"))
+    return sink.status_counts(events, "event_type", F.col("value") > 1, F.col("event_id") % 5)
 
 
 # Incremental reading
@@ -389,7 +400,7 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         as_int("o_custkey").alias("counterparty_id"),
         as_int(key % 1000).alias("units_sold"),
         (F.col("o_totalprice") * 1000).alias("unit_price"),
-        as_int(key % 4).alias("currency_id"),
+        as_int(key % 6).alias("currency_id"),
         as_int(key % 100).alias("design_id"),
         F.when(key % 7 == 0, "2024-13-01").otherwise(day).alias("agreed_payment_date"),
         day.alias("agreed_delivery_date"),
@@ -402,11 +413,30 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dim_location": star.dim_location(tables["address"]),
         "dim_counterparty": star.dim_counterparty(tables["counterparty"], tables["address"]),
         "dim_staff": star.dim_staff(tables["staff"], tables["department"]),
-        "dim_currency": star.dim_currency(tables["currency"]),
+        "dim_currency": star.dim_currency(tables["currency"], CURRENCIES),
     }
     return quality.violations(star_tables, ["fact_sales_order"])
 
 
+def dq_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every constraint of every dimension at once, with faults planted in each."""
+    tables = operational(spark, sf_dir)
+    days = star.dim_date(sample(spark, sf_dir, "orders"), ["o_orderdate"])
+    locations, staff = star.dim_location(tables["address"]), star.dim_staff(tables["staff"], tables["department"])
+    faulty = {
+        "dim_date": days.withColumn("day_name", F.when(F.col("day") != 13, F.col("day_name"))),
+        "dim_design": star.dim_design(tables["design"]).withColumn("design_id", as_int(F.floor(F.col("design_id") / 2))),
+        "dim_location": locations.withColumn("city", F.when(F.col("location_id") % 17 != 0, F.col("city"))),
+        "dim_counterparty": star.dim_counterparty(tables["counterparty"], tables["address"]).withColumn(
+            "counterparty_id", as_int(F.floor(F.col("counterparty_id") / 3))
+        ),
+        "dim_staff": staff.withColumn("email_address", F.when(F.col("staff_id") % 4 != 0, F.col("email_address"))),
+        # Names for three of the five codes only.
+        "dim_currency": star.dim_currency(tables["currency"]),
+    }
+    return quality.violations(faulty, list(faulty))
+
+
 # Whole batches
 
 
@@ -414,19 +444,68 @@ def star_batch_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extract, transform, check and load one batch; rows per warehouse table."""
     zones = Zones(scratch_path(spark, "landed"), scratch_path(spark, "processed"))
     target = wh.FolderWarehouse(spark, scratch_path(spark, "warehouse"))
-    run_batch(spark, FrameSource(operational(spark, sf_dir)), zones, target, AT)
+    run_batch(spark, FrameSource(operational(spark, sf_dir)), zones, target, AT, OPTIONS)
     return wh.table_counts(wh.dump(target))
 
 
+def loaded(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    zones = Zones(scratch_path(spark, "landed"), scratch_path(spark, "processed"))
+    target = wh.FolderWarehouse(spark, scratch_path(spark, "warehouse"))
+    run_batch(spark, FrameSource(operational(spark, sf_dir)), zones, target, AT, OPTIONS)
+    return target.table(name)
+
+
+def loaded_fact_sales_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as the warehouse holds it after a whole batch."""
+    return loaded(spark, sf_dir, "fact_sales_order")
+
+
+def loaded_dim_counterparty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return loaded(spark, sf_dir, "dim_counterparty")
+
+
+def loaded_dim_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return loaded(spark, sf_dir, "dim_currency")
+
+
+def stream_load_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A newer, an older and a newest but broken batch land; what the warehouse then holds, and its revenue."""
+    zones = Zones(scratch_path(spark, "landed"), scratch_path(spark, "processed"))
+    target = wh.FolderWarehouse(spark, scratch_path(spark, "warehouse"))
+    progress = scratch_path(spark, "stream")
+    tables = operational(spark, sf_dir)
+    orders = tables["sales_order"]
+    dearer = orders.withColumn("unit_price", F.col("unit_price") + 1)
+    broken = orders.withColumn("staff_id", F.lit(-1))
+    for day, version in ((2, dearer), (1, orders), (3, broken)):
+        at = datetime(2024, 1, day)
+        extract_batch(spark, FrameSource({**tables, "sales_order": version}), zones, batch_id(at), at, SALES_SOURCES)
+        transform_batch(spark, zones, batch_id(at), at, OPTIONS)
+        stream = load_arrivals(spark, zones, target, progress)
+        stream.awaitTermination()
+        if stream.exception():
+            raise stream.exception()
+    fact = target.table("fact_sales_order")
+    revenue = F.sum("unit_price").cast("decimal(28,2)").alias("revenue")
+    return fact.agg(F.lit(target.loaded()).alias("batch_id"), F.count(F.lit(1)).alias("n"), revenue)
+
+
 def snapshot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two landed batches, the second one larger, transformed as they arrive; rows per processed table."""
+    """Two landed batches, of the orders twice and once, transformed as they arrive; rows per processed table."""
     zones = Zones(scratch_path(spark, "landed"), scratch_path(spark, "processed"))
     tables = operational(spark, sf_dir)
-    early = tables["sales_order"].where(F.col("created_at") < F.lit(datetime(1998, 1, 1)).cast("timestamp_ntz"))
+    # The earlier state of every order, a year before and under an id of its own, besides the order itself.
+    before = tables["sales_order"].withColumns(
+        {
+            "sales_order_id": -F.col("sales_order_id"),
+            "created_at": F.col("created_at") - F.expr("INTERVAL '1' YEAR"),
+        }
+    )
+    early = tables["sales_order"].unionByName(before)
     for at, orders in ((datetime(2024, 1, 1), early), (datetime(2024, 1, 2), tables["sales_order"])):
         landed = FrameSource({**tables, "sales_order": orders})
         extract_batch(spark, landed, zones, batch_id(at), at, SALES_SOURCES)
-    stream = transform_arrivals(spark, zones, scratch_path(spark, "stream"), clock=lambda: AT)
+    stream = transform_arrivals(spark, zones, scratch_path(spark, "stream"), OPTIONS, clock=lambda: AT)
     stream.awaitTermination()
     if stream.exception():
         raise stream.exception()
@@ -439,16 +518,16 @@ def snapshot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bi_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily sums are stored and also name the days, so the orders are scanned once."""
     daily = insight.by_day(sample(spark, sf_dir, "orders"), "o_orderdate", "o_totalprice")
-    daily = stage(daily, scratch_path(spark, "daily"))
+    daily = settle(daily)
     return insight.heatmap(daily, star.calendar(daily.select("date_id")))
 
 
 def bi_star_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dimensions are stored first, as in a warehouse, so that the joins know their sizes."""
+    """The sums per counterparty and day are stored and also name the days, so the orders are scanned once."""
     orders = sample(spark, sf_dir, "orders").withColumn("counterparty_id", F.col("o_custkey"))
-    dim_dates = stage(star.dim_date(orders, ["o_orderdate"]), scratch_path(spark, "dim-date"))
-    places = stage(dim_counterparty(spark, sf_dir), scratch_path(spark, "dim-counterparty"))
-    return insight.country_years(orders, "o_orderdate", "o_totalprice", dim_dates, places)
+    daily = settle(insight.by_counterparty_day(orders, "o_orderdate", "o_totalprice"))
+    days = star.calendar(daily.where("date_id IS NOT NULL").select("date_id").distinct())
+    return insight.country_years(daily, days, dim_counterparty(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
@@ -465,6 +544,7 @@ QUERIES: dict[str, Query] = {
         fact_sales_order,
         fact_sales_order_full,
         fact_by_text_key,
+        fact_tied_keys,
         star_dim_counterparty,
         star_dim_staff,
         star_dim_location,
@@ -486,6 +566,7 @@ QUERIES: dict[str, Query] = {
         warehouse_table_counts,
         preview_limit,
         manifest_lines,
+        manifest_states,
         batch_status,
         incremental_filter,
         latest_version,
@@ -496,8 +577,13 @@ QUERIES: dict[str, Query] = {
         dq_numeric_fit,
         dq_date_parse,
         dq_report,
+        dq_dimensions,
         star_batch_refresh,
+        loaded_fact_sales_order,
+        loaded_dim_counterparty,
+        loaded_dim_currency,
         snapshot_stream,
+        stream_load_order,
         bi_heatmap,
         bi_star_rollup,
     )

@@ -1,7 +1,7 @@
 """The sample tables in the role of the operational tables.
 
 Orders play the sales orders, customers the counterparties and the addresses, parts the designs, suppliers
-the staff, regions the departments and (the first three) the currencies.
+the staff, regions the departments and the currencies.
 """
 
 from __future__ import annotations
@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CURRENCY_CODES = ("GBP", "USD", "EUR")
+#: A currency per region.
+CURRENCIES = {
+    "GBP": "Great British Pounds", "USD": "United States Dollars", "EUR": "Euro", "CHF": "Swiss Franc", "JPY": "Yen",
+}
 
 
 def sample(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +30,7 @@ def stamped(df: DataFrame, *columns: Column) -> DataFrame:
 
 def operational(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     customer, region = sample(spark, sf_dir, "customer"), sample(spark, sf_dir, "region")
-    code = F.element_at(F.array(*[F.lit(c) for c in CURRENCY_CODES]), F.col("r_regionkey") + 1)
+    code = F.element_at(F.array(*[F.lit(c) for c in CURRENCIES]), F.col("r_regionkey") + 1)
     return {
         "sales_order": sales_order(sample(spark, sf_dir, "orders")),
         "design": stamped(
@@ -72,7 +75,7 @@ def operational(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.lit("Jones").alias("manager"),
         ),
         "currency": stamped(
-            region.where(F.col("r_regionkey") < len(CURRENCY_CODES)),
+            region,
             F.col("r_regionkey").alias("currency_id"),
             code.alias("currency_code"),
         ),

@@ -9,7 +9,7 @@ from starloom.catalog import queries
 from starloom.catalog.roles import sample
 from starloom.operators import quality, star
 from starloom.plans import insight
-from starloom.session import scratch_path, scratch_root, session, stage
+from starloom.session import scratch_root, session, settle
 from starloom.sources.tables import changed_since, latest_per_key
 from starloom.specs import ForeignKey
 
@@ -48,7 +48,12 @@ def test_filters_reach_the_scan(spark):
 
 def test_latest_version_combines_before_the_shuffle(spark):
     text = plan(latest_per_key(sample(spark, SF, "events").select("user_id", "ts", "value"), ["user_id"], "ts"))
-    assert "partial_max_by" in text and "Window" not in text
+    assert "partial_max" in text and "Window" not in text and "SortAggregate" not in text
+
+
+def test_status_counts_hold_no_list(spark):
+    text = plan(queries.batch_status(spark, SF))
+    assert "collect" not in text and "SortAggregate" not in text
 
 
 def test_reference_check_shuffles_counts_not_rows(spark, no_broadcast):
@@ -59,11 +64,16 @@ def test_reference_check_shuffles_counts_not_rows(spark, no_broadcast):
             {"part": sample(spark, SF, "part"), "supplier": sample(spark, SF, "supplier")},
         )
     )
-    assert [c for c in read_columns(text) if c & {"l_partkey", "l_suppkey"}] == [{"l_partkey"}, {"l_suppkey"}]
+    assert [c for c in read_columns(text) if c & {"l_partkey", "l_suppkey"}] == [{"l_partkey", "l_suppkey"}]
     anti = text.index("LeftAnti")
     assert anti < text.index("partial_count"), "references are counted below the join"
 
 
+def test_report_reads_the_fact_a_few_times(spark):
+    scans = [c for c in read_columns(plan(queries.dq_report(spark, SF))) if any(n.startswith("o_") for n in c)]
+    assert len(scans) <= 8
+
+
 def test_orphan_rows_shuffle_distinct_references(spark, no_broadcast):
     lines = sample(spark, SF, "lineitem").select("l_orderkey", "l_partkey")
     text = plan(quality.orphan_rows(lines, "l_partkey", sample(spark, SF, "part"), "p_partkey"))
@@ -72,11 +82,12 @@ def test_orphan_rows_shuffle_distinct_references(spark, no_broadcast):
 
 def test_rollup_sums_before_it_meets_the_counterparties(spark, no_broadcast):
     orders = sample(spark, SF, "orders").withColumn("counterparty_id", F.col("o_custkey"))
-    dates = stage(star.dim_date(orders, ["o_orderdate"]), scratch_path(spark, "dim-date"))
-    places = stage(queries.dim_counterparty(spark, SF), scratch_path(spark, "dim-counterparty"))
-    text = plan(insight.country_years(orders, "o_orderdate", "o_totalprice", dates, places))
-    assert read_columns(text)[0] == {"o_custkey", "o_totalprice", "o_orderdate"}
+    daily = insight.by_counterparty_day(orders, "o_orderdate", "o_totalprice")
+    assert read_columns(plan(daily)) == [{"o_custkey", "o_totalprice", "o_orderdate"}]
+    dates = settle(star.dim_date(orders, ["o_orderdate"]))
+    text = plan(insight.country_years(settle(daily), dates, queries.dim_counterparty(spark, SF)))
     assert text.count("partial_sum") == 2
+    assert "o_orderdate" not in "".join(re.findall("ReadSchema.*", plan(queries.bi_star_rollup(spark, SF))))
 
 
 def test_null_safe_keys_hash(spark):
@@ -86,7 +97,7 @@ def test_null_safe_keys_hash(spark):
 
 @pytest.mark.parametrize("name", queries.QUERIES)
 def test_no_query_has_a_cross_join_or_python_function(spark, name):
-    if name in ("snapshot_stream", "star_batch_refresh", "manifest_lines"):
+    if name in ("snapshot_stream", "stream_load_order", "star_batch_refresh", "manifest_lines", "manifest_states") or name.startswith("loaded_"):
         pytest.skip("runs whole batches")
     text = plan(queries.QUERIES[name](spark, SF))
     for word in ("NestedLoop", "Cartesian", "Python", "InPandas"):
