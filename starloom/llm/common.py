@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -64,11 +65,18 @@ def from_tasks(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
+def give_back() -> None:
+    """Return memory that is free but held, by Arrow and by the C library, as workers stay for other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def portions(batches: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
-    """Batches cut into smaller ones, for functions whose arrays take many times the room of their rows. What Arrow holds
-    but does not use goes back to the system after each batch, as workers stay for other stages."""
+    """Batches cut into smaller ones, for functions whose arrays take many times the room of their rows."""
     for batch in batches:
         for first in range(0, len(batch), rows):
             yield batch.iloc[first : first + rows]
         del batch
-        pa.default_memory_pool().release_unused()
+        give_back()

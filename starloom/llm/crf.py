@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import from_tasks, held_out, in_tasks
+from starloom.llm.common import from_tasks, held_out, in_tasks, portions
 from starloom.llm.toxicity import sample
 
 FOLDS, FOLD = 5, 0
@@ -214,7 +214,7 @@ def score(docs: DataFrame, field: Field) -> DataFrame:
     """
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in portions(batches):
             found = [quality(text, field) for text in batch["text"]]
             yield pd.DataFrame(
                 {

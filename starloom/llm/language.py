@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded, from_tasks, held_out, in_tasks, settle
+from starloom.llm.common import bounded, from_tasks, held_out, in_tasks, portions, settle
 
 ORDER = 3
 FOLDS, FOLD = 5, 0
@@ -71,7 +71,7 @@ def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Counts of a task's texts, by language, summed before they are sent."""
     held: dict[str, tuple[list[np.ndarray], list[np.ndarray]]] = {}
-    for batch in batches:
+    for batch in portions(batches):
         for lang, texts in batch.groupby("lang")["text"]:
             keys, counts = held.setdefault(lang, ([], []))
             for raw, _, starts in _pieces(texts.tolist()):
@@ -169,7 +169,7 @@ def predict(docs: DataFrame, trees: dict[str, Tree]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast([trees[n] for n in names])
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in portions(batches):
             texts = ["" if t is None else t for t in batch["text"]]
             spoken = np.array([bool(names) and LETTER.search(t) is not None for t in texts], bool)
             best, share, rate = np.zeros(len(texts), int), np.zeros(len(texts)), np.full(len(texts), np.nan)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded, from_tasks, held_out, in_tasks, portions, settle, words_of
+from starloom.llm.common import bounded, from_tasks, give_back, held_out, in_tasks, portions, settle, words_of
 
 FOLDS, FOLD = 4, 2
 THRESHOLD = 0.3
@@ -292,7 +292,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[float,
 
         def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             telling, counts = parts_among(wanted.value if wanted else None), Counter()
-            for batch in batches:
+            for batch in portions(batches):
                 for half, text in zip(batch["half"].tolist(), batch["text"], strict=True):
                     counts.update((half, p) for p in set().union(*telling(tokens_of(text))))
                 if len(counts) > 1 << 20:
@@ -402,10 +402,10 @@ def without_toxic(docs: DataFrame, model: np.ndarray, prior: float, weights: dic
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _judge(*shared.value)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            yield batch.filter(pa.array([judge(text)[0] < THRESHOLD for text in texts], pa.bool_()))
+            texts = batch.column("text")
+            yield batch.filter(pa.array([judge(text.as_py())[0] < THRESHOLD for text in texts], pa.bool_()))
             del batch, texts
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return docs.mapInArrow(kept, docs.schema)
 
