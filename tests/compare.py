@@ -64,7 +64,7 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles = views(sf), entry.oracle_sql()
     for name, query in entry.queries().items():
-        if names and name not in names:
+        if names and name not in names or name not in oracles:
             continue
         start = time.time()
         try:
