@@ -10,11 +10,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import scratch_root
+from starloom.session import settle  # noqa: F401  (the operators take it from here)
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
-GAP = r"[\x20\x09-\x0D]+"
 
 #: A side is broadcast up to so many rows of a few fixed-width columns (about 16 MB); beyond it, it is shuffled.
 BROADCAST_ROWS = 200_000
@@ -24,17 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute `df` once, into files in the shared checkpoint folder, which Spark's cleaner removes when unused.
-
-    What is read from them later outlives lost executors and never computes `df` again.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_root(df.sparkSession))
-    return df.checkpoint()
-
-
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """`df`, marked for a broadcast if a count of its rows proves it small. Give it settled tables only."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
