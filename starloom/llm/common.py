@@ -15,6 +15,9 @@ from starloom.session import settle  # noqa: F401  (the operators take it from h
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Rows that Spark sends to a Python worker at once, at most. Texts may be long, and the JVM holds twice the batch.
+BATCH_ROWS = 1000
+
 #: A side is broadcast up to so many rows of a few fixed-width columns (about 16 MB); beyond it, it is shuffled.
 BROADCAST_ROWS = 200_000
 
@@ -43,8 +46,16 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def modest_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS, unless they are smaller."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def in_tasks(docs: DataFrame, *columns: Column | str) -> DataFrame:
     """doc_id as text and other columns, for Python in tasks: pandas would turn whole numbers with nulls into floats."""
+    modest_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("string"), *columns)
 
 
@@ -61,7 +72,7 @@ def give_back() -> None:
         trim(0)
 
 
-def portions(batches: Iterator[pd.DataFrame], rows: int = 1000) -> Iterator[pd.DataFrame]:
+def portions(batches: Iterator[pd.DataFrame], rows: int = BATCH_ROWS) -> Iterator[pd.DataFrame]:
     """Batches cut into smaller ones, for functions whose arrays take many times the room of their rows."""
     for batch in batches:
         for first in range(0, len(batch), rows):

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded, from_tasks, held_out, in_tasks, portions, settle
+from starloom.llm.common import bounded, from_tasks, held_out, in_tasks, modest_batches, portions, settle
 
 ORDER = 3
 FOLDS, FOLD = 5, 0
@@ -128,6 +128,7 @@ def key_bits(tree: Tree, keys: np.ndarray) -> np.ndarray:
 
 def train(docs: DataFrame, min_share: float = MIN_SHARE) -> dict[str, Tree]:
     """A tree for every language of the rows of `docs` that have a text and a language; counts cover all of them."""
+    modest_batches(docs.sparkSession)
     rows = docs.where("text is not null and lang is not null").select("text", "lang")
     counts = rows.mapInPandas(_count, "lang string, gram bigint, n bigint")
     counts = settle(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))

@@ -18,7 +18,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded, from_tasks, give_back, held_out, in_tasks, portions, settle, words_of
+from starloom.llm.common import (
+    bounded,
+    from_tasks,
+    give_back,
+    held_out,
+    in_tasks,
+    modest_batches,
+    portions,
+    settle,
+    words_of,
+)
 
 FOLDS, FOLD = 4, 2
 THRESHOLD = 0.3
@@ -76,6 +86,7 @@ def _count_trigrams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def language_model(docs: DataFrame) -> np.ndarray:
     """Log-probabilities of a character after two others, over all texts; 28 x 28 x 28, whatever the corpus."""
+    modest_batches(docs.sparkSession)
     counts = docs.where("text is not null").select("text").mapInPandas(_count_trigrams, "gram bigint, n bigint")
     counts = counts.groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
     n = np.zeros(LETTERS**3)
