@@ -257,22 +257,26 @@ def _join_region(batch: pd.DataFrame) -> pd.DataFrame:
 
 
 def _regions(nodes: DataFrame) -> DataFrame:
-    """Members of regions of several sets: region, pivot, id, own. The least set that has one of its rarest shingles there
-    is the pivot for all that do; the shingles of a pivot are one region."""
+    """Members of regions of several sets: region, pivot, id, windows (see `_rings`). The least set that has one of its
+    rarest shingles there is the pivot for all that do; the shingles of a pivot are one region."""
     cells = nodes.select(F.explode("cells").alias("cell"), "id")
     pivots = cells.groupBy("cell").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = cells.join(pivots, "cell").select("pivot", "id").distinct()
-    return members.select(F.xxhash64("pivot").alias("region"), "pivot", "id", F.lit(True).alias("own"))
+    return members.select(F.xxhash64("pivot").alias("region"), "pivot", "id", F.lit(0).alias("windows"))
 
 
-def _rings(members: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _rings(members: DataFrame, nodes: DataFrame, cut: int) -> tuple[DataFrame, DataFrame]:
     """Links with the pivots of large regions, and their rings as regions: a set is its ring's own, and in the window of
-    the next one. The innermost ring is linked to the pivot and so done."""
+    the next one. The innermost ring is linked to the pivot and so done.
+
+    Bit `cut` of `windows` tells where a set is in the window only; earlier cuts' bits stay. Two sets with a bit in
+    common met in the ring before at that cut, so a pair is left to a region if their bits are apart, whichever of the
+    two comes from a window of an earlier cut."""
     one = nodes.select("id", "n", "shingles")
     other = nodes.select(F.col("id").alias("pivot"), F.col("n").alias("n_p"), F.col("shingles").alias("s_p"))
     met = members.join(one, "id").join(other, "pivot").withColumn("common", F.size(F.array_intersect("shingles", "s_p")))
     total = F.col("n") + F.col("n_p") - F.col("common")
-    met = met.where("id != pivot").select("region", "pivot", "id", "own", "common", total.alias("total"))
+    met = met.where("id != pivot").select("region", "pivot", "id", "windows", "common", total.alias("total"))
     links = met.where(linked(F.col("common"), F.col("total"))).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
     # Sets within the radius are in ring 0, if by a hair.
     step = (F.col("total") - F.col("common")) * 100 / (F.col("total") * (100 - SIMILAR))
@@ -280,7 +284,7 @@ def _rings(members: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = met.withColumn("ring", ring).withColumn("window", F.explode(F.array(F.lit(0), F.lit(1))))
     at = F.col("ring") + F.col("window")
     rings = placed.where("ring + window > 0").select(
-        F.xxhash64("region", "pivot", at).alias("region"), "id", (F.col("own") & (F.col("window") == 0)).alias("own")
+        F.xxhash64("region", "pivot", at).alias("region"), "id", (F.col("windows") + F.col("window") * (1 << cut)).alias("windows")
     )
     return links, rings
 
@@ -291,14 +295,16 @@ def _blocks(members: DataFrame, sized: DataFrame) -> DataFrame:
     cut = members.join(sized, "region").withColumn("n", n).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")))
     each = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
     pair = F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other"))
-    return each.select(pair.alias("region"), "pivot", "id", "own").distinct()
+    return each.select(pair.alias("region"), "pivot", "id", "windows").distinct()
 
 
 def _sized(members: DataFrame) -> DataFrame:
-    """Regions of several sets of which one at least is their own: size, and the least of these as the pivot."""
-    own = F.when(F.col("own"), F.col("id"))
-    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.min(own).alias("pivot"))
-    return sizes.where("size > 1 and pivot is not null")
+    """Regions of several sets that no window holds all of: size, and the least of the sets in no window, or else of all, as
+    the pivot."""
+    own = F.when(F.col("windows") == 0, F.col("id"))
+    pivot = F.coalesce(F.min(own), F.min("id")).alias("pivot")
+    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"), F.bit_and("windows").alias("held"), pivot)
+    return sizes.where("size > 1 and held = 0").drop("held")
 
 
 def join_regions(nodes: DataFrame) -> DataFrame:
@@ -322,7 +328,7 @@ def join_regions(nodes: DataFrame) -> DataFrame:
             if cut == CUTS:
                 small.append(_blocks(large.drop("size"), sized.select("region", "size")))
                 break
-            found, rings = _rings(large.drop("size"), nodes)
+            found, rings = _rings(large.drop("size"), nodes, cut)
             links.append(keep(found, f"found-{cut}"))
             members = keep(rings, f"members-{cut + 1}")
         for k, regions in enumerate(small):

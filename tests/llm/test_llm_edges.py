@@ -1,5 +1,7 @@
 """Every operator and stage on nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+from itertools import count
+
 import corpus_pipeline
 import numpy as np
 import pytest
@@ -225,6 +227,32 @@ def test_regions_of_any_size_give_the_same(spark, monkeypatch, large, cuts):
     assert {r["component_id"] for r in found.values()} == {0, 1, 100, 101}
 
 
+@pytest.mark.parametrize("cuts", [2, 3])
+def test_rings_of_rings_lose_no_links(spark, monkeypatch, cuts):
+    """Chains of drifting near copies, the sets of each in one region, against all pairs."""
+    monkeypatch.setattr(jaccard, "LARGE", 10)
+    monkeypatch.setattr(jaccard, "CUTS", cuts)
+    random, rows = np.random.default_rng(7), []
+    for chain in range(12):
+        own, fresh = set(range(20)), count(20)
+        for _ in range(24):
+            gone = random.choice(sorted(own), random.integers(1, 4), replace=False).tolist()
+            own = (own - set(gone)) | {next(fresh) for _ in gone}
+            rows.append((random.bytes(16), len(own) + 1, [-1 - chain, *own], [-1 - chain]))
+    label = list(range(len(rows)))
+    for a, one in enumerate(rows):
+        for b, other in enumerate(rows[:a]):
+            n = len(set(one[2]) & set(other[2]))
+            if one[3] == other[3] and jaccard.linked(n, one[1] + other[1] - n):
+                label = [label[b] if x == label[a] else x for x in label]
+    expected = {frozenset(rows[k][0] for k, x in enumerate(label) if x == y) for y in label}
+    nodes = spark.createDataFrame(rows, "id binary, n int, shingles array<bigint>, cells array<bigint>")
+    found = {}
+    for r in jaccard.join_regions(nodes).collect():
+        found.setdefault(bytes(r["label"]), set()).add(bytes(r["id"]))
+    assert {frozenset(ids) for ids in found.values()} == {ids for ids in expected if len(ids) > 1}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(0, 10**6), st.integers(2, 40))
 def test_region_links_connect_what_all_pairs_connect(seed, m):
