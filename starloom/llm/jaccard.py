@@ -142,8 +142,10 @@ def candidates(docs: DataFrame, classes: DataFrame, n_documents: int, common: np
 
 def _shingle_rows(docs: DataFrame, chosen: DataFrame, common: np.ndarray) -> DataFrame:
     """id, size and shingles of the chosen sets, in common buckets and in others, from one document of each."""
-    ids = bounded(settle(chosen.select("doc_id").distinct()))
-    wanted = docs.where("text is not null").select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    ids = bounded(settle(chosen.select(F.col("doc_id").alias("chosen")).distinct()))
+    texts = docs.where("text is not null").select("doc_id", "text")
+    # A class of rows without an id is found by the null.
+    wanted = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("chosen")), "left_semi")
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -212,6 +212,18 @@ def test_components_of_copies_and_near_copies(spark):
     assert [found[n]["n_shingles"] for n in (5, 11, 14)] == [56, 1, 0]
 
 
+def test_rows_without_an_id_are_linked(spark):
+    """A near copy without an id, and one that alone links two documents."""
+    base = [f"w{n}" for n in range(60)]
+    bridge = [*base[4:], *"abcd"]
+    far = [*base[8:], *"abcdefgh"]
+    lone = [f"z{n}" for n in range(60)]
+    rows = [(1, base), (None, bridge), (2, far), (3, lone), (None, [*lone[1:], "y"]), (None, ["other", "words"])]
+    found = jaccard.join(spark.createDataFrame([(n, " ".join(w)) for n, w in rows], "doc_id int, text string")).collect()
+    pairs = sorted((str(r["doc_id"]), str(r["component_id"])) for r in found)
+    assert pairs == [("1", "1"), ("2", "1"), ("3", "3"), ("None", "1"), ("None", "3"), ("None", "None")]
+
+
 @pytest.mark.parametrize("large, cuts", [(2000, 3), (10, 3), (10, 0)])
 def test_regions_of_any_size_give_the_same(spark, monkeypatch, large, cuts):
     """Near copies of two texts that are no copies of each other, and of one beside each: whole, by rings, by blocks."""
