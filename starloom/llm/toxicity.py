@@ -236,7 +236,7 @@ def _hash_function(k: int) -> Callable[[Column], Column]:
 
 def families(texts: DataFrame) -> DataFrame:
     """One text of each family of copies: those that share the least hash of their runs of five words under one of
-    some hash functions, as copies do, and near copies almost surely."""
+    some hash functions, as copies do, and near copies almost surely. Toxic and clean ones are families apart."""
     hashed = texts.withColumn("words", F.transform(words_of(F.lower("text")), lambda w: F.xxhash64(w)))
     last = F.greatest(F.size("words") - 5, F.lit(0))
     runs = F.transform(
@@ -248,7 +248,7 @@ def families(texts: DataFrame) -> DataFrame:
     kept = settle(keyed.select("doc_id", "_label", *[m.alias(key) for m, key in zip(least, keys, strict=True)]))
     for key in keys:
         row = F.struct(F.xxhash64("doc_id"), "doc_id", "_label", *keys)
-        kept = kept.groupBy(key).agg(F.min(row).alias("r")).select("r.doc_id", "r._label", *[f"r.{k}" for k in keys])
+        kept = kept.groupBy(key, "_label").agg(F.min(row).alias("r")).select("r.doc_id", "r._label", *[f"r.{k}" for k in keys])
     ids = settle(kept.select("doc_id").distinct())
     rows = texts.join(bounded(ids, TRAIN_ROWS), "doc_id")
     return rows.select("text", F.col("_label").alias("toxic"))
@@ -270,8 +270,9 @@ def _cover(listed: list[list[str]], cost: Mapping[str, float], least: int) -> se
     return chosen
 
 
-def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[float, dict[str, float]]:
-    """Prior log-odds of toxicity, and log-odds of the word parts that tell it.
+def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[float, float, dict[str, float]]:
+    """Log-odds of toxicity before a text is seen, those of texts without a telling part, and those that the word parts
+    give that tell it.
 
     Parts are counted once a document, and a family of copies as one document. The sample is halved by the hash of
     its texts. In each half the parts that are precise enough and explain most words of toxic documents are chosen,
@@ -285,7 +286,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[float,
     prior = math.log((n_toxic + 0.5) / (n_clean + 0.5))
     least = max(MIN_DOCS, math.ceil(MIN_SHARE * n_toxic / 2))
     if n_toxic < least:
-        return prior, {}
+        return prior, prior, {}
     shared = spark.sparkContext.broadcast(model)
 
     def parts_among(wanted: frozenset[str] | None) -> Callable[[set[str]], Iterator[frozenset[str]]]:
@@ -359,10 +360,24 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[float,
             ratio /= (in_clean[other, part] + 0.5) / (totals[other, 0] + 1)
             if math.log(ratio) >= MIN_WEIGHT:
                 weights.setdefault(part, []).append(math.log(ratio))
-    return prior, {part: sum(w) / len(w) for part, w in sorted(weights.items())}
+    held = spark.sparkContext.broadcast(frozenset(weights))
+
+    def count_bare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        telling, counts = parts_among(held.value), Counter()
+        for batch in portions(batches):
+            for toxic, text in zip(batch["toxic"].tolist(), batch["text"], strict=True):
+                counts[toxic] += next(telling(tokens_of(text)), None) is None
+        yield pd.DataFrame(list(counts.items()), columns=["toxic", "n"])
+
+    bare = texts.select(F.col("toxic").cast("int"), "text").mapInPandas(count_bare, "toxic int, n bigint")
+    n_bare = Counter({r["toxic"]: r["n"] for r in bare.groupBy("toxic").agg(F.sum("n").alias("n")).collect()})
+    without = math.log((n_bare[1] + 0.5) / (n_bare[0] + 0.5))
+    return prior, without, {part: sum(w) / len(w) for part, w in sorted(weights.items())}
 
 
-def _judge(model: np.ndarray, prior: float, weights: dict[str, float]) -> Callable[[str | None], tuple[float, list[str]]]:
+def _judge(
+    model: np.ndarray, prior: float, without: float, weights: dict[str, float]
+) -> Callable[[str | None], tuple[float, list[str]]]:
     """A function that scores a text: the score, and the restored words that told."""
 
     def told(token: str) -> frozenset[tuple[str, str]]:
@@ -373,19 +388,19 @@ def _judge(model: np.ndarray, prior: float, weights: dict[str, float]) -> Callab
 
     def judge(text: str | None) -> tuple[float, list[str]]:
         found = set().union(*telling(tokens_of(text or "")))
-        odds = prior + sum(weights[p] for p in sorted({part for part, _ in found}))
+        odds = prior + sum(weights[p] for p in sorted({part for part, _ in found})) if found else without
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, odds)))), sorted({word for _, word in found})
 
     return judge
 
 
-def score(docs: DataFrame, model: np.ndarray, prior: float, weights: dict[str, float]) -> DataFrame:
+def score(docs: DataFrame, model: np.ndarray, prior: float, without: float, weights: dict[str, float]) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, score, predicted, evidence (restored words that told).
 
-    Null and empty texts have the prior's score. Rows that repeat are scored one by one. Other columns are ignored,
+    Texts without a telling part, such as null and empty ones, have the score of the sampled texts without one. Rows that repeat are scored one by one. Other columns are ignored,
     whatever their names. An empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model, prior, weights))
+    shared = docs.sparkSession.sparkContext.broadcast((model, prior, without, weights))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         judge = _judge(*shared.value)
@@ -406,9 +421,11 @@ def score(docs: DataFrame, model: np.ndarray, prior: float, weights: dict[str, f
     return from_tasks(scored.mapInPandas(rows, schema), docs)
 
 
-def without_toxic(docs: DataFrame, model: np.ndarray, prior: float, weights: dict[str, float]) -> DataFrame:
+def without_toxic(
+    docs: DataFrame, model: np.ndarray, prior: float, without: float, weights: dict[str, float]
+) -> DataFrame:
     """The rows of `docs` that are not predicted toxic, with all their columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast((model, prior, weights))
+    shared = docs.sparkSession.sparkContext.broadcast((model, prior, without, weights))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _judge(*shared.value)
@@ -421,7 +438,7 @@ def without_toxic(docs: DataFrame, model: np.ndarray, prior: float, weights: dic
     return docs.mapInArrow(kept, docs.schema)
 
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float, dict[str, float]]:
+def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float, float, dict[str, float]]:
     """The character model of all of `docs`, and what the labels that are not held out tell."""
     model = language_model(docs)
     return model, *learn(docs, labels, model)

@@ -198,6 +198,22 @@ def test_disguised_words_are_restored(spark):
     assert "idiot" in toxicity.tokens_of("you i d i o t there")
 
 
+def test_clean_texts_stay_where_half_the_labels_are_toxic(spark):
+    random = np.random.default_rng(3)
+    rows = [(n, " ".join(f"plain{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in random.integers(0, 60, 30))) for n in range(400)]
+    rows = [(n, f"{text} you moron" if n % 2 else text) for n, text in rows] + [(400, ""), (401, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(300)], "doc_id int, toxic int")
+    found = by_id(toxicity.detect(docs, labels))
+    assert {n for n, r in found.items() if r["predicted"]} == {n for n in range(400) if n % 2}
+
+
+def test_copies_of_both_classes_count_in_both(spark):
+    rows = [(1, NOTICE, 1), (2, NOTICE, 0), (3, NOTICE, 0)]
+    kept = toxicity.families(spark.createDataFrame(rows, "doc_id int, text string, _label int"))
+    assert sorted(r["toxic"] for r in kept.collect()) == [0, 1]
+
+
 def test_components_of_copies_and_near_copies(spark):
     base = [f"w{n}" for n in range(60)]
     near = [*base[:58], "x", "y"]
