@@ -20,6 +20,7 @@ from starloom.llm import (
     rules,
     sharding,
     toxicity,
+    whitening,
 )
 from starloom.llm.common import table
 
@@ -87,6 +88,12 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn(
+        "deviation", F.expr("try_cast(deviation as bigint)")
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -101,6 +108,7 @@ QUERIES: dict[str, Query] = {
         op9_mixing,
         op10_sharding,
         op12_byte_bpe,
+        op13_whitening,
     )
 }
 
