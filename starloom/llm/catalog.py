@@ -16,6 +16,7 @@ from starloom.llm import (
     language,
     licences,
     mixing,
+    prefixes,
     pseudonyms,
     rules,
     sharding,
@@ -77,6 +78,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
         op8_jaccard_join,
         op9_mixing,
         op10_sharding,
+        op11_prefix_trie,
         op12_byte_bpe,
         op13_whitening,
     )
@@ -235,4 +241,36 @@ summed AS (
 SELECT doc_id, domain, lang, source, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(epochs AS INTEGER) AS epochs,
   CAST(greatest(0, least(n_tokens, rest - start)) AS BIGINT) AS part_tokens
 FROM summed""",
+    "op11_prefix_trie": f"""
+WITH own AS (
+  SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, ''))
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (
+  SELECT conv_id, turns, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, [ascii(c)::BIGINT FOR c IN string_split(conv_id::VARCHAR, '')]),
+    lambda s, b: list_reduce(list_prepend(xor(s, b), range(8)),
+      lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) % {prefixes.HEADS} AS h
+  FROM own),
+rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) AS turns
+  FROM heads o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % {prefixes.FAMILY}),
+prefix AS (
+  SELECT conv_id, depth, len(turns) = depth AS ends, length(turns[depth].text) AS size,
+    to_json(turns[1:depth])::VARCHAR AS key, to_json(turns[1:depth - 1])::VARCHAR AS parent
+  FROM (SELECT *, unnest(range(len(turns) + 1)) AS depth FROM rebuilt)),
+node AS (
+  SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(parent) AS parent, any_value(size) AS size,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM prefix GROUP BY key, depth),
+born AS (SELECT parent AS key, depth - 1 AS depth, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+below AS (
+  SELECT p.key, p.depth, count(*) FILTER (WHERE born.key IS NULL) AS n_leaves,
+    sum(CASE WHEN n.depth > 0 THEN (n.n_convs - 1) * n.size ELSE 0 END) AS saved
+  FROM node n LEFT JOIN born ON born.key = n.key AND born.depth = n.depth
+  JOIN prefix p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY ALL)
+SELECT node.conv_id, node.depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children,
+  n_leaves, CAST(saved AS BIGINT) AS saved_tokens, node.ends_sha256
+FROM node JOIN below USING (key, depth) LEFT JOIN born USING (key, depth)
+LEFT JOIN node up ON node.depth > 0 AND up.key = node.parent AND up.depth = node.depth - 1""",
 }
