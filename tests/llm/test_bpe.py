@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+from array import array
 
 import duckdb
 import public_tokenizers
@@ -59,6 +60,16 @@ def test_merges_equal_the_plain_loop(piece, tokens):
     assert raw == b"" or bpe.merge(raw, ranks, longest) == expected
 
 
+@given(st.lists(st.text("abc", min_size=3, max_size=4), min_size=1), st.lists(st.text("abc", min_size=2, max_size=5), max_size=30))
+@settings(max_examples=300, deadline=None)
+def test_merges_side_by_side_equal_single_ones(pieces, tokens):
+    ranks = {bytes([b]): b for b in range(256)}
+    ranks |= {t.encode(): 256 + n for n, t in enumerate(dict.fromkeys(tokens))}
+    raw = [p.encode() for p in pieces if p.encode() not in ranks]
+    found = bpe.merge_alike(raw, bpe.Pairs(ranks)) if raw else []
+    assert [list(array("i", ids)) for ids in found] == [slow_merge(p, ranks) for p in raw]
+
+
 def test_forgetting_pieces_changes_nothing(ranks, monkeypatch):
     words = [f"w{n % 11}x{n % 7}" for n in range(200)]
     many = bpe.Pieces(ranks)
