@@ -20,9 +20,10 @@ from starloom.llm.common import bounded, from_tasks, held_out, in_tasks, modest_
 ORDER = 3
 FOLDS, FOLD = 5, 0
 UNKNOWN = "und"
-#: Contexts that make up less than this share of a language's bytes are left to shorter ones, so that a tree has
-#: at most 1 / MIN_SHARE leaves, however large the corpus. All documents are counted first.
-MIN_SHARE = 1e-6
+#: A four-byte node is kept from a count of the root of this share of its language's bytes on: all of them up to a megabyte,
+#: those seen 32 times in a gigabyte. So trees grow with the corpus, but slower, and a byte whose node is not kept is
+#: coded at the price of an escape. Shorter nodes, and all totals, are of every gram.
+KEPT = 1e-6
 #: Bytes that one pass of array code takes; longer texts are taken in pieces, each with the bytes before it.
 PIECE = 1 << 21
 LETTER = re.compile(r"[^\W\d_]")
@@ -96,14 +97,36 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 Tree = list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 
-def tree_of(grams: np.ndarray, counts: np.ndarray) -> Tree:
-    leaves, n = grams.astype(np.uint32), counts.astype(np.float64)
+def nodes_of(counts: DataFrame) -> DataFrame:
+    """lang, size, node, n: the nodes of every order, a node of `size` + 1 bytes. `counts`: lang, gram, n of whole grams."""
+    shorter = [
+        F.struct(F.lit(size).alias("size"), F.col("gram").bitwiseAND(F.lit((1 << 8 * (size + 1)) - 1)).alias("node"))
+        for size in range(ORDER + 1)
+    ]
+    nodes = counts.select("lang", "n", F.explode(F.array(*shorter)).alias("at"))
+    return nodes.groupBy("lang", "at.size", "at.node").agg(F.sum("n").alias("n"))
+
+
+def contexts_of(nodes: DataFrame) -> DataFrame:
+    """lang, size, node, n, children: the contexts of nodes, with the sum and the number of all their nodes."""
+    context = F.shiftright("node", 8).alias("node")
+    return nodes.groupBy("lang", "size", context).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("children"))
+
+
+def tree_of(nodes: pd.DataFrame, contexts: pd.DataFrame) -> Tree:
+    """The tree of one language from its nodes and contexts."""
     tree = []
     for size in range(ORDER, -1, -1):
-        nodes, place = np.unique(leaves & np.uint32((1 << (8 * (size + 1))) - 1), return_inverse=True)
-        sums = np.bincount(place, n, len(nodes))
-        contexts, parent = np.unique(nodes >> np.uint32(8), return_inverse=True)
-        tree.append((nodes, sums, contexts, np.bincount(parent, sums, len(contexts)), np.bincount(parent)))
+        of, over = (t[t["size"] == size].sort_values("node") for t in (nodes, contexts))
+        tree.append(
+            (
+                of["node"].to_numpy().astype(np.uint32),
+                of["n"].to_numpy().astype(np.float64),
+                over["node"].to_numpy().astype(np.uint32),
+                over["n"].to_numpy().astype(np.float64),
+                over["children"].to_numpy().astype(np.int64),
+            )
+        )
     return tree
 
 
@@ -116,8 +139,8 @@ def key_bits(tree: Tree, keys: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(contexts, gram >> np.uint32(8)), len(contexts) - 1)
         known = contexts[at] == gram >> np.uint32(8)
         mass = np.where(known, totals[at] + children[at], 1.0)
-        node = np.minimum(np.searchsorted(nodes, gram), len(nodes) - 1)
-        hit = known & (nodes[node] == gram)
+        node = np.minimum(np.searchsorted(nodes, gram), max(len(nodes) - 1, 0))
+        hit = known & (nodes[node] == gram) if len(nodes) else np.zeros(len(gram), bool)
         total[todo[hit]] -= np.log2(sums[node[hit]] / mass[hit])
         miss = ~hit
         total[todo[miss]] -= np.log2(np.where(known, children[at] / mass, 1.0)[miss])
@@ -126,15 +149,24 @@ def key_bits(tree: Tree, keys: np.ndarray) -> np.ndarray:
     return total
 
 
-def train(docs: DataFrame, min_share: float = MIN_SHARE) -> dict[str, Tree]:
-    """A tree for every language of the rows of `docs` that have a text and a language; counts cover all of them."""
+def train(docs: DataFrame, kept: float = KEPT) -> dict[str, Tree]:
+    """A tree for every language of the rows of `docs` that have a text and a language; counts cover all of them.
+
+    All orders are summed in Spark before anything is left out. The driver gets the nodes to be broadcast: of up to three
+    bytes all that occur, and the longest by the rule of `KEPT`.
+    """
     modest_batches(docs.sparkSession)
     rows = docs.where("text is not null and lang is not null").select("text", "lang")
     counts = rows.mapInPandas(_count, "lang string, gram bigint, n bigint")
-    counts = settle(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    totals = settle(counts.groupBy("lang").agg((F.sum("n") * min_share).alias("least")))
-    kept = counts.join(bounded(totals), "lang").where("n >= least").select("lang", "gram", "n").toPandas()
-    return {lang: tree_of(g["gram"].to_numpy(), g["n"].to_numpy()) for lang, g in kept.groupby("lang")}
+    nodes = settle(nodes_of(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))))
+    contexts = contexts_of(nodes).toPandas()
+    totals = contexts[contexts["size"] == 0][["lang", "n"]].itertuples(index=False)
+    least = F.lit(None).cast("double")
+    for lang, n in totals:
+        least = F.when(F.col("lang") == lang, F.lit(float(np.sqrt(kept * n)))).otherwise(least)
+    chosen = nodes.where((F.col("size") < ORDER) | (F.col("n") >= least)).toPandas()
+    over = dict(tuple(contexts.groupby("lang")))
+    return {lang: tree_of(own, over[lang]) for lang, own in chosen.groupby("lang")}
 
 
 def code_lengths(texts: list[str], trees: list[Tree]) -> np.ndarray:
