@@ -36,8 +36,8 @@ THRESHOLD = 0.3
 TRAIN_ROWS = 20_000
 #: Distinct tokens that a task remembers at once.
 KNOWN = 1 << 18
-#: A part must occur in this share of the toxic documents of a half of the sample, and in so many.
-MIN_SHARE, MIN_DOCS = 0.02, 3
+#: Toxic documents of a half of the sample that a part must occur in, whatever the size of the sample.
+MIN_DOCS = 4
 #: Log-odds that the other half must give it.
 MIN_WEIGHT = 1.5
 #: Hash functions under which copies are sought in the sample.
@@ -221,13 +221,15 @@ def _telling(make: Callable[[str], frozenset[str]]) -> Callable[[set[str]], Iter
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, rows: int) -> DataFrame:
-    """Texts with a label, of at most `rows` documents that are not held out. Of labels that disagree the highest
-    counts; ids, texts and labels that are null are left out. The ids are few, so the texts are not shuffled."""
+    """One text each, with a label, of at most `rows` documents that are not held out. Of labels that disagree the highest
+    counts, and of several texts of an id the one with the least hash; ids, texts and labels that are null are left
+    out. The bound holds for rows, however often an id repeats: its texts collapse before they are exchanged."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     known = known.where(~held_out(F.col("doc_id"), folds, fold)).groupBy("doc_id").agg(F.max(label).alias("_label"))
     chosen = settle(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
-    texts = docs.where("text is not null").select("doc_id", "text")
-    return texts.join(bounded(chosen, rows), "doc_id")
+    texts = docs.where("text is not null").select("doc_id", "text").join(bounded(chosen, rows), "doc_id")
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return texts.groupBy("doc_id", "_label").agg(least).select("doc_id", F.col("least.text").alias("text"), "_label")
 
 
 def _hash_function(k: int) -> Callable[[Column], Column]:
@@ -284,8 +286,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[float,
     totals = Counter({(r["half"], r["toxic"]): r["n"] for r in texts.groupBy("half", "toxic").agg(F.count("*").alias("n")).collect()})
     n_toxic, n_clean = totals[0, 1] + totals[1, 1], totals[0, 0] + totals[1, 0]
     prior = math.log((n_toxic + 0.5) / (n_clean + 0.5))
-    least = max(MIN_DOCS, math.ceil(MIN_SHARE * n_toxic / 2))
-    if n_toxic < least:
+    if n_toxic < MIN_DOCS:
         return prior, prior, {}
     shared = spark.sparkContext.broadcast(model)
 
@@ -321,12 +322,12 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[float,
         return counted.groupBy("half", "part").agg(F.sum("n").alias("n"))
 
     frequent = settle(counts_of(1))
-    names = frequent.where(F.col("n") >= least).select("part").distinct()
+    names = frequent.where(F.col("n") >= MIN_DOCS).select("part").distinct()
     in_toxic = Counter({(r["half"], r["part"]): r["n"] for r in frequent.join(names, "part").collect()})
     wanted = spark.sparkContext.broadcast(frozenset(part for _, part in in_toxic))
     # Parts that a tenth of the clean documents shows not to be precise need not be counted in the rest.
     in_some = Counter({(r["half"], r["part"]): r["n"] for r in counts_of(0, wanted, tenth=True).collect()})
-    open_ = {p for (h, p), n in in_toxic.items() if n >= max(least, PRECISION * (n + in_some[h, p]))}
+    open_ = {p for (h, p), n in in_toxic.items() if n >= max(MIN_DOCS, PRECISION * (n + in_some[h, p]))}
     wanted = spark.sparkContext.broadcast(frozenset(open_))
     in_clean = Counter({(r["half"], r["part"]): r["n"] for r in counts_of(0, wanted).collect()})
     sharp = spark.sparkContext.broadcast(
@@ -334,7 +335,7 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[float,
             frozenset(
                 p
                 for (h, p), n in in_toxic.items()
-                if h == half and p in open_ and n >= max(least, PRECISION * (n + in_clean[h, p]))
+                if h == half and p in open_ and n >= max(MIN_DOCS, PRECISION * (n + in_clean[h, p]))
             )
             for half in (0, 1)
         ]
@@ -354,8 +355,10 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[float,
     weights: dict[str, list[float]] = {}
     for half in (0, 1):
         cost = {part: CLEAN_COST * in_clean[half, part] for part in sharp.value[half]}
-        for part in _cover([r["parts"] for r in listed if r["half"] == half], cost, least):
+        for part in _cover([r["parts"] for r in listed if r["half"] == half], cost, MIN_DOCS):
             other = 1 - half
+            if in_toxic[other, part] == 0:
+                continue
             ratio = (in_toxic[other, part] + 0.5) / (totals[other, 1] + 1)
             ratio /= (in_clean[other, part] + 0.5) / (totals[other, 0] + 1)
             if math.log(ratio) >= MIN_WEIGHT:
@@ -424,7 +427,11 @@ def score(docs: DataFrame, model: np.ndarray, prior: float, without: float, weig
 def without_toxic(
     docs: DataFrame, model: np.ndarray, prior: float, without: float, weights: dict[str, float]
 ) -> DataFrame:
-    """The rows of `docs` that are not predicted toxic, with all their columns as they are."""
+    """The rows of `docs` that are not predicted toxic, with all their columns as they are, whatever their names.
+
+    Every row is judged by its own whole text, so rows that repeat go or stay together; null and empty texts are judged as
+    texts without a telling part, and a null id does not matter. An empty table gives an empty result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((model, prior, without, weights))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
