@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded, from_tasks, in_tasks, portions, settle
+from starloom.llm.common import bounded, from_tasks, in_tasks, portions, settle, unused
 from starloom.llm.tokens import mixed, passes, shingle_hashes, word_hashes
 
 #: Words that a tile has at least; shared runs of so many words are the seeds.
@@ -188,7 +188,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, covered: int = COVERED, bl
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of `docs` into which no benchmark item leaked, with all their columns. A null doc_id with a leak goes, and
-    so do all rows of an id of which one leaked."""
-    leaked = settle(find_leaks(docs, benchmark).select(F.col("doc_id").alias("_leaked")).distinct())
-    return docs.join(bounded(leaked), F.col("doc_id").eqNullSafe(F.col("_leaked")), "left_anti")
+    """Rows of `docs` into which no benchmark item leaked, with all their columns, whatever their names.
+
+    A null doc_id with a leak goes, and so do all rows of an id of which one leaked; rows that repeat go or stay
+    together. Null and empty texts stay; very long ones are searched whole. An empty benchmark takes nothing, and an
+    empty table gives an empty result.
+    """
+    name = unused(docs, "_leaked")
+    leaked = settle(find_leaks(docs, benchmark).select(F.col("doc_id").alias(name)).distinct())
+    return docs.join(bounded(leaked), F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")

@@ -84,35 +84,29 @@ def _placed(rows: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
     return placed.withColumn("_bucket", F.expr(f"_place div {(1 << HASH_BITS) // BUCKETS}"))
 
 
-def mix(
+def _mixed(
     docs: DataFrame,
-    percent: int = 50,
-    max_epochs: int = 2,
-    seed: str = "mix-1",
-    domains: Mapping[str, str] | None = None,
-    weights: tuple[Mapping[str, int], ...] = ({}, {}, {}),
+    percent: int,
+    max_epochs: int,
+    seed: str,
+    domains: Mapping[str, str] | None,
+    weights: tuple[Mapping[str, int], ...],
 ) -> DataFrame:
-    """Rows of `docs` with `_domain`, `_lang`, `_source`, `_tokens`, `_whole` and `_part`.
-
-    `_whole`: epochs that take the row whole. `_part`: tokens taken in the last, partial epoch: those of the
-    leaf's prefix in seeded order, so at most one document of a leaf is cut. Rows that give nothing stay, with 0 and 0.
-
-    domains: source to domain, `other` for those not named. A null language counts as `und`, a null source as
-    `unknown`. Null and empty texts have no tokens and give nothing. Rows that repeat, even by id, are told apart by
-    tokens and then arbitrarily, which yields the same rows. Columns of `docs` keep their values; those starting
-    with an underscore and named as above are replaced.
-    """
+    """The columns of `docs` by number, as c0, c1 and so on, which meet no helper's name, with LEAF and ADDED."""
+    names = {name.lower(): f"c{k}" for k, name in enumerate(docs.columns)}
+    own = list(names.values())
+    doc_id, text, lang, source = (F.col(names[c]) for c in ("doc_id", "text", "lang", "source"))
     mapped = F.lit(None).cast("string")
-    for source, domain in (domains or {}).items():
-        mapped = F.when(F.col("source") == source, F.lit(domain)).otherwise(mapped)
-    own = [c for c in docs.columns if c not in {*LEAF, *ADDED}]
-    rows = docs.select(
+    for name, domain in (domains or {}).items():
+        mapped = F.when(source == name, F.lit(domain)).otherwise(mapped)
+    rows = docs.toDF(*own).select(
         *own,
+        doc_id.alias("doc_id"),
         F.coalesce(mapped, F.lit("other")).alias("_domain"),
-        F.coalesce("lang", F.lit("und")).alias("_lang"),
-        F.coalesce("source", F.lit("unknown")).alias("_source"),
+        F.coalesce(lang, F.lit("und")).alias("_lang"),
+        F.coalesce(source, F.lit("unknown")).alias("_source"),
     )
-    tokens = F.size(words_of(F.col("text"))).cast("bigint")
+    tokens = F.size(words_of(text)).cast("bigint")
     # One narrow row per document: the texts are read again at the end, and never shuffled but for the edges.
     narrow = settle(rows.select("doc_id", tokens.alias("_tokens"), *LEAF))
     leaves = settle(narrow.groupBy(*LEAF).agg(F.sum("_tokens").alias("tokens")))
@@ -126,18 +120,67 @@ def mix(
     edges = sums.where("_before < _rest and _before + _sum >= _rest").select(
         *LEAF, F.col("_bucket").alias("_edge"), "_before"
     )
-    every = _placed(rows, plan, seed).join(bounded(settle(edges)), LEAF, "left")
+    edges = bounded(settle(edges))
+    # In that bucket, rows that are alike in place, id and tokens are one group. Of these narrow groups, one ends the
+    # prefix: those before it are taken whole, those after it not at all.
+    alike = [*LEAF, "_place", "doc_id", "_tokens"]
     inside = Window.partitionBy(*LEAF).orderBy("_place", "doc_id", "_tokens").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("_before") + F.coalesce(F.sum("_tokens").over(inside), F.lit(0))
-    cut = every.where("_bucket = _edge").withColumn("_tokens", tokens).withColumn("_start", start)
-    cut = cut.withColumn("_part", F.expr("greatest(0, least(_tokens, _rest - _start))"))
-    clear = every.where("_edge is null or _bucket != _edge").withColumn("_tokens", tokens)
-    clear = clear.withColumn("_part", F.when(F.col("_bucket") < F.col("_edge"), F.col("_tokens")).otherwise(0))
+    start = F.col("_before") + F.coalesce(F.sum(F.col("_tokens") * F.col("_rows")).over(inside), F.lit(0))
+    groups = _placed(narrow, plan, seed).join(edges, LEAF).where("_bucket = _edge")
+    groups = groups.groupBy(*alike, "_rest", "_before").agg(F.count(F.lit(1)).alias("_rows")).withColumn("_start", start)
+    last = groups.where("_start < _rest and _start + _tokens * _rows >= _rest").select(
+        *LEAF, F.struct("_place", "doc_id", "_tokens").alias("_last"), "_start"
+    )
+    every = _placed(rows, plan, seed).withColumn("_tokens", tokens)
+    every = every.join(edges, LEAF, "left").join(bounded(settle(last)), LEAF, "left")
+    group, in_edge = F.struct("_place", "doc_id", "_tokens"), F.col("_bucket") == F.col("_edge")
+    every = every.withColumn("_ends", F.coalesce(in_edge & (group == F.col("_last")), F.lit(False)))
+    # Rows of the group that ends the prefix are interchangeable: one a leaf, but where rows repeat.
+    nth = F.row_number().over(Window.partitionBy(*LEAF).orderBy(F.lit(0))) - 1
+    ends = every.where("_ends").withColumn("_nth", nth)
+    ends = ends.withColumn("_part", F.expr("greatest(0, least(_tokens, _rest - _start - _nth * _tokens))"))
+    earlier = (F.col("_bucket") < F.col("_edge")) | (in_edge & (group < F.col("_last")))
+    clear = every.where("not _ends").withColumn("_part", F.when(earlier, F.col("_tokens")).otherwise(0))
     columns = [*own, *LEAF, *ADDED]
-    return clear.select(*columns).unionByName(cut.select(*columns))
+    return clear.select(*columns).unionByName(ends.select(*columns))
+
+
+def mix(
+    docs: DataFrame,
+    percent: int = 50,
+    max_epochs: int = 2,
+    seed: str = "mix-1",
+    domains: Mapping[str, str] | None = None,
+    weights: tuple[Mapping[str, int], ...] = ({}, {}, {}),
+) -> DataFrame:
+    """Rows of `docs` with `_domain`, `_lang`, `_source`, `_tokens`, `_whole` and `_part`.
 
+    `_whole`: epochs that take the row whole. `_part`: tokens taken in the last, partial epoch: those of the
+    leaf's prefix in seeded order, so at most one document of a leaf is cut. Rows that give nothing stay, with 0 and 0.
 
-def chosen(docs: DataFrame, percent: int, **options) -> DataFrame:
-    """The rows of `docs` that one epoch takes, with all their columns; those that the end of a prefix cuts stay whole."""
-    mixed = mix(docs, percent, 1, **options)
-    return mixed.where("_whole > 0 and _tokens > 0 or _part > 0").select(*docs.columns)
+    domains: source to domain, `other` for those not named. A null language counts as `und`, a null source as
+    `unknown`, a null id as empty text. Null and empty texts have no tokens and give nothing; long ones are counted whole.
+    Rows that repeat, even by id, are told apart by tokens and then arbitrarily, which yields the same rows. An empty
+    table gives an empty result. Columns of `docs` keep their values, whatever their names; those named as the six
+    results are replaced.
+    """
+    mixed = _mixed(docs, percent, max_epochs, seed, domains, weights)
+    own = [F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns) if c.lower() not in {*LEAF, *ADDED}]
+    return mixed.select(*own, *LEAF, *ADDED)
+
+
+def chosen(
+    docs: DataFrame,
+    percent: int,
+    seed: str = "mix-1",
+    domains: Mapping[str, str] | None = None,
+    weights: tuple[Mapping[str, int], ...] = ({}, {}, {}),
+) -> DataFrame:
+    """The rows of `docs` that one epoch takes, with all their columns; those that the end of a prefix cuts stay whole.
+
+    Nulls, repeated rows and empty tables as in `mix`: null and empty texts have no tokens and are not taken. All columns
+    keep their values, whatever their names.
+    """
+    mixed = _mixed(docs, percent, 1, seed, domains, weights)
+    own = [F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)]
+    return mixed.where("_whole > 0 and _tokens > 0 or _part > 0").select(*own)

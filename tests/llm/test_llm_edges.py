@@ -1,5 +1,6 @@
 """Every operator and stage on nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+from collections import Counter
 from itertools import count
 
 import corpus_pipeline
@@ -10,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starloom.llm import crf, decontaminate, jaccard, language, licences, mixing, pseudonyms, rules, sharding, toxicity
+from starloom.storage import children
 
 LONG = " ".join(f"word{n % 977} other{n % 89}" for n in range(30_000))
 NOTICE = "Some text before.\nLicensed under the Apache License, Version 2.0.\nAnd after."
@@ -30,6 +32,9 @@ ROWS = [
 CLASHING = (
     "score", "shard", "slot", "size", "n", "id", "label", "kept", "words", "held_out", "tokens", "cell", "row", "at", "to", "found",
     "kinds", "made", "lines", "part", "budget", "weight", "capacity", "_leaked", "_label", "_tokens", "least", "n_words", "law",
+    "_rest", "_edge", "_before", "_bucket", "_place", "_start", "_whole", "_part", "_domain", "_lang", "_source", "_sum", "_rows",
+    "_last", "_ends", "_nth", "_root", "_total", "_LEAKED_", "c0", "c1", "task", "first", "rows", "shift", "grown_shard", "row_id",
+    "text_crc32", "a", "b", "region", "hash", "copies", "component_id", "common", "predicted", "evidence", "item_id",
 )
 
 
@@ -331,12 +336,123 @@ def test_slots_of_rows_that_all_share_a_key(spark):
 
 
 @pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
-def test_stages_keep_columns(spark, docs, labels, benchmark, tmp_path, name):
+def test_stages_keep_columns(spark, docs, clashing, labels, benchmark, tmp_path, name):
     labels.write.parquet(f"{tmp_path}/labels.parquet")
     benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
     step = dict(corpus_pipeline.STAGES)[name]
     done = step(spark, docs, str(tmp_path))
+    wide = step(spark, clashing, str(tmp_path))
     if name != corpus_pipeline.STAGES[-1][0]:
         assert done.columns == docs.columns
         assert not set(map(repr, done.collect())) - set(map(repr, docs.collect()))
+        assert wide.columns == clashing.columns
+        assert not set(map(repr, wide.collect())) - set(map(repr, clashing.collect()))
+    assert plain(wide.select(*done.columns).collect()) == plain(done.collect())
     assert step(spark, docs.limit(0), str(tmp_path)).collect() == []
+
+
+def test_a_failing_stage_leaves_nothing_behind(spark, docs, tmp_path, monkeypatch):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+
+    def fails(spark, docs, sf_dir):
+        seen.append(docs.inputFiles()[0].rsplit("/", 2)[0])
+        raise RuntimeError("no")
+
+    stages = [("first", lambda spark, docs, sf_dir: docs), ("second", fails), ("third", fails)]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
+    with pytest.raises(RuntimeError):
+        corpus_pipeline.run(spark, str(tmp_path))
+    (root,) = seen
+    assert not [n for n in children(spark, root) if n.startswith(("first", "second"))]
+
+
+@pytest.mark.parametrize("rows", [1, 5])
+def test_the_sample_has_a_text_an_id_at_most(spark, rows):
+    docs = spark.createDataFrame([(n % 8, f"text {n}") for n in range(400)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(8)] * 3, "doc_id bigint, toxic int")
+    found = toxicity.sample(docs, labels, "toxic", 4, 2, rows).collect()
+    assert len(found) == len({r["doc_id"] for r in found}) <= rows
+    assert all(int(r["text"].split()[1]) % 8 == r["doc_id"] for r in found)
+
+
+def taken(rows, rest):
+    """Tokens that the prefix of a leaf's order takes of every row; rows are (place, doc_id, tokens)."""
+    out = []
+    for place, doc, n in sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2])):
+        out.append((doc, n, max(0, min(n, rest))))
+        rest -= n
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("percent", [3, 37, 50, 93])
+def test_prefix_over_rows_that_repeat(spark, percent):
+    rows = [(n % 5 if n % 3 else None, " ".join(["w"] * (n % 4)), "en", "s") for n in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(5)
+    mixed = mixing.mix(docs, percent, 1).select("doc_id", "_tokens", "_whole", "_part").collect()
+    tokens = sum(n % 4 for n in range(120))
+    budget = tokens * percent // 100
+    order = docs.select(mixing.seeded(F.col("doc_id"), F.lit(0), "mix-1").alias("p"), "doc_id", "text").collect()
+    expected = taken([(r["p"], r["doc_id"], len(r["text"].split())) for r in order], budget)
+    assert sorted(((r["doc_id"], r["_tokens"], r["_part"]) for r in mixed), key=repr) == expected
+
+
+def plain_nodes(texts):
+    """Counts of the last one to four bytes of every place, as the tree should have them."""
+    counts = [Counter() for _ in range(4)]
+    for text in texts:
+        raw = b"   " + text.lower().encode().translate(language._TABLE)
+        for at in range(3, len(raw)):
+            for size in range(4):
+                counts[size][int.from_bytes(raw[at - size : at + 1], "big")] += 1
+    return counts
+
+
+@pytest.mark.parametrize("kept", [1e-6, 0.05])
+def test_shorter_orders_do_not_depend_on_what_is_kept(spark, kept):
+    texts = ["The cat sat on the mat, " * 20, "a dog lay by the door é", "xyz"]
+    docs = spark.createDataFrame([(t, "en") for t in texts] + [("der Hund", "de")], "text string, lang string")
+    tree = language.train(docs, kept)["en"]
+    counts = plain_nodes(texts)
+    for size, (nodes, sums, contexts, totals, children) in zip(range(3, -1, -1), tree):
+        every = counts[size]
+        if size < 3:
+            assert dict(zip(nodes.tolist(), sums.tolist())) == dict(every)
+        else:
+            least = (kept * sum(counts[0].values())) ** 0.5
+            assert dict(zip(nodes.tolist(), sums.tolist())) == {k: n for k, n in every.items() if n >= least}
+        under = Counter()
+        for node, n in every.items():
+            under[node >> 8] += n
+        assert dict(zip(contexts.tolist(), totals.tolist())) == dict(under)
+        assert dict(zip(contexts.tolist(), children.tolist())) == dict(Counter(node >> 8 for node in every))
+
+
+def plain_bits(texts, text):
+    """Code length by the definition: longest known context first, escapes by method C, then 256 bytes alike."""
+    counts = plain_nodes(texts)
+    raw = b"   " + text.lower().encode().translate(language._TABLE)
+    bits = 0.0
+    for at in range(3, len(raw)):
+        for size in range(3, -1, -1):
+            context = int.from_bytes(raw[at - size : at], "big")
+            under = {k: n for k, n in counts[size].items() if k >> 8 == context}
+            if not under:
+                continue
+            mass = sum(under.values()) + len(under)
+            n = under.get(int.from_bytes(raw[at - size : at + 1], "big"))
+            bits -= np.log2((n or len(under)) / mass)
+            if n:
+                break
+        else:
+            bits += 8
+    return bits
+
+
+def test_code_lengths_equal_plain_ones(spark):
+    texts = ["The cat sat on the mat", "a dog lay by the door", "zz"]
+    docs = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    tree = language.train(docs)["en"]
+    asked = ["the mat by the dog", "Qué 漢字!", "", "x"]
+    found = language.code_lengths(asked, [tree])[:, 0]
+    assert np.allclose(found, [plain_bits(texts, t) for t in asked])
