@@ -155,6 +155,11 @@ SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') created_at, event_type, va
 """,
     "json_array_scan": """
 SELECT 'order' kind, o_orderkey id FROM orders UNION ALL SELECT 'customer', o_custkey FROM orders
+""",
+    "json_array_split": """
+SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_orderkey % 5 = 0 THEN l_returnflag || '}, {"a": "]}'
+  WHEN l_orderkey % 7 = 0 THEN '}\\' ELSE l_returnflag END AS note
+FROM lineitem
 """,
     "json_escapes": """
 SELECT p_partkey design_id, '/usr/' || p_type file_location, 'proper' reading FROM part
@@ -192,6 +197,25 @@ FROM events GROUP BY event_type
 """,
     "incremental_filter": """
 SELECT event_id, user_id FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'
+""",
+    "incremental_merge": """
+WITH tied AS (
+  SELECT o_orderkey AS id, o_totalprice AS price, CASE WHEN o_orderkey % 25 = 7 THEN TIMESTAMP '2029-01-01'
+    ELSE o_orderdate + INTERVAL '34 hours' + INTERVAL '500 milliseconds' END AS at FROM orders),
+later AS (
+  SELECT id, price + CASE WHEN id % 50 = 7 THEN 1 WHEN id % 10 = 1 THEN 2 ELSE 0 END AS price,
+    CASE WHEN id % 3 = 0 OR (id % 10 = 1 AND id % 50 <> 7) THEN TIMESTAMP '2030-01-01' ELSE t.at END AS at FROM tied t)
+SELECT id AS sales_order_id, price AS unit_price, strftime(at, '%Y-%m-%dT%H:%M:%S.%g') AS last_updated,
+  (SELECT count(*) FROM later WHERE at >= (SELECT max(at) FROM tied WHERE id % 3 <> 0)) AS n_landed
+FROM later
+""",
+    "stable_keys": """
+WITH early AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0)
+SELECT row_number() OVER (ORDER BY o_orderkey) AS sales_record_id, o_orderkey AS sales_order_id, o_totalprice AS unit_price
+FROM early
+UNION ALL
+SELECT (SELECT count(*) FROM early) + row_number() OVER (ORDER BY o_orderkey), o_orderkey, o_totalprice
+FROM orders WHERE o_orderkey % 3 = 0
 """,
     "latest_version": """
 SELECT user_id, event_id, ts, event_type FROM (

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from starloom.operators import quality, star
 from starloom.operators.numbering import with_dense_key
 from starloom.plans import insight
 from starloom.plans.batch import Options, Zones, extract_batch, run_batch, transform_batch
+from starloom.plans.increments import extract_changes, merge_changes
 from starloom.session import scratch_path, settle
 from starloom.sinks import snapshots as sink
 from starloom.sinks import warehouse as wh
@@ -263,6 +265,20 @@ def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source.read_json(spark, path, "kind STRING, id BIGINT")
 
 
+def json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file with one array, whose strings hold what stands between records, read by many tasks."""
+    path = scratch_path(spark, "lines-array")
+    key = F.col("l_orderkey")
+    note = F.when(key % 5 == 0, F.concat("l_returnflag", F.lit('}, {"a": "]}'))).when(key % 7 == 0, "}\\").otherwise(
+        F.col("l_returnflag")
+    )
+    lines = sample(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", note.alias("note"))
+    sink.write_json_array(lines, path)
+    return source.read_json(
+        spark, path, "l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE, note STRING", layout="array"
+    )
+
+
 def json_escapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same escaped snapshot read properly, and with every backslash kept."""
     path = scratch_path(spark, "design-escaped")
@@ -337,6 +353,49 @@ def incremental_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed_since(sample(spark, sf_dir, "events"), since, "ts").select("event_id", "user_id")
 
 
+def _later(orders: DataFrame) -> DataFrame:
+    """Orders a while on: some changed, some changed in the very moment of the watermark, and a third that are new."""
+    key, moved = F.col("sales_order_id"), F.lit(datetime(2030, 1, 1)).cast("timestamp_ntz")
+    raised = F.when(key % 50 == 7, 1.0).when(key % 10 == 1, 2.0).otherwise(0.0)
+    at = F.when((key % 3 == 0) | ((key % 10 == 1) & (key % 50 != 7)), moved).otherwise(F.col("last_updated"))
+    return orders.withColumns({"unit_price": F.col("unit_price") + raised, "last_updated": at})
+
+
+def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two extracts, the second of changes only; the merged snapshot, and how many rows the second landed."""
+    landed, whole = scratch_path(spark, "landed"), scratch_path(spark, "merged")
+    orders = operational(spark, sf_dir)["sales_order"]
+    # Many orders share the newest moment of the first extract; some of these change in that moment.
+    moment = F.lit(datetime(2029, 1, 1)).cast("timestamp_ntz")
+    tied = orders.withColumn(
+        "last_updated", F.when(F.col("sales_order_id") % 25 == 7, moment).otherwise(F.col("last_updated"))
+    )
+    states = (tied.where("sales_order_id % 3 <> 0"), _later(tied))
+    for day, state in enumerate(states, 1):
+        at = datetime(2024, 1, day)
+        manifest = extract_changes(spark, FrameSource({"sales_order": state}), landed, batch_id(at), at)
+        merge_changes(spark, landed, whole, batch_id(at), at)
+    # One row a table.
+    rows = manifest.first().row_count
+    return source.read_landed(spark, whole, batch_id(at), "sales_order").select(
+        "sales_order_id", "unit_price", "last_updated", F.lit(rows).alias("n_landed")
+    )
+
+
+def stable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of a second batch with late orders: known orders keep the key that the first batch gave them."""
+    zones = Zones(scratch_path(spark, "landed"), scratch_path(spark, "processed"))
+    tables = operational(spark, sf_dir)
+    orders = tables["sales_order"]
+    options = replace(OPTIONS, lasting_keys=True)
+    for day, version in ((1, orders.where("sales_order_id % 3 <> 0")), (2, orders)):
+        at = datetime(2024, 1, day)
+        extract_batch(spark, FrameSource({**tables, "sales_order": version}), zones, batch_id(at), at, SALES_SOURCES)
+        transform_batch(spark, zones, batch_id(at), at, options)
+    fact = source.read_processed(spark, zones.processed, batch_id(at), "fact_sales_order")
+    return fact.select("sales_record_id", "sales_order_id", "unit_price")
+
+
 def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = sample(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type")
     return latest_per_key(events, ["user_id"], "ts", "event_id")
@@ -559,6 +618,7 @@ QUERIES: dict[str, Query] = {
         record_text,
         json_snapshot_roundtrip,
         json_array_scan,
+        json_array_split,
         json_escapes,
         csv_snapshot_roundtrip,
         parquet_snapshot_roundtrip,
@@ -569,6 +629,8 @@ QUERIES: dict[str, Query] = {
         manifest_states,
         batch_status,
         incremental_filter,
+        incremental_merge,
+        stable_keys,
         latest_version,
         dq_pk_duplicates,
         dq_not_null,

@@ -8,18 +8,21 @@ Equal order values are numbered by the other columns, in their order, nulls last
 all of these are the same row, so the numbers depend on the content of the table alone, not on its layout.
 
 Both ways read `df` more than once, so it must stand on an immutable snapshot.
+
+A lasting key is dense when it is given, and stays: later batches number only what they have not seen before.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.session import scratch_path, stage
+from starloom.session import settle, stage
 from starloom.storage import discard
 
 RANGE_ROWS = 500_000
@@ -42,7 +45,7 @@ def with_dense_key(
     Columns of a type without an order, such as maps, cannot break ties and are passed over.
 
     `scratch` is a folder for written tables, if they are needed; whoever names it may discard it once
-    the result has been written.
+    the result has been written. Without one, they are checkpoints, which Spark's cleaner removes.
     """
     if not isinstance(df.schema[order_by].dataType, T.IntegralType):
         return _numbered_by_file(df, key, order_by, range_rows, max_ranges, scratch)
@@ -105,28 +108,56 @@ def _numbered_by_file(
 ) -> DataFrame:
     """For any order column and any skew, at the price of two written tables.
 
-    The rows are range-partitioned by the order column, the other columns and, for whole-row copies, their
-    place in a staged file. That place is unique and survives a retry, so one hot value, or a group of
-    copies, spreads over many tasks. Every sorted task then writes one file that carries its own row positions.
+    The rows are range-partitioned by the order column, the other columns and, for whole-row copies, the
+    place that they were stored with. That place is unique and survives a retry, so one hot value, or a group of
+    copies, spreads over many tasks. Every sorted task then stores its rows with their positions in it.
     """
-    spark = df.sparkSession
-    folder = scratch_path(spark, "numbering") if scratch is None else f"{scratch}/numbering-{key}"
-    staged = stage(df, f"{folder}/input")
+    order = [*_content_order(df, order_by), F.col("_row")]
+    staged = _kept(df.withColumn("_row", F.monotonically_increasing_id()), key, "input", scratch)
     parts = max(1, min(max_ranges, math.ceil(staged.count() / range_rows)))
-    order = [*_content_order(df, order_by), F.col("_file"), F.col("_row")]
-    path = f"{folder}/sorted"
-    (
-        staged.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-        .repartitionByRange(parts, *order)
+    placed = _kept(
+        staged.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
-        .drop("_file", "_row")
-        .withColumn("_place", F.monotonically_increasing_id())
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", 0)
-        .parquet(path)
+        .drop("_row")
+        .withColumn("_place", F.monotonically_increasing_id()),
+        key,
+        "sorted",
+        scratch,
     )
-    discard(spark, f"{folder}/input")
-    placed = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_place", T.LongType())])).parquet(path)
+    if scratch is not None:
+        discard(df.sparkSession, f"{scratch}/numbering-{key}/input")
     placed = placed.withColumn("_task", F.shiftright("_place", POSITION_BITS))
     sizes = placed.groupBy("_task").agg(F.count(F.lit(1)).alias("n")).orderBy("_task").collect()
     return _from_offsets(placed, key, "_task", sizes, df.columns)
+
+
+def _kept(df: DataFrame, key: str, name: str, scratch: str | None) -> DataFrame:
+    """`df` computed once: in the folder that its owner will discard, or in one that Spark's cleaner removes."""
+    return settle(df) if scratch is None else stage(df, f"{scratch}/numbering-{key}/{name}")
+
+
+class NotAKey(ValueError):
+    """Rows that cannot be told apart by what should identify them."""
+
+
+def with_lasting_key(
+    df: DataFrame, key: str, natural: str, known: DataFrame | None, keep: Callable[[DataFrame], DataFrame], **numbering
+) -> DataFrame:
+    """`df` plus `key`: the one that `known` (key, natural) has for the row, or a new one after all of these.
+
+    New rows are numbered among themselves by `natural`, without gaps, so late rows never move others. Without known keys
+    this is the dense numbering. `keep` stores the new pairs, once, and returns them as stored: a key that has been
+    given is never computed again. `natural` must be there and differ in every row; NotAKey is raised otherwise.
+    """
+    broken = df.groupBy(natural).agg(F.count(F.lit(1)).alias("n")).where(f"n > 1 OR {natural} IS NULL").first()
+    if broken is not None:
+        raise NotAKey(f"{natural} {broken[0]} is held by {broken.n} rows; it does not identify them")
+    ids, last = df.select(natural), 0
+    if known is not None:
+        known = known.select(key, natural)
+        ids = ids.join(known, natural, "left_anti")
+        last = known.agg(F.max(key)).first()[0] or 0
+    added = with_dense_key(ids, key, natural, **numbering).withColumn(key, F.col(key) + F.lit(last))
+    added = keep(added.select(key, natural))
+    every = added if known is None else known.unionByName(added)
+    return df.join(every, natural).select(key, *df.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,16 +97,20 @@ def split_moments(df: DataFrame, moments: dict[str, str]) -> DataFrame:
     return df.withColumns(parts)
 
 
-def fact(df: DataFrame, name: str, order_by: str, **numbering) -> DataFrame:
+def fact(
+    df: DataFrame, name: str, order_by: str, number: Callable[..., DataFrame] = with_dense_key, **numbering
+) -> DataFrame:
     """A fact table: number the rows, split creation and update times, project the declared columns.
 
+    `number` takes the rows, the key and the order column; a lasting key is given by passing one that knows earlier ones.
+
     The rows are numbered while their times are still eight bytes each, and turned into text after.
     """
     spec = WAREHOUSE[name]
     moments = {"created_at": "created", "last_updated": "last_updated"}
     carried = [c for c in spec.names if c in df.columns]
     narrow = df.select(*carried, *[dates.moment(c).alias(c) for c in moments])
-    return split_moments(with_dense_key(narrow, spec.key, order_by, **numbering), moments).select(*spec.names)
+    return split_moments(number(narrow, spec.key, order_by, **numbering), moments).select(*spec.names)
 
 
 def fact_sales_order(sales_order: DataFrame, **numbering) -> DataFrame:

@@ -5,19 +5,30 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom import storage
 from starloom.functions.text import CURRENCY_NAMES
 from starloom.operators import quality, star
+from starloom.operators.numbering import with_dense_key, with_lasting_key
 from starloom.session import scratch_path, stage
-from starloom.sinks.snapshots import require_incomplete, write_batch, write_json, write_log, write_parquet
+from starloom.sinks.snapshots import (
+    complete_batches,
+    require_incomplete,
+    write_batch,
+    write_json,
+    write_log,
+    write_parquet,
+)
 from starloom.sinks.warehouse import Warehouse
 from starloom.sources.snapshots import read_landed, read_processed
 from starloom.sources.tables import Source
 from starloom.specs import SALES_NAMES, SALES_SOURCES, WAREHOUSE
+from starloom.storage import key_path
 
 
 @dataclass(frozen=True)
@@ -30,13 +41,18 @@ class Zones:
 
 @dataclass(frozen=True)
 class Options:
-    """How the transforms treat what the two readings of the rules disagree on."""
+    """How the transforms treat what the two readings of the rules disagree on, and whether keys outlast a batch.
+
+    `lasting_keys`: an order keeps the record key of the batch that first had it. Otherwise keys are dense in every
+    batch.
+    """
 
     layout: str = "lines"
     raw_escapes: bool = False
     null_safe: bool = False
     quarter: str = "thirds"
     nulls: str = "drop"
+    lasting_keys: bool = False
     currency_names: Mapping[str, str] = MappingProxyType(CURRENCY_NAMES)
 
 
@@ -60,8 +76,28 @@ def extract_batch(
     return manifest
 
 
+def lasting(spark: SparkSession, zone: str, table: str, natural: str, batch: str) -> Callable[..., DataFrame]:
+    """Numbers a fact by the keys that complete batches of a zone have given, and stores those that this one adds.
+
+    Every batch stores only its own pairs of keys, beside its tables; an attempt that failed counts for nothing. One
+    batch is transformed at a time.
+    """
+    key = WAREHOUSE[table].key
+    paths = [key_path(zone, table, b) for b in complete_batches(spark, zone) if b != batch]
+    paths = [path for path in paths if storage.exists(spark, path)]
+    known = spark.read.schema(f"{key} BIGINT, {natural} BIGINT").parquet(*paths) if paths else None
+
+    def keep(added: DataFrame) -> DataFrame:
+        return stage(added.select(key, F.col(natural).cast("bigint")), key_path(zone, table, batch))
+
+    return partial(with_lasting_key, known=known, keep=keep)
+
+
 def sales_star(
-    sources: dict[str, DataFrame], options: Options = Options(), scratch: str | None = None
+    sources: dict[str, DataFrame],
+    options: Options = Options(),
+    scratch: str | None = None,
+    number: Callable[..., DataFrame] = with_dense_key,
 ) -> dict[str, Callable[[], DataFrame]]:
     """How to build each table of the sales star schema. Numbering a fact runs jobs, hence the callables."""
     orders, address = sources["sales_order"], sources["address"]
@@ -72,7 +108,7 @@ def sales_star(
         "dim_counterparty": lambda: star.dim_counterparty(sources["counterparty"], address, options.null_safe),
         "dim_staff": lambda: star.dim_staff(sources["staff"], sources["department"], options.null_safe),
         "dim_currency": lambda: star.dim_currency(sources["currency"], dict(options.currency_names)),
-        "fact_sales_order": lambda: star.fact_sales_order(orders, scratch=scratch),
+        "fact_sales_order": lambda: star.fact_sales_order(orders, number=number, scratch=scratch),
     }
 
 
@@ -92,7 +128,10 @@ def transform_batch(
     scratch = scratch_path(spark, f"batch-{batch}")
     try:
         landed["sales_order"] = stage(landed["sales_order"], f"{scratch}/orders")
-        tables = sales_star(landed, options, scratch)
+        number = with_dense_key
+        if options.lasting_keys:
+            number = lasting(spark, zones.processed, "fact_sales_order", "sales_order_id", batch)
+        tables = sales_star(landed, options, scratch, number)
         return write_batch(spark, zones.processed, batch, tables, write_parquet, at)
     finally:
         storage.discard(spark, scratch)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.text import JSON_FORMAT, upload_line
-from starloom.storage import exists, log_path, manifest_path, snapshot_key, snapshot_path
+from starloom.storage import children, exists, log_path, manifest_path, snapshot_key, snapshot_path
 
 # Manifest columns and states.
 MANIFEST = (
@@ -39,6 +39,19 @@ def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).options(**JSON_FORMAT).json(path)
 
 
+def write_json_array(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """One array in one file, for those who ask for that format. One task writes it, row after row; land JSON Lines
+    where there is a choice."""
+    n = df.count()
+    if n == 0:
+        df.sparkSession.range(1).select(F.lit("[]").alias("value")).coalesce(1).write.mode(mode).text(path)
+        return
+    place = F.monotonically_increasing_id()
+    start, end = F.when(place == 0, "[").otherwise(","), F.when(place == n - 1, "]").otherwise("")
+    record = F.to_json(F.struct(*df.columns), JSON_FORMAT)
+    df.coalesce(1).select(F.concat(start, record, end).alias("value")).write.mode(mode).text(path)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).parquet(path)
 
@@ -73,11 +86,13 @@ def write_batch(
     tables: dict[str, Callable[[], DataFrame]],
     write: Callable[[DataFrame, str, str], None],
     at: datetime,
+    seal: Callable[[list[Written]], object] | None = None,
 ) -> DataFrame:
     """Build and write every table, several at once, then the manifest of the batch, and return it.
 
     The manifest comes last and makes the batch complete. A complete batch is immutable; what a failed
-    attempt left of an incomplete one is replaced.
+    attempt left of an incomplete one is replaced. `seal` runs between the tables and the manifest, for what belongs
+    to a complete batch.
     """
     require_incomplete(spark, zone, batch)
 
@@ -87,6 +102,8 @@ def write_batch(
         return Written(batch, name, path, UPLOADED if rows else SKIPPED_EMPTY, rows, at)
 
     written = each_at_once(spark, [lambda n=n, b=build: job(n, b) for n, build in tables.items()])
+    if seal is not None:
+        seal(written)
     manifest = manifest_of(spark, written)
     manifest.coalesce(1).write.mode("overwrite").json(manifest_path(zone, batch))
     return manifest
@@ -100,6 +117,12 @@ def read_manifest(spark: SparkSession, zone: str, batch: str = "*") -> DataFrame
     return spark.read.schema(MANIFEST).json(manifest_path(zone, batch))
 
 
+def complete_batches(spark: SparkSession, zone: str) -> list[str]:
+    """Ids of the complete batches of a zone, oldest first; ids sort by time."""
+    folders = children(spark, manifest_path(zone, ""))
+    return sorted(b for b in folders if is_complete(spark, zone, b))
+
+
 def manifest_lines(manifest: DataFrame) -> DataFrame:
     """The log text of a manifest: one line per uploaded table, with the table's place inside the zone."""
     at = F.date_format("written_at", "yyyy-MM-dd HH:mm:ss")

@@ -6,17 +6,19 @@ breaks off, readers see the old star whole. The warehouse knows which batch it h
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Protocol
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.sinks.snapshots import each_at_once
 from starloom.specs import SALES_NAMES, WAREHOUSE
-from starloom.storage import discard, exists
+from starloom.storage import children, create, discard
 
 # Types that databases name otherwise.
 SQL_TYPES = {"STRING": "TEXT"}
@@ -35,26 +37,44 @@ class Warehouse(Protocol):
     def table(self, name: str) -> DataFrame: ...
 
 
+class LostRace(RuntimeError):
+    """Another refresh switched the warehouse while this one was being written; nothing of this one is seen."""
+
+
 class Versioned:
-    """Keeps a version of all tables per refresh, and a growing list of switches.
+    """Keeps a version of all tables per refresh, and a numbered pointer per switch. Readers follow the last one.
 
-    Readers follow the switch to the newest batch, and of a batch's to the last one, so of two refreshes at the same
-    time the older batch cannot win. The version before is kept for those who still read it.
+    A refresh notes the last number when it begins, and ends by creating the next one, which must not be there: of two
+    refreshes at the same time one wins and the other raises LostRace. So a batch only ever follows one that it
+    has seen, and an older one is refused. The version before is kept for those who still read it.
     """
 
     spark: SparkSession
 
-    def _switches(self) -> DataFrame | None: ...
+    def _numbers(self) -> list[int]:
+        """Numbers of all pointers that are kept, in order."""
+        ...
 
-    def _switch(self, pointer: DataFrame) -> None: ...
+    def _pointer(self, number: int) -> Row | None: ...
+
+    def _switch(self, number: int, batch: str, version: str) -> bool:
+        """Create the pointer of a number; whether it was not there before."""
+        ...
 
     def _write(self, version: str, name: str, df: DataFrame) -> None: ...
 
     def _drop(self, version: str, names: list[str]) -> None: ...
 
     def _newest(self, n: int) -> list[Row]:
-        switches = self._switches()
-        return [] if switches is None else switches.orderBy(F.desc("batch_id"), F.desc("switched")).limit(n).collect()
+        """The last pointers, newest first. One that a writer has only just created may still be empty."""
+        found: list[Row] = []
+        for number in reversed(self._numbers()):
+            pointer = self._pointer(number)
+            if pointer is not None:
+                found.append(pointer)
+            if len(found) == n:
+                break
+        return found
 
     def loaded(self) -> str | None:
         newest = self._newest(1)
@@ -67,27 +87,37 @@ class Versioned:
         return newest[0].version
 
     def refresh(self, batch: str, tables: dict[str, DataFrame]) -> None:
-        version = f"{batch}_{uuid.uuid4().hex[:8]}"
+        number = max(self._numbers(), default=0) + 1
         before = self._newest(2)
+        if before and batch < before[0].batch_id:
+            raise LostRace(f"batch {before[0].batch_id} is loaded, which is newer than {batch}")
+        version = f"{batch}_{uuid.uuid4().hex[:8]}"
         each_at_once(self.spark, [lambda n=n, df=df: self._write(version, n, df) for n, df in tables.items()])
-        number = max((r.switched for r in before), default=0) + 1
-        self._switch(self.spark.createDataFrame([(batch, version, number)], POINTER))
+        if not self._switch(number, batch, version):
+            self._drop(version, list(tables))
+            raise LostRace(f"another refresh made switch {number} before batch {batch}")
         for old in before[1:]:
             self._drop(old.version, list(tables))
 
 
 @dataclass
 class FolderWarehouse(Versioned):
+    """Pointers are small files, each created by an exclusive call of the file system."""
+
     spark: SparkSession
     root: str
     time_type: bool = False
 
-    def _switches(self) -> DataFrame | None:
-        path = f"{self.root}/switches"
-        return self.spark.read.schema(POINTER).json(path) if exists(self.spark, path) else None
+    def _numbers(self) -> list[int]:
+        names = children(self.spark, f"{self.root}/switches")
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
 
-    def _switch(self, pointer: DataFrame) -> None:
-        pointer.coalesce(1).write.mode("append").json(f"{self.root}/switches")
+    def _pointer(self, number: int) -> Row | None:
+        return self.spark.read.schema(POINTER).json(f"{self.root}/switches/{number:012d}.json").first()
+
+    def _switch(self, number: int, batch: str, version: str) -> bool:
+        line = json.dumps({"batch_id": batch, "version": version, "switched": number})
+        return create(self.spark, f"{self.root}/switches/{number:012d}.json", line + "\n")
 
     def _write(self, version: str, name: str, df: DataFrame) -> None:
         df.write.parquet(f"{self.root}/versions/{version}/{name}")
@@ -101,7 +131,8 @@ class FolderWarehouse(Versioned):
 
 @dataclass
 class CatalogWarehouse(Versioned):
-    """A table per version. The view of a table's name follows after the switch, for readers by SQL."""
+    """A table per version, and one per pointer, whose name the catalog gives once. The view of a table's name follows
+    after the switch, for readers by SQL."""
 
     spark: SparkSession
     database: str
@@ -110,12 +141,22 @@ class CatalogWarehouse(Versioned):
     def _name(self, name: str, version: str) -> str:
         return f"{self.database}.{name}__{version}"
 
-    def _switches(self) -> DataFrame | None:
-        name = f"{self.database}.switches"
-        return self.spark.table(name) if self.spark.catalog.tableExists(name) else None
-
-    def _switch(self, pointer: DataFrame) -> None:
-        pointer.coalesce(1).write.mode("append").saveAsTable(f"{self.database}.switches")
+    def _numbers(self) -> list[int]:
+        names = [t.name for t in self.spark.catalog.listTables(self.database, "switch__*")]
+        return sorted(int(n.removeprefix("switch__")) for n in names)
+
+    def _pointer(self, number: int) -> Row | None:
+        return self.spark.table(self._name("switch", f"{number:012d}")).first()
+
+    def _switch(self, number: int, batch: str, version: str) -> bool:
+        pointer = self.spark.createDataFrame([(batch, version, number)], POINTER)
+        try:
+            pointer.coalesce(1).write.mode("errorifexists").saveAsTable(self._name("switch", f"{number:012d}"))
+        except AnalysisException as refused:
+            if "ALREADY_EXISTS" in (refused.getCondition() or ""):
+                return False
+            raise
+        return True
 
     def _write(self, version: str, name: str, df: DataFrame) -> None:
         df.write.saveAsTable(self._name(name, version))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.text import doubled_backslashes
+from starloom.sources.arrays import is_flat, read_array
 from starloom.specs import SOURCES, WAREHOUSE
 from starloom.storage import snapshot_path
 
@@ -20,11 +21,14 @@ def read_json(
     """JSON records; a malformed record fails the read.
 
     `lines`: one record, or one array of records, per line; files split over tasks. `array`: one array
-    per file, over any number of lines; a file is then one task, which is a property of that format.
+    per file, over any number of lines; files split over tasks too, unless records hold other records, when a file is
+    one task.
     `raw_escapes` keeps every backslash as a literal character, as older snapshots were read.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}, not {layout!r}")
+    if layout == "array" and is_flat(schema):
+        return read_array(spark, path, schema, raw_escapes)
     if not raw_escapes:
         return spark.read.schema(schema).json(path, multiLine=layout == "array", mode="FAILFAST")
     text = spark.read.text(path, wholetext=layout == "array").where(F.trim("value") != "")

@@ -124,22 +124,18 @@ def changed_since(df: DataFrame, watermark: Column | str, column: str = "last_up
 def latest_per_key(df: DataFrame, keys: list[str], *order_by: str) -> DataFrame:
     """The newest version of every key: the one with the greatest `order_by`, column by column, nulls least.
 
-    Of versions that are equal in these, the one with the greatest hash of all columns; copies of it are one. The
-    greatest values are found by hash aggregates of fixed-width columns alone, one column at a time, so versions
-    collapse before each shuffle and nothing is sorted; a key with very many versions never meets in one task. The
-    rows then meet only their key's newest values.
+    Of versions that are equal in these, the one with the greatest hash of all columns; copies of it are one. A hash
+    aggregate of keys and the first order column finds the greatest values, so versions collapse before the shuffle.
+    Only rows that have their key's greatest value go on; ties among them are settled by a second aggregate, which
+    collapses them before its shuffle too. So `df` is scanned twice, and a key with very many versions never meets
+    in one task.
     """
-    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
-    steps = [*order_by, "_hash"]
-    best = hashed.select(*keys, *steps)
-    newest: DataFrame | None = None
-    maxima = []
-    for k in range(len(steps) - 1, -1, -1):
-        best = best.groupBy(*keys, *steps[:k]).agg(F.max(steps[k]).alias(steps[k]))
-        maxima.append(best)
-    for k, level in enumerate(reversed(maxima)):
-        newest = level if newest is None else _same(level, newest, [*keys, *steps[:k]])
-    return _same(hashed, newest, [*keys, *steps]).select(*df.columns).distinct()
+    first, rest = order_by[0], order_by[1:]
+    newest = df.groupBy(*keys).agg(F.max(first).alias(first))
+    kept = _same(df, newest, [*keys, first])
+    rank = F.struct(*[F.col(c) for c in rest], F.xxhash64(*df.columns).alias("_hash"))
+    best = kept.groupBy(*keys).agg(F.max_by(F.struct(*df.columns), rank).alias("_best"))
+    return best.select("_best.*")
 
 
 def _same(rows: DataFrame, wanted: DataFrame, columns: list[str]) -> DataFrame:
