@@ -157,32 +157,35 @@ ORACLES: dict[str, str] = {
     "op2_licences": f"""
 WITH split AS (
   SELECT row_number() OVER () AS r, doc_id,
-    list_transform(string_split(text, chr(10)), lambda l: regexp_extract_all(lower(l), '{licences.WORDS}')) AS ls
+    [regexp_extract_all(lower(l), '{licences.WORDS}') FOR l IN string_split(text, chr(10))] AS ls
   FROM documents WHERE text IS NOT NULL),
-starts AS (SELECT r, doc_id, ls, unnest(range(len(ls))) AS line FROM split),
-runs AS (
-  SELECT r, doc_id, line, k AS lines, flatten(list_slice(ls, line + 1, line + k)) AS words
-  FROM starts, (SELECT unnest(range(1, {licences.LINES} + 1)) AS k)
-  WHERE line + k <= len(ls) AND len(ls[line + 1]) > 0 AND len(ls[line + k]) > 0
-  UNION ALL SELECT r, doc_id, 0, len(ls), flatten(ls) FROM split WHERE len(ls) > {licences.LINES}),
-grams AS (
-  SELECT r, doc_id, line, lines, len(words) - 1 AS size, words[i + 1] || ' ' || words[i + 2] AS gram, count(*) AS n
-  FROM (SELECT *, unnest(range(len(words) - 1)) AS i FROM runs WHERE len(words) BETWEEN 2 AND 200) GROUP BY ALL),
+numbered AS (
+  SELECT r, doc_id, flatten(ls) AS words,
+    flatten(list_transform(ls, lambda l, n: list_transform(l, lambda w: n - 1))) AS nr
+  FROM split),
 templates AS (
-  SELECT licence, wording, regexp_extract_all(lower(body), '{licences.WORDS}') AS words
+  SELECT licence, wording, regexp_extract_all(lower(body), '{licences.WORDS}') AS own
   FROM (VALUES {_TEMPLATES}) t(licence, wording, body)),
 known AS (
-  SELECT licence, wording, len(words) - 1 AS own, words[i + 1] || ' ' || words[i + 2] AS gram, count(*) AS m
-  FROM (SELECT *, unnest(range(len(words) - 1)) AS i FROM templates) GROUP BY ALL),
-met AS (
-  SELECT doc_id, line, lines, licence, size, own, sum(least(n, m)) AS common
-  FROM grams JOIN known USING (gram) GROUP BY r, doc_id, line, lines, licence, wording, size, own
-  HAVING 200 * sum(least(n, m)) >= {licences.LEAST} * (size + own)),
+  SELECT licence, wording, len(own) AS k, own[i + 1] || ' ' || own[i + 2] AS gram, count(*) AS m
+  FROM (SELECT *, unnest(range(len(own) - 1)) AS i FROM templates) GROUP BY ALL),
+placed AS (
+  SELECT r, i, words[i + 1] || ' ' || words[i + 2] AS gram
+  FROM (SELECT r, words, unnest(range(len(words) - 1)) AS i FROM numbered)),
+hit AS (SELECT r, i, licence, wording, k, gram, m FROM placed JOIN known USING (gram)),
+shared AS (
+  SELECT a.r, a.i AS start, a.licence, a.wording, a.k, b.gram, least(b.m, count(*)) AS n
+  FROM hit a JOIN hit b ON b.r = a.r AND b.licence = a.licence AND b.wording = a.wording AND b.i BETWEEN a.i AND a.i + a.k - 2
+  GROUP BY a.r, a.i, a.licence, a.wording, a.k, b.gram, b.m),
+summed AS (SELECT r, start, licence, k, sum(n) AS common FROM shared GROUP BY r, start, licence, wording, k),
+measured AS (
+  SELECT doc_id, nr, licence, start, least(k, len(words) - start) AS length, CAST(common * 2 AS DOUBLE) AS twice,
+    least(k, len(words) - start) - 1 + k - 1 AS sizes FROM summed JOIN numbered USING (r)),
 best AS (
-  SELECT *, CAST(common * 2 AS DOUBLE) / (size + own) AS dice FROM met
-  QUALIFY row_number() OVER (
-    PARTITION BY doc_id, licence ORDER BY CAST(common * 2 AS DOUBLE) / (size + own) DESC, line, lines) = 1)
-SELECT doc_id, licence, dice, CAST(line AS INTEGER) AS line, CAST(lines AS INTEGER) AS lines FROM best""",
+  SELECT *, twice / sizes AS dice FROM measured WHERE 100 * twice >= {licences.LEAST} * sizes
+  QUALIFY row_number() OVER (PARTITION BY doc_id, licence ORDER BY twice / sizes DESC, start, length) = 1)
+SELECT doc_id, licence, dice, CAST(nr[start + 1] AS INTEGER) AS line,
+  CAST(nr[start + length] - nr[start + 1] + 1 AS INTEGER) AS lines FROM best""",
     "op5_quality_rules": f"""
 WITH base AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS body,

@@ -1,8 +1,10 @@
-"""Licence scan: runs of lines compared with licence templates by the Dice coefficient over bags of word bigrams.
+"""Licence scan: runs of words compared with licence templates by the Dice coefficient over bags of word bigrams.
 
-Texts are normalised to lower-case words of letters and digits. The coefficient of bags of a and b bigrams is at
-most 2 min(a, b) / (a + b), so a run is only compared with the templates whose size may reach the threshold: each
-template is listed under every size that may, and runs are joined with that list by their size.
+Texts are normalised to lower-case words of letters and digits, however they are broken into lines. A template is compared
+with runs of as many words as it has, or to the end of the text, that start at a bigram which both have: any other run
+shares no more with it than the one that starts at its first shared bigram. The coefficient of bags of a and b
+bigrams is at most 2 min(a, b) / (a + b), so a run must hold a least number of the template's bigrams; runs that
+do not are ruled out by the places of shared bigrams alone, before their own are made.
 """
 
 from __future__ import annotations
@@ -17,8 +19,6 @@ from starloom.llm.common import once
 WORDS = r"[\p{L}\p{N}]+"
 #: Hundredths.
 LEAST = 80
-#: Runs of so many lines are compared, and the whole text. A longer notice inside a longer text is found by its parts.
-LINES = 4
 
 #: Wordings of notices, by SPDX id.
 TEMPLATES = {
@@ -62,117 +62,107 @@ def bigrams(words: Column) -> Column:
     return F.when(last >= 0, pairs).otherwise(F.array().cast("array<string>"))
 
 
-def _sizes(n: int, least: int) -> range:
-    """Sizes m for which 2 min(n, m) / (n + m) reaches `least` hundredths."""
-    return range(-(-n * least // (200 - least)), n * (200 - least) // least + 1)
+def fewest(own: int, least: int) -> int:
+    """Bigrams that a run shares at least with a template of `own` bigrams if their coefficient reaches `least` hundredths.
+
+    It shares no more than its own size m, and 2 m / (m + own) must reach it.
+    """
+    return max(1, -(-own * least // (200 - least)))
 
 
-def template_table(docs: DataFrame, templates: Mapping[str, tuple[str, ...]], least: int) -> DataFrame:
-    """Each template under every size that may match it: size, licence, wording (its number), its own size, and its
-    bigrams with their counts. As long as the templates are, whatever the corpus."""
-    rows = [(name, k, text) for name, texts in templates.items() for k, text in enumerate(texts)]
-    table = docs.sparkSession.createDataFrame(rows, "licence string, wording int, text string")
-    table = table.select("licence", "wording", normal_words(F.col("text")).alias("w"))
-    table = table.select("licence", "wording", bigrams(F.col("w")).alias("own"))
+def template_table(docs: DataFrame, templates: Mapping[str, tuple[str, ...]]) -> DataFrame:
+    """Each template: its number, licence, own size, and its bigrams with their counts. As long as the templates are,
+    whatever the corpus."""
+    rows = [(n, name, text) for n, (name, text) in enumerate(_listed(templates))]
+    table = docs.sparkSession.createDataFrame(rows, "template int, licence string, text string")
+    table = table.select("template", "licence", bigrams(normal_words(F.col("text"))).alias("own"))
     counted = F.transform(
         F.array_distinct("own"),
         lambda b: F.struct(b.alias("bigram"), F.size(F.filter("own", lambda x: x == b)).alias("n")),
     )
-    table = table.select(
-        "licence", "wording", F.size("own").alias("own_size"), F.array_distinct("own").alias("known"), counted.alias("counted")
+    return table.select("template", "licence", F.size("own").alias("own_size"), counted.alias("counted"))
+
+
+def words_by_line(text: Column) -> Column:
+    """Words of a text in order, each with the number of its line."""
+    return F.flatten(
+        F.transform(
+            F.split(text, "\n", -1),
+            lambda line, at: F.transform(normal_words(line), lambda w: F.struct(w.alias("word"), at.alias("line"))),
+        )
     )
-    low = F.ceil(F.col("own_size") * least / (200 - least)).cast("int")
-    high = F.floor(F.col("own_size") * (200 - least) / least).cast("int")
-    return table.where("own_size > 0").withColumn("size", F.explode(F.sequence(low, high)))
 
 
-def runs_of(lines: Column, known: list[str], least: int, low: int, high: int) -> Column:
-    """Runs of up to LINES lines, and all of a longer text, that may match a template: where they start, how many lines
-    they have, their size in bigrams and their words. `lines` are arrays of words.
+def runs_of(words: Column, templates: list[list[str]], least: int) -> Column:
+    """Runs that may match a template: its number, where they start, and how many words they have."""
+    grams = [list(map(" ".join, zip(own, own[1:], strict=False))) for own in templates]
+    firsts = sorted({own[k] for own in templates for k in range(len(own) - 1)})
+    every = sorted({gram for own in grams for gram in own})
 
-    A run starts and ends with a line that has words, so that blank lines around it make no further runs. Its size lies
-    between `low` and `high`. And since at least least / (200 - least) of the bigrams of a match are the template's,
-    it has so many words that templates know, and one more; few runs of ordinary text do.
-    """
+    def gram(at: Column) -> Column:
+        return F.concat_ws(" ", F.get(words, at).word, F.get(words, at + 1).word)
 
-    def found(counts: Column) -> Column:
-        n = F.size(counts)
+    places = F.sequence(F.lit(0), F.greatest(F.size(words) - 2, F.lit(0)))
+    shared = F.filter(places, lambda at: F.get(words, at).word.isin(firsts) & gram(at).isin(every))
+    hits = F.transform(shared, lambda at: F.struct(at.alias("at"), gram(at).alias("gram")))
 
-        def summed(start: Column, length: Column, field: str) -> Column:
-            return F.aggregate(F.slice(counts, start + 1, length), F.lit(0), lambda a, c: a + c[field])
+    def of_template(k: int, hits: Column) -> Column:
+        size, few = len(templates[k]), fewest(len(grams[k]), least)
+        mine = F.transform(F.filter(hits, lambda h: h.gram.isin(grams[k])), lambda h: h.at)
 
-        def run(start: Column, length: Column) -> Column:
-            return F.struct(
-                start.alias("line"),
-                length.alias("lines"),
-                (summed(start, length, "words") - 1).alias("size"),
-                summed(start, length, "known").alias("known"),
+        def dense(mine: Column) -> Column:
+            """Starts from which on the template's span holds so many shared bigrams."""
+            starts = F.filter(mine, lambda at, n: F.get(mine, n + few - 1) <= at + size - 2)
+            return F.transform(
+                starts,
+                lambda at: F.struct(
+                    F.lit(k).alias("template"), at.alias("start"), F.least(F.lit(size), F.size(words) - at).alias("length")
+                ),
             )
 
-        def short(start: Column) -> Column:
-            lengths = F.sequence(F.lit(1), F.least(F.lit(LINES), n - start))
-            ending = F.filter(lengths, lambda k: F.get(counts, start + k - 1).words > 0)
-            return F.transform(ending, lambda k: run(start, k))
-
-        starts = F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.get(counts, i).words > 0)
-        whole = F.filter(F.array(run(F.lit(0), n)), lambda r: r.lines > LINES)
-        fitting = F.filter(
-            F.concat(F.flatten(F.transform(starts, short)), whole),
-            lambda r: r.size.between(low, high) & ((r.known - 1) * (200 - least) >= r.size * least),
-        )
-        # Each run takes its own words along, not the whole document.
-        return F.transform(
-            fitting,
-            lambda r: F.struct(
-                r.line.alias("line"),
-                r.lines.alias("lines"),
-                r.size.alias("size"),
-                F.flatten(F.slice(lines, r.line + 1, r.lines)).alias("words"),
-            ),
-        )
+        return once(mine, dense)
 
-    in_template = [F.lit(w) for w in known]
-    counts = F.transform(
-        lines,
-        lambda line: F.struct(
-            F.size(line).alias("words"), F.size(F.filter(line, lambda w: w.isin(in_template))).alias("known")
-        ),
-    )
-    return once(counts, found)
+    chosen = [k for k, own in enumerate(grams) if own]
+    return once(hits, lambda hits: F.flatten(F.array(*[of_template(k, hits) for k in chosen])))
 
 
 def scan(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES, least: int = LEAST) -> DataFrame:
     """One row per document and licence found: doc_id, licence, dice (the best), line (where the first best run starts,
-    from 0), lines (of that run).
+    from 0), lines (that this run touches).
 
-    Null and empty texts have no licence. Rows that repeat an id are taken as one document. Among equally good runs the
-    first and then the shortest is named. Other columns are ignored, whatever their names. An empty table gives an
-    empty result.
+    Null and empty texts have no licence; very long ones are scanned whole. Rows that repeat an id are taken as one
+    document. Among equally good runs the first by word and then the shortest is named. Templates of fewer than two words
+    match nothing. Other columns are ignored, whatever their names. An empty table gives an empty result.
     """
-    table = template_table(docs, templates, least)
-    plain = [_plain_words(text) for texts in templates.values() for text in texts]
-    sizes = sorted(len(words) - 1 for words in plain if len(words) > 1)
-    low, high = min(_sizes(sizes[0], least)), max(_sizes(sizes[-1], least))
-    known = sorted({word for words in plain for word in words})
-    runs = once(
-        F.transform(F.split("text", "\n", -1), normal_words), lambda lines: runs_of(lines, known, least, low, high)
-    )
-    parts = docs.where("text is not null").select("doc_id", F.explode(runs).alias("part"))
-    parts = parts.select(
-        "doc_id", "part.line", "part.lines", "part.size", bigrams(F.col("part.words")).alias("bigrams")
-    )
+    plain = [_plain_words(text) for _, text in _listed(templates)]
+    worded = docs.where("text is not null").select("doc_id", words_by_line(F.col("text")).alias("words"))
+    runs = worded.select("doc_id", "words", F.explode(once(F.col("words"), lambda w: runs_of(w, plain, least))).alias("run"))
+    first, last = F.get("words", F.col("run.start")).line, F.get("words", F.col("run.start") + F.col("run.length") - 1).line
+    parts = runs.select(
+        "doc_id",
+        "run.template",
+        "run.start",
+        "run.length",
+        first.alias("line"),
+        (last - first + 1).alias("lines"),
+        F.transform(F.slice("words", F.col("run.start") + 1, F.col("run.length")), lambda w: w.word).alias("own_words"),
+    ).select("*", bigrams(F.col("own_words")).alias("bigrams"))
     common = F.aggregate(
         "counted",
         F.lit(0),
         lambda a, t: a + F.least(t.n, F.size(F.filter("bigrams", lambda x: x == t.bigram))),
     )
-    # Runs that share no bigram with a template of their size are dropped before bigrams are counted.
-    met = parts.join(F.broadcast(table), "size").where(F.arrays_overlap("bigrams", "known")).withColumn("common", common)
-    met = met.where(F.col("common") * 200 >= (F.col("size") + F.col("own_size")) * least)
-    dice = (F.col("common") * 2) / (F.col("size") + F.col("own_size"))
-    best = F.max(F.struct(dice.alias("dice"), (-F.col("line")).alias("line"), (-F.col("lines")).alias("lines")))
+    size = F.col("length") - 1
+    met = parts.join(F.broadcast(template_table(docs, templates)), "template").withColumn("common", common)
+    met = met.where(F.col("common") * 200 >= (size + F.col("own_size")) * least)
+    dice = (F.col("common") * 2) / (size + F.col("own_size"))
+    best = F.max(F.struct(dice.alias("dice"), (-F.col("start")).alias("start"), (-F.col("length")).alias("length"), "line", "lines"))
     found = met.groupBy("doc_id", "licence").agg(best.alias("best"))
-    return found.select("doc_id", "licence", "best.dice", (-F.col("best.line")).alias("line"), (-F.col("best.lines")).alias("lines"))
+    return found.select("doc_id", "licence", "best.dice", "best.line", "best.lines")
+
+
+def _listed(templates: Mapping[str, tuple[str, ...]]) -> list[tuple[str, str]]:
+    return [(name, text) for name, texts in templates.items() for text in texts]
 
 
 def _plain_words(text: str) -> list[str]:

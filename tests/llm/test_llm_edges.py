@@ -1,5 +1,6 @@
 """Every operator and stage on nulls, empty and long texts, ties, repeated rows, empty tables and clashing names."""
 
+import textwrap
 from collections import Counter
 from itertools import count
 
@@ -123,6 +124,27 @@ def test_notice_over_two_lines(spark):
     assert (row["doc_id"], row["licence"], row["line"], row["lines"]) == (1, "GPL-3.0", 1, 2)
 
 
+@pytest.mark.parametrize("name", licences.TEMPLATES)
+def test_every_wording_is_found_at_every_width(spark, name):
+    rows = []
+    for k, text in enumerate(licences.TEMPLATES[name]):
+        for width in range(20, 101, 2):
+            wrapped = textwrap.fill(text, width)
+            rows.append((k * 1000 + width, f"int main() {{}}\n// before it\n{wrapped}\nand after it\n" + "code x\n" * 50))
+    found = licences.scan(spark.createDataFrame(rows, "doc_id int, text string")).where(F.col("licence") == name)
+    assert {(r["doc_id"], r["dice"], r["line"]) for r in found.collect()} == {(n, 1.0, 2) for n, _ in rows}
+
+
+def test_notices_that_share_their_line(spark):
+    rows = [
+        (1, "Copyright (c) 2020 Acme. All rights reserved."),
+        (2, "Licensed under the MIT License. See LICENSE file in the project root for details."),
+        (3, "All the rights that were reserved are listed under the license."),
+    ]
+    found = licences.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert {(r["doc_id"], r["licence"], r["dice"]) for r in found} == {(1, "proprietary", 1.0), (2, "MIT", 1.0)}
+
+
 def test_reordered_passages_leak(docs, benchmark):
     (row,) = decontaminate.find_leaks(docs, benchmark).collect()
     assert (row["doc_id"], row["item_id"], row["item_words"]) == (9, 1, 13)
