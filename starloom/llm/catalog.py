@@ -119,6 +119,7 @@ QUERIES: dict[str, Query] = {
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _STOP = ", ".join(f"'{w}'" for w in rules.STOP_WORDS)
 
 
@@ -244,6 +245,49 @@ summed AS (
 SELECT doc_id, domain, lang, source, CAST(n_tokens AS BIGINT) AS n_tokens, CAST(epochs AS INTEGER) AS epochs,
   CAST(greatest(0, least(n_tokens, rest - start)) AS BIGINT) AS part_tokens
 FROM summed""",
+    "op8_jaccard_join": f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_WORD}') AS words
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE [array_to_string(words[i:i + 4], ' ') FOR i IN range(1, len(words) - 3)] END)) AS shingles FROM docs),
+classes AS (
+  SELECT row_number() OVER () AS c, shingles, len(shingles) AS n, min(doc_id) AS least FROM sets WHERE len(shingles) > 0
+  GROUP BY shingles),
+member AS (SELECT c, n, unnest(shingles) AS shingle FROM classes),
+linked AS (
+  SELECT a.c AS a, b.c AS b FROM member a JOIN member b ON b.shingle = a.shingle AND a.c < b.c
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+link AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+reach AS (SELECT c AS a, c AS b FROM classes UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+component AS (SELECT reach.a AS c, min(least) AS component_id FROM reach JOIN classes ON classes.c = reach.b GROUP BY reach.a)
+SELECT doc_id, len(sets.shingles) AS n_shingles, CASE WHEN len(sets.shingles) = 0 THEN doc_id ELSE component_id END AS component_id
+FROM sets LEFT JOIN classes USING (shingles) LEFT JOIN component USING (c)""",
+    "op10_sharding": f"""
+WITH RECURSIVE polynomial AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+    lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)) AS steps),
+summed AS (
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0) + {sharding.OVERHEAD} AS size,
+    CASE WHEN text IS NOT NULL THEN xor(list_reduce(
+      list_prepend(4294967295::BIGINT, [('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex(encode(text)), '..')]),
+      lambda s, b: xor(s >> 8, steps[(xor(s, b) & 255) + 1])), 4294967295) END AS text_crc32
+  FROM documents, polynomial),
+hop AS (
+  SELECT key, shards, 0::BIGINT AS at_, 0::BIGINT AS target, ('0x' || substr(md5(key), 1, 12))::HUGEINT AS state
+  FROM (SELECT DISTINCT coalesce(CAST(doc_id AS VARCHAR), '') AS key FROM documents),
+    (VALUES ({sharding.SHARDS}), ({sharding.SHARDS} + 1)) s(shards)
+  UNION ALL
+  SELECT key, shards, target, floor((target + 1) * (2147483648.0::DOUBLE / ((drawn >> 17) + 1)::DOUBLE))::BIGINT, drawn
+  FROM (SELECT *, (state * {sharding.MULTIPLIER} + {sharding.INCREMENT}) % 281474976710656 AS drawn FROM hop WHERE target < shards)),
+dealt AS (
+  SELECT key, any_value(at_) FILTER (WHERE shards = {sharding.SHARDS}) AS shard,
+    any_value(at_) FILTER (WHERE shards > {sharding.SHARDS}) AS grown_shard FROM hop WHERE target >= shards GROUP BY key)
+SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32 NULLS FIRST, size) - 1 AS slot,
+  CAST(grown_shard AS INTEGER) AS grown_shard
+FROM summed JOIN dealt ON dealt.key = coalesce(CAST(doc_id AS VARCHAR), '')""",
     "op11_prefix_trie": f"""
 WITH own AS (
   SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, ''))
