@@ -205,16 +205,17 @@ WITH tied AS (
 later AS (
   SELECT id, price + CASE WHEN id % 50 = 7 THEN 1 WHEN id % 10 = 1 THEN 2 ELSE 0 END AS price,
     CASE WHEN id % 3 = 0 OR (id % 10 = 1 AND id % 50 <> 7) THEN TIMESTAMP '2030-01-01' ELSE t.at END AS at FROM tied t)
-SELECT id AS sales_order_id, price AS unit_price, strftime(at, '%Y-%m-%dT%H:%M:%S.%g') AS last_updated,
-  (SELECT count(*) FROM later WHERE at >= (SELECT max(at) FROM tied WHERE id % 3 <> 0)) AS n_landed
+SELECT CAST(id AS INTEGER) AS sales_order_id, price AS unit_price, strftime(later.at, '%Y-%m-%dT%H:%M:%S.%g') AS last_updated,
+  (SELECT count(*) FROM later l WHERE l.at >= (SELECT max(t.at) FROM tied t WHERE id % 3 <> 0)) AS n_landed
 FROM later
 """,
     "stable_keys": """
 WITH early AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0)
-SELECT row_number() OVER (ORDER BY o_orderkey) AS sales_record_id, o_orderkey AS sales_order_id, o_totalprice AS unit_price
+SELECT row_number() OVER (ORDER BY o_orderkey) AS sales_record_id, CAST(o_orderkey AS INTEGER) AS sales_order_id,
+  o_totalprice AS unit_price
 FROM early
 UNION ALL
-SELECT (SELECT count(*) FROM early) + row_number() OVER (ORDER BY o_orderkey), o_orderkey, o_totalprice
+SELECT (SELECT count(*) FROM early) + row_number() OVER (ORDER BY o_orderkey), CAST(o_orderkey AS INTEGER), o_totalprice
 FROM orders WHERE o_orderkey % 3 = 0
 """,
     "latest_version": """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from starloom.sinks import warehouse as wh
 from starloom.sources import snapshots as source
 from starloom.sources.tables import FrameSource, changed_since, latest_per_key
 from starloom.specs import SALES_SOURCES, WAREHOUSE, ForeignKey
-from starloom.storage import batch_id
+from starloom.storage import batch_id, discard
 from starloom.streaming.arrivals import load_arrivals, transform_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,20 @@ AT = datetime(2024, 1, 1)
 OPTIONS = Options(currency_names=CURRENCIES)
 
 
+def tidy(query: Callable[[SparkSession, str, str], DataFrame]) -> Query:
+    """Gives a query a folder of its own in the shared area, keeps its result, and discards the folder."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_path(spark, query.__name__.replace("_", "-"))
+        try:
+            return settle(query(spark, sf_dir, folder))
+        finally:
+            discard(spark, folder)
+
+    return run
+
+
 # Star-schema transforms
 
 
@@ -247,16 +262,18 @@ def record_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Snapshots
 
 
-def json_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "events-json")
+@tidy
+def json_snapshot_roundtrip(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    path = f"{folder}/events-json"
     events = sample(spark, sf_dir, "events").select("event_id", F.col("ts").alias("created_at"), "event_type", "value")
     sink.write_json(events, path)
     return source.read_json(spark, path, "event_id BIGINT, created_at STRING, event_type STRING, value DOUBLE")
 
 
-def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+@tidy
+def json_array_scan(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """A snapshot whose lines are arrays of two records."""
-    path = scratch_path(spark, "orders-arrays")
+    path = f"{folder}/orders-arrays"
     pair = F.array(
         F.struct(F.lit("order").alias("kind"), F.col("o_orderkey").alias("id")),
         F.struct(F.lit("customer").alias("kind"), F.col("o_custkey").alias("id")),
@@ -265,9 +282,10 @@ def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source.read_json(spark, path, "kind STRING, id BIGINT")
 
 
-def json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+@tidy
+def json_array_split(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """One file with one array, whose strings hold what stands between records, read by many tasks."""
-    path = scratch_path(spark, "lines-array")
+    path = f"{folder}/lines-array"
     key = F.col("l_orderkey")
     note = F.when(key % 5 == 0, F.concat("l_returnflag", F.lit('}, {"a": "]}'))).when(key % 7 == 0, "}\\").otherwise(
         F.col("l_returnflag")
@@ -279,9 +297,10 @@ def json_array_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def json_escapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+@tidy
+def json_escapes(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """The same escaped snapshot read properly, and with every backslash kept."""
-    path = scratch_path(spark, "design-escaped")
+    path = f"{folder}/design-escaped"
     record = F.format_string('{"design_id":%d,"file_location":"\\/usr\\/%s"}', "p_partkey", "p_type")
     sample(spark, sf_dir, "part").select(record.alias("value")).write.text(path)
     schema = "design_id BIGINT, file_location STRING"
@@ -290,9 +309,10 @@ def json_escapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proper.withColumn("reading", F.lit("proper")).unionByName(raw.withColumn("reading", F.lit("raw")))
 
 
-def csv_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+@tidy
+def csv_snapshot_roundtrip(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """CSV whose first column is an unnamed row number."""
-    path = scratch_path(spark, "customer-csv")
+    path = f"{folder}/customer-csv"
     customer = sample(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     customer.select(F.monotonically_increasing_id().alias(""), "*").write.csv(path, header=True)
     return source.read_csv(
@@ -300,15 +320,17 @@ def csv_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def parquet_snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "orders-parquet")
+@tidy
+def parquet_snapshot_roundtrip(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    path = f"{folder}/orders-parquet"
     columns = ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"]
     sink.write_parquet(sample(spark, sf_dir, "orders").select(*reversed(columns)), path)
     return source.read_parquet(spark, path, columns)
 
 
-def full_refresh_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = wh.FolderWarehouse(spark, scratch_path(spark, "warehouse"))
+@tidy
+def full_refresh_idempotent(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    target = wh.FolderWarehouse(spark, f"{folder}/warehouse")
     orders = sample(spark, sf_dir, "orders")
     for _ in range(2):
         target.refresh(batch_id(AT), {"orders": orders})
@@ -325,17 +347,19 @@ def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wh.preview(sample(spark, sf_dir, "customer").select("c_custkey", "c_name"), "c_custkey")
 
 
-def manifest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+@tidy
+def manifest_lines(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     region = sample(spark, sf_dir, "region")
     tables = {"region": region, "empty": region.where("false"), "orders": sample(spark, sf_dir, "orders")}
-    batch, zone = batch_id(AT), scratch_path(spark, "landed")
+    batch, zone = batch_id(AT), f"{folder}/landed"
     return sink.manifest_lines(extract_batch(spark, FrameSource(tables), Zones(zone, zone), batch, AT))
 
 
-def manifest_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+@tidy
+def manifest_states(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     region = sample(spark, sf_dir, "region")
     tables = {"region": region, "empty": region.where("false"), "orders": sample(spark, sf_dir, "orders")}
-    zone = scratch_path(spark, "landed")
+    zone = f"{folder}/landed"
     manifest = extract_batch(spark, FrameSource(tables), Zones(zone, zone), batch_id(AT), AT)
     return manifest.select("table_name", "status", "row_count")
 
@@ -361,9 +385,10 @@ def _later(orders: DataFrame) -> DataFrame:
     return orders.withColumns({"unit_price": F.col("unit_price") + raised, "last_updated": at})
 
 
-def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+@tidy
+def incremental_merge(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """Two extracts, the second of changes only; the merged snapshot, and how many rows the second landed."""
-    landed, whole = scratch_path(spark, "landed"), scratch_path(spark, "merged")
+    landed, whole = f"{folder}/landed", f"{folder}/merged"
     orders = operational(spark, sf_dir)["sales_order"]
     # Many orders share the newest moment of the first extract; some of these change in that moment.
     moment = F.lit(datetime(2029, 1, 1)).cast("timestamp_ntz")
@@ -378,13 +403,14 @@ def incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One row a table.
     rows = manifest.first().row_count
     return source.read_landed(spark, whole, batch_id(at), "sales_order").select(
-        "sales_order_id", "unit_price", "last_updated", F.lit(rows).alias("n_landed")
+        "sales_order_id", "unit_price", "last_updated", F.lit(rows).cast("bigint").alias("n_landed")
     )
 
 
-def stable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+@tidy
+def stable_keys(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """The fact of a second batch with late orders: known orders keep the key that the first batch gave them."""
-    zones = Zones(scratch_path(spark, "landed"), scratch_path(spark, "processed"))
+    zones = Zones(f"{folder}/landed", f"{folder}/processed")
     tables = operational(spark, sf_dir)
     orders = tables["sales_order"]
     options = replace(OPTIONS, lasting_keys=True)
@@ -499,39 +525,44 @@ def dq_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Whole batches
 
 
-def star_batch_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+@tidy
+def star_batch_refresh(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """Extract, transform, check and load one batch; rows per warehouse table."""
-    zones = Zones(scratch_path(spark, "landed"), scratch_path(spark, "processed"))
-    target = wh.FolderWarehouse(spark, scratch_path(spark, "warehouse"))
+    zones = Zones(f"{folder}/landed", f"{folder}/processed")
+    target = wh.FolderWarehouse(spark, f"{folder}/warehouse")
     run_batch(spark, FrameSource(operational(spark, sf_dir)), zones, target, AT, OPTIONS)
     return wh.table_counts(wh.dump(target))
 
 
-def loaded(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    zones = Zones(scratch_path(spark, "landed"), scratch_path(spark, "processed"))
-    target = wh.FolderWarehouse(spark, scratch_path(spark, "warehouse"))
+def loaded(spark: SparkSession, sf_dir: str, folder: str, name: str) -> DataFrame:
+    zones = Zones(f"{folder}/landed", f"{folder}/processed")
+    target = wh.FolderWarehouse(spark, f"{folder}/warehouse")
     run_batch(spark, FrameSource(operational(spark, sf_dir)), zones, target, AT, OPTIONS)
     return target.table(name)
 
 
-def loaded_fact_sales_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+@tidy
+def loaded_fact_sales_order(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """The fact as the warehouse holds it after a whole batch."""
-    return loaded(spark, sf_dir, "fact_sales_order")
+    return loaded(spark, sf_dir, folder, "fact_sales_order")
 
 
-def loaded_dim_counterparty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loaded(spark, sf_dir, "dim_counterparty")
+@tidy
+def loaded_dim_counterparty(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    return loaded(spark, sf_dir, folder, "dim_counterparty")
 
 
-def loaded_dim_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return loaded(spark, sf_dir, "dim_currency")
+@tidy
+def loaded_dim_currency(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    return loaded(spark, sf_dir, folder, "dim_currency")
 
 
-def stream_load_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+@tidy
+def stream_load_order(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """A newer, an older and a newest but broken batch land; what the warehouse then holds, and its revenue."""
-    zones = Zones(scratch_path(spark, "landed"), scratch_path(spark, "processed"))
-    target = wh.FolderWarehouse(spark, scratch_path(spark, "warehouse"))
-    progress = scratch_path(spark, "stream")
+    zones = Zones(f"{folder}/landed", f"{folder}/processed")
+    target = wh.FolderWarehouse(spark, f"{folder}/warehouse")
+    progress = f"{folder}/stream"
     tables = operational(spark, sf_dir)
     orders = tables["sales_order"]
     dearer = orders.withColumn("unit_price", F.col("unit_price") + 1)
@@ -549,9 +580,10 @@ def stream_load_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact.agg(F.lit(target.loaded()).alias("batch_id"), F.count(F.lit(1)).alias("n"), revenue)
 
 
-def snapshot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+@tidy
+def snapshot_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """Two landed batches, of the orders twice and once, transformed as they arrive; rows per processed table."""
-    zones = Zones(scratch_path(spark, "landed"), scratch_path(spark, "processed"))
+    zones = Zones(f"{folder}/landed", f"{folder}/processed")
     tables = operational(spark, sf_dir)
     # The earlier state of every order, a year before and under an id of its own, besides the order itself.
     before = tables["sales_order"].withColumns(
@@ -564,7 +596,7 @@ def snapshot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     for at, orders in ((datetime(2024, 1, 1), early), (datetime(2024, 1, 2), tables["sales_order"])):
         landed = FrameSource({**tables, "sales_order": orders})
         extract_batch(spark, landed, zones, batch_id(at), at, SALES_SOURCES)
-    stream = transform_arrivals(spark, zones, scratch_path(spark, "stream"), OPTIONS, clock=lambda: AT)
+    stream = transform_arrivals(spark, zones, f"{folder}/stream", OPTIONS, clock=lambda: AT)
     stream.awaitTermination()
     if stream.exception():
         raise stream.exception()

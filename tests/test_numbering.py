@@ -74,11 +74,13 @@ def test_hot_value_takes_the_file_way(spark, ways):
     assert ways == ["file"]
 
 
-def test_hot_copies_spread_over_files(spark, ways):
+def test_hot_copies_spread_over_files(spark, ways, tmp_path):
     """A third of all rows are copies of one row; no written file may hold them all."""
     copies = spark.range(600).select(F.lit(7).cast("bigint").alias("id"), F.lit("same").alias("v"))
     others = spark.range(1200).select("id", F.col("id").cast("string").alias("v"))
-    numbered = with_dense_key(copies.union(others).repartition(6), "n", "id", range_rows=50)
+    numbered = with_dense_key(
+        copies.union(others).repartition(6), "n", "id", range_rows=50, scratch=str(tmp_path / "numbers")
+    )
     assert ways == ["file"]
     spread = numbered.where("v = 'same'").groupBy(F.input_file_name()).count().collect()
     assert len(spread) > 5 and max(r["count"] for r in spread) < 300
