@@ -160,6 +160,18 @@ SELECT 'order' kind, o_orderkey id FROM orders UNION ALL SELECT 'customer', o_cu
 SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_orderkey % 5 = 0 THEN l_returnflag || '}, {"a": "]}'
   WHEN l_orderkey % 7 = 0 THEN '}\\' ELSE l_returnflag END AS note
 FROM lineitem
+""",
+    "json_drift": """
+WITH kept AS (SELECT event_id, event_id % 11 = 0 AS odd, value IS NOT NULL AND event_id % 5 <> 0 AS valued FROM events),
+drift AS (
+  SELECT 'event_id' AS column_name, 'retyped' AS change, 'bigint' AS declared, 'STRING' AS found, count(*) FILTER (odd) AS n
+  FROM kept
+  UNION ALL SELECT 'value', 'retyped', 'double', 'STRING', count(*) FILTER (odd) FROM kept
+  UNION ALL SELECT 'value', 'missing', 'double', NULL, count(*) FILTER (NOT odd AND NOT valued) FROM kept
+  UNION ALL SELECT 'created_at', 'missing', 'string', NULL, count(*) FROM kept
+  UNION ALL SELECT 'user_note', 'added', NULL, 'STRING', count(*) FILTER (NOT odd AND event_id % 3 = 0) FROM kept
+  UNION ALL SELECT 'users', 'added', NULL, 'ARRAY', count(*) FILTER (NOT odd AND event_id % 7 = 0) FROM kept)
+SELECT * FROM drift WHERE n > 0
 """,
     "json_escapes": """
 SELECT p_partkey design_id, '/usr/' || p_type file_location, 'proper' reading FROM part

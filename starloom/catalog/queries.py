@@ -21,6 +21,7 @@ from starloom.session import scratch_path, settle
 from starloom.sinks import snapshots as sink
 from starloom.sinks import warehouse as wh
 from starloom.sources import snapshots as source
+from starloom.sources.drift import landed_drift
 from starloom.sources.tables import FrameSource, changed_since, latest_per_key
 from starloom.specs import SALES_SOURCES, WAREHOUSE, ForeignKey
 from starloom.storage import batch_id, discard
@@ -297,6 +298,27 @@ def json_array_split(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame
     )
 
 
+@tidy
+def json_drift(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Fields of a landed snapshot that are not as declared: some added, some missing, some of another kind."""
+    key = F.col("event_id")
+    record = F.to_json(
+        F.struct(
+            key,
+            "event_type",
+            F.when(key % 5 != 0, F.col("value")).alias("value"),
+            F.when(key % 3 == 0, F.col("user_id").cast("string")).alias("user_note"),
+            F.when(key % 7 == 0, F.array("user_id")).alias("users"),
+        )
+    )
+    odd = F.format_string('{"event_id":"%d","event_type":null,"value":"high"}', key)
+    text = F.when(key % 11 == 0, odd).otherwise(record)
+    sample(spark, sf_dir, "events").select(text.alias("value")).write.text(f"{folder}/events")
+    return landed_drift(
+        spark, f"{folder}/events", "event_id BIGINT, event_type STRING, value DOUBLE, created_at STRING"
+    )
+
+
 @tidy
 def json_escapes(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """The same escaped snapshot read properly, and with every backslash kept."""
@@ -651,6 +673,7 @@ QUERIES: dict[str, Query] = {
         json_snapshot_roundtrip,
         json_array_scan,
         json_array_split,
+        json_drift,
         json_escapes,
         csv_snapshot_roundtrip,
         parquet_snapshot_roundtrip,

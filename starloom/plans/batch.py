@@ -25,6 +25,7 @@ from starloom.sinks.snapshots import (
     write_parquet,
 )
 from starloom.sinks.warehouse import Warehouse
+from starloom.sources.drift import SchemaDrift, source_drift
 from starloom.sources.snapshots import read_landed, read_processed
 from starloom.sources.tables import Source
 from starloom.specs import SALES_NAMES, SALES_SOURCES, WAREHOUSE
@@ -65,10 +66,24 @@ class BrokenConstraints(ValueError):
 
 
 def extract_batch(
-    spark: SparkSession, source: Source, zones: Zones, batch: str, at: datetime, tables: Iterable[str] | None = None
+    spark: SparkSession,
+    source: Source,
+    zones: Zones,
+    batch: str,
+    at: datetime,
+    tables: Iterable[str] | None = None,
+    declared: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Land every table of the source as JSON, then its manifest and log. Returns the manifest."""
+    """Land every table of the source as JSON, then its manifest and log. Returns the manifest.
+
+    With `declared` schemas, columns are compared with them first, and SchemaDrift is raised before anything is landed.
+    """
     names = list(tables or source.tables())
+    if declared is not None:
+        # A row for each difference of declared columns comes back.
+        found = source_drift(spark, source, names, declared).collect()
+        if found:
+            raise SchemaDrift(found)
     manifest = write_batch(
         spark, zones.landed, batch, {n: lambda n=n: source.read(n) for n in names}, write_json, at
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
@@ -13,14 +14,23 @@ from pyspark.sql import types as T
 
 from starloom.functions.text import is_public
 from starloom.specs import SOURCES
+from starloom.storage import children
 
 
 class Source(Protocol):
     def tables(self) -> list[str]: ...
 
+    def columns(self, table: str) -> dict[str, str]:
+        """Types by column name, without reading rows."""
+        ...
+
     def read(self, table: str) -> DataFrame: ...
 
 
+def types_of(df: DataFrame) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+
 @dataclass
 class FrameSource:
     """Tables given as DataFrames; names that start with an underscore are internal."""
@@ -30,6 +40,9 @@ class FrameSource:
     def tables(self) -> list[str]:
         return [name for name in self.frames if not name.startswith("_")]
 
+    def columns(self, table: str) -> dict[str, str]:
+        return types_of(self.frames[table])
+
     def read(self, table: str) -> DataFrame:
         return self.frames[table]
 
@@ -44,10 +57,51 @@ class CatalogSource:
     def tables(self) -> list[str]:
         return sorted(t.name for t in self.spark.catalog.listTables(self.database) if not t.name.startswith("_"))
 
+    def columns(self, table: str) -> dict[str, str]:
+        return types_of(self.read(table))
+
     def read(self, table: str) -> DataFrame:
         return self.spark.table(f"{self.database}.{table}" if self.database else table)
 
 
+@dataclass
+class FolderSource:
+    """Tables that lie in one folder, each in a file or folder of its own: JSON lines, CSV with a header, or Parquet.
+
+    A table's name is that of its file without the ending. Schemas are declared; a table without one is named, but cannot be
+    read. Parquet tells its own.
+    """
+
+    spark: SparkSession
+    root: str
+    format: str = "json"
+    schemas: Mapping[str, str] = field(default_factory=lambda: SOURCES)
+
+    ENDINGS = {"json": (".jsonl", ".json", ""), "csv": (".csv", ""), "parquet": (".parquet", "")}
+
+    def _files(self) -> dict[str, str]:
+        found = {}
+        for name in sorted(children(self.spark, self.root)):
+            ending = next(e for e in self.ENDINGS[self.format] if name.endswith(e))
+            if not name.startswith(("_", ".")) and (ending or "." not in name):
+                found[name.removesuffix(ending)] = f"{self.root.rstrip('/')}/{name}"
+        return found
+
+    def tables(self) -> list[str]:
+        return list(self._files())
+
+    def columns(self, table: str) -> dict[str, str]:
+        return types_of(self.read(table))
+
+    def read(self, table: str) -> DataFrame:
+        path = self._files()[table]
+        if self.format == "parquet":
+            return self.spark.read.parquet(path)
+        reader = self.spark.read.schema(self.schemas[table])
+        options = {"mode": "FAILFAST", **({"header": True} if self.format == "csv" else {})}
+        return reader.options(**options).format(self.format).load(path)
+
+
 class UnknownKey(ValueError):
     """A table whose scan cannot be divided, as no key of it is known."""
 
@@ -87,6 +141,9 @@ class JdbcSource:
         mine = (F.col("table_schema") == self.database_schema) & is_public("table_name")
         return [r.table_name for r in names.where(mine).select("table_name").orderBy("table_name").collect()]
 
+    def columns(self, table: str) -> dict[str, str]:
+        return types_of(self._load(query=f"SELECT * FROM {self.database_schema}.{table} WHERE 1 = 0"))
+
     def key(self, table: str) -> str:
         known = self.keys.get(table) or (SOURCES[table].split()[0] if table in SOURCES else None)
         if known is None:
