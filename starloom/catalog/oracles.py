@@ -294,6 +294,18 @@ SELECT table_name, rule, column_name, CAST(n AS BIGINT) n FROM found WHERE n > 0
 SELECT table_name, CAST(n AS BIGINT) n FROM ({STAR_COUNTS}
 UNION ALL SELECT 'fact_sales_order', count(*) FROM orders
 UNION ALL SELECT 'dim_date', count(*) FROM ({ORDER_DAYS}))
+""",
+    "loaded_all_targets": f"""
+SELECT table_name, CAST(n AS BIGINT) n, CAST(NULL AS DECIMAL(38,2)) amount FROM ({STAR_COUNTS}
+UNION ALL SELECT 'fact_sales_order', count(*) FROM orders
+UNION ALL SELECT 'fact_purchase_order', count(*) FROM orders
+UNION ALL SELECT 'fact_payment', count(*) FROM orders
+UNION ALL SELECT 'dim_transaction', count(*) FROM orders
+UNION ALL SELECT 'dim_payment_type', count(*) FROM region
+UNION ALL SELECT 'dim_date', count(*) FROM ({ORDER_DAYS}))
+UNION ALL
+SELECT r_name, count(*), CAST(sum(CAST(o_totalprice AS DECIMAL(28,2))) AS DECIMAL(38,2))
+FROM orders JOIN region ON r_regionkey = o_orderkey % 5 WHERE o_orderstatus = 'F' GROUP BY r_name
 """,
     "snapshot_stream": f"""
 WITH batches(batch_id) AS (VALUES ('20240101_000000'), ('20240102_000000')),

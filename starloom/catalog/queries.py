@@ -10,7 +10,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.catalog.roles import CURRENCIES, as_int, event_orders, operational, sales_order, sample
+from starloom.catalog.roles import CURRENCIES, as_int, event_orders, operational, purchasing, sales_order, sample
 from starloom.functions import dates, text
 from starloom.operators import quality, star
 from starloom.operators.numbering import with_dense_key
@@ -556,6 +556,21 @@ def star_batch_refresh(spark: SparkSession, sf_dir: str, folder: str) -> DataFra
     return wh.table_counts(wh.dump(target))
 
 
+@tidy
+def loaded_all_targets(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """One batch of all eleven targets, loaded in the order of their references: rows per table, and paid amounts."""
+    zones = Zones(f"{folder}/landed", f"{folder}/processed")
+    target = wh.FolderWarehouse(spark, f"{folder}/warehouse")
+    tables = {**operational(spark, sf_dir), **purchasing(spark, sf_dir)}
+    run_batch(spark, FrameSource(tables), zones, target, AT, replace(OPTIONS, targets=tuple(WAREHOUSE)))
+    counts = wh.table_counts(wh.dump(target, list(WAREHOUSE))).withColumn("amount", F.lit(None).cast("decimal(38,2)"))
+    paid = target.table("fact_payment").where("paid").join(target.table("dim_payment_type"), "payment_type_id")
+    by_type = paid.groupBy(F.col("payment_type_name").alias("table_name")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("payment_amount").cast("decimal(38,2)").alias("amount")
+    )
+    return counts.unionByName(by_type)
+
+
 def loaded(spark: SparkSession, sf_dir: str, folder: str, name: str) -> DataFrame:
     zones = Zones(f"{folder}/landed", f"{folder}/processed")
     target = wh.FolderWarehouse(spark, f"{folder}/warehouse")
@@ -696,6 +711,7 @@ QUERIES: dict[str, Query] = {
         dq_report,
         dq_dimensions,
         star_batch_refresh,
+        loaded_all_targets,
         loaded_fact_sales_order,
         loaded_dim_counterparty,
         loaded_dim_currency,

@@ -117,3 +117,52 @@ def event_orders(events: DataFrame) -> DataFrame:
         none.cast("string").alias("agreed_payment_date"),
         none.cast("int").alias("agreed_delivery_location_id"),
     )
+
+
+def purchasing(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Orders as purchases, transactions and payments, too; regions as payment types."""
+    orders = sample(spark, sf_dir, "orders")
+    key, customer, sold = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus") == "F"
+    at = [
+        (F.col("o_orderdate") + F.expr("INTERVAL '09:30:15.123456' HOUR TO SECOND")).alias("created_at"),
+        (F.col("o_orderdate") + F.expr("INTERVAL '1 10:00:00.5' DAY TO SECOND")).alias("last_updated"),
+    ]
+    return {
+        "purchase_order": sales_order(orders).select(
+            F.col("sales_order_id").alias("purchase_order_id"),
+            "created_at",
+            "last_updated",
+            "staff_id",
+            "counterparty_id",
+            F.format_string("item-%d", "design_id").alias("item_code"),
+            F.col("units_sold").alias("item_quantity"),
+            F.col("unit_price").alias("item_unit_price"),
+            "currency_id",
+            "agreed_delivery_date",
+            "agreed_payment_date",
+            "agreed_delivery_location_id",
+        ),
+        "transaction": orders.select(
+            as_int(key).alias("transaction_id"),
+            F.when(sold, "SALE").otherwise("PURCHASE").alias("transaction_type"),
+            as_int(F.when(sold, key)).alias("sales_order_id"),
+            as_int(F.when(~sold, key)).alias("purchase_order_id"),
+            *at,
+        ),
+        "payment_type": stamped(
+            sample(spark, sf_dir, "region"),
+            F.col("r_regionkey").alias("payment_type_id"),
+            F.col("r_name").alias("payment_type_name"),
+        ),
+        "payment": orders.select(
+            as_int(key).alias("payment_id"),
+            *at,
+            as_int(key).alias("transaction_id"),
+            as_int(customer).alias("counterparty_id"),
+            F.col("o_totalprice").alias("payment_amount"),
+            as_int(customer % 3).alias("currency_id"),
+            as_int(key % 5).alias("payment_type_id"),
+            sold.alias("paid"),
+            F.date_format(F.col("o_orderdate") + F.expr("INTERVAL '30' DAY"), "yyyy-MM-dd").alias("payment_date"),
+        ),
+    }

@@ -15,6 +15,11 @@ from starloom.specs import WAREHOUSE
 # The order columns whose days make up the date dimension, and the address columns that
 # dimensions carry.
 ORDER_DAYS = ("created_at", "last_updated", "agreed_delivery_date", "agreed_payment_date")
+FACT_DAYS = {
+    "sales_order": ORDER_DAYS,
+    "purchase_order": ORDER_DAYS,
+    "payment": ("created_at", "last_updated", "payment_date"),
+}
 ADDRESS_COLUMNS = ("address_line_1", "address_line_2", "district", "city", "postal_code", "country", "phone")
 
 

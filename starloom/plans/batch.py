@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
-from functools import partial
+from functools import partial, reduce
 from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,7 @@ from starloom.operators.numbering import with_dense_key, with_lasting_key
 from starloom.session import scratch_path, stage
 from starloom.sinks.snapshots import (
     complete_batches,
+    read_manifest,
     require_incomplete,
     write_batch,
     write_json,
@@ -28,7 +29,7 @@ from starloom.sinks.warehouse import Warehouse
 from starloom.sources.drift import SchemaDrift, source_drift
 from starloom.sources.snapshots import read_landed, read_processed
 from starloom.sources.tables import Source
-from starloom.specs import SALES_NAMES, SALES_SOURCES, WAREHOUSE
+from starloom.specs import FACT_KEYS, SALES_NAMES, TARGET_SOURCES, WAREHOUSE, load_order
 from starloom.storage import key_path
 
 
@@ -45,7 +46,7 @@ class Options:
     """How the transforms treat what the two readings of the rules disagree on, and whether keys outlast a batch.
 
     `lasting_keys`: an order keeps the record key of the batch that first had it. Otherwise keys are dense in every
-    batch.
+    batch. `targets`: the warehouse tables of a batch, the sales star or up to all eleven.
     """
 
     layout: str = "lines"
@@ -54,6 +55,7 @@ class Options:
     quarter: str = "thirds"
     nulls: str = "drop"
     lasting_keys: bool = False
+    targets: tuple[str, ...] = tuple(SALES_NAMES)
     currency_names: Mapping[str, str] = MappingProxyType(CURRENCY_NAMES)
 
 
@@ -108,57 +110,84 @@ def lasting(spark: SparkSession, zone: str, table: str, natural: str, batch: str
     return partial(with_lasting_key, known=known, keep=keep)
 
 
-def sales_star(
-    sources: dict[str, DataFrame],
+def star_tables(
+    sources: Mapping[str, DataFrame],
     options: Options = Options(),
     scratch: str | None = None,
-    number: Callable[..., DataFrame] = with_dense_key,
+    number: Callable[[str], Callable[..., DataFrame]] = lambda fact: with_dense_key,
 ) -> dict[str, Callable[[], DataFrame]]:
-    """How to build each table of the sales star schema. Numbering a fact runs jobs, hence the callables."""
-    orders, address = sources["sales_order"], sources["address"]
-    return {
-        "dim_date": lambda: star.dim_date(orders, quarter=options.quarter, nulls=options.nulls),
+    """How to build each target of the options. Numbering a fact runs jobs, hence the callables. `number` gives the
+    numbering of a fact."""
+
+    def dim_date() -> DataFrame:
+        mentioned = [star.days(sources[n], columns) for n, columns in star.FACT_DAYS.items() if n in sources]
+        return star.calendar(reduce(DataFrame.union, mentioned), options.quarter, options.nulls)
+
+    def fact(build: Callable[..., DataFrame], source: str, name: str) -> Callable[[], DataFrame]:
+        return lambda: build(sources[source], number=number(name), scratch=scratch)
+
+    builders = {
+        "dim_date": dim_date,
         "dim_design": lambda: star.dim_design(sources["design"]),
-        "dim_location": lambda: star.dim_location(address),
-        "dim_counterparty": lambda: star.dim_counterparty(sources["counterparty"], address, options.null_safe),
+        "dim_location": lambda: star.dim_location(sources["address"]),
+        "dim_counterparty": lambda: star.dim_counterparty(
+            sources["counterparty"], sources["address"], options.null_safe
+        ),
         "dim_staff": lambda: star.dim_staff(sources["staff"], sources["department"], options.null_safe),
         "dim_currency": lambda: star.dim_currency(sources["currency"], dict(options.currency_names)),
-        "fact_sales_order": lambda: star.fact_sales_order(orders, number=number, scratch=scratch),
+        "dim_payment_type": lambda: star.dim_payment_type(sources["payment_type"]),
+        "dim_transaction": lambda: star.dim_transaction(sources["transaction"]),
+        "fact_sales_order": fact(star.fact_sales_order, "sales_order", "fact_sales_order"),
+        "fact_purchase_order": fact(star.fact_purchase_order, "purchase_order", "fact_purchase_order"),
+        "fact_payment": fact(star.fact_payment, "payment", "fact_payment"),
     }
+    return {name: builders[name] for name in options.targets}
 
 
 def transform_batch(
     spark: SparkSession, zones: Zones, batch: str, at: datetime, options: Options = Options()
 ) -> DataFrame:
-    """Build the star schema of one landed batch as Parquet. Returns the manifest.
+    """Build the targets of one landed batch as Parquet. Returns the manifest.
 
-    Orders feed the dates, the counts behind the surrogate key and the fact. They are parsed from JSON
-    once, into a Parquet copy whose columns are then read one by one as needed.
+    Sources of facts feed the dates, the counts behind the surrogate key and the fact. They are parsed from JSON
+    once, into a Parquet copy whose columns are then read one by one as needed. A set of targets in which one refers to
+    another that is not there is refused.
     """
     require_incomplete(spark, zones.processed, batch)
+    load_order(options.targets)
     landed = {
         n: read_landed(spark, zones.landed, batch, n, layout=options.layout, raw_escapes=options.raw_escapes)
-        for n in SALES_SOURCES
+        for n in sorted({source for target in options.targets for source in TARGET_SOURCES[target]})
     }
     scratch = scratch_path(spark, f"batch-{batch}")
     try:
-        landed["sales_order"] = stage(landed["sales_order"], f"{scratch}/orders")
-        number = with_dense_key
-        if options.lasting_keys:
-            number = lasting(spark, zones.processed, "fact_sales_order", "sales_order_id", batch)
-        tables = sales_star(landed, options, scratch, number)
+        for n in star.FACT_DAYS:
+            if n in landed:
+                landed[n] = stage(landed[n], f"{scratch}/{n}")
+
+        def number(fact: str) -> Callable[..., DataFrame]:
+            known = options.lasting_keys
+            return lasting(spark, zones.processed, fact, FACT_KEYS[fact], batch) if known else with_dense_key
+
+        tables = star_tables(landed, options, scratch, number)
         return write_batch(spark, zones.processed, batch, tables, write_parquet, at)
     finally:
         storage.discard(spark, scratch)
 
 
-def check_batch(spark: SparkSession, zones: Zones, batch: str, names: Iterable[str] = SALES_NAMES) -> DataFrame:
+def targets_of(spark: SparkSession, zones: Zones, batch: str) -> list[str]:
+    """The tables of a processed batch, each after those that it refers to."""
+    return load_order(sorted(r.table_name for r in read_manifest(spark, zones.processed, batch).collect()))
+
+
+def check_batch(spark: SparkSession, zones: Zones, batch: str, names: Iterable[str] | None = None) -> DataFrame:
     """Every broken constraint of a processed batch: (table_name, rule, column_name, n)."""
+    names = targets_of(spark, zones, batch) if names is None else names
     return quality.violations({n: read_processed(spark, zones.processed, batch, n) for n in names})
 
 
 def load_batch(spark: SparkSession, zones: Zones, batch: str, warehouse: Warehouse) -> bool:
-    """Replace the warehouse by a processed batch, unless it holds a newer one already; whether it did.
+    """Replace the warehouse by all tables of a processed batch, unless it holds a newer one already; whether it did.
 
     All constraints are checked first; a batch that breaks one leaves the warehouse as it was. Loading the batch that
     is there once more is harmless.
@@ -167,10 +196,11 @@ def load_batch(spark: SparkSession, zones: Zones, batch: str, warehouse: Warehou
     if loaded is not None and batch < loaded:
         return False
     # At most one row per constraint comes back.
-    found = check_batch(spark, zones, batch).collect()
+    names = targets_of(spark, zones, batch)
+    found = check_batch(spark, zones, batch, names).collect()
     if found:
         raise BrokenConstraints(found)
-    processed = {n: read_processed(spark, zones.processed, batch, n) for n in SALES_NAMES}
+    processed = {n: read_processed(spark, zones.processed, batch, n) for n in names}
     tables = {
         n: quality.conform(df, WAREHOUSE[n], checked=True, time_type=warehouse.time_type)
         for n, df in processed.items()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.sinks.snapshots import each_at_once
-from starloom.specs import SALES_NAMES, WAREHOUSE
+from starloom.specs import SALES_NAMES, WAREHOUSE, load_order
 from starloom.storage import children, create, discard
 
 # Types that databases name otherwise.
@@ -214,7 +214,7 @@ class JdbcWarehouse:
         facts = [n for n in names if WAREHOUSE[n].foreign_keys]
         dimensions = [n for n in names if n not in facts]
         steps = ["BEGIN", *[f"DELETE FROM {n}" for n in facts]]
-        for name in [*dimensions, *facts]:
+        for name in load_order(names):
             spec, staged = WAREHOUSE[name], name + self.STAGING
             insert = (
                 f"INSERT INTO {name} ({', '.join(spec.names)}) "

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from graphlib import TopologicalSorter
 
 
 # Warehouse types whose processed snapshot holds another type.
@@ -191,5 +193,36 @@ EXTENSION_TABLES = (
 WAREHOUSE = {t.name: t for t in SALES_TABLES + EXTENSION_TABLES}
 SALES_NAMES = [t.name for t in SALES_TABLES]
 
+# The operational tables that each target is built from, and that facts are numbered by.
+TARGET_SOURCES = {
+    "dim_date": (),
+    "dim_design": ("design",),
+    "dim_location": ("address",),
+    "dim_counterparty": ("counterparty", "address"),
+    "dim_staff": ("staff", "department"),
+    "dim_currency": ("currency",),
+    "dim_payment_type": ("payment_type",),
+    "dim_transaction": ("transaction",),
+    "fact_sales_order": ("sales_order",),
+    "fact_purchase_order": ("purchase_order",),
+    "fact_payment": ("payment",),
+}
+FACT_KEYS = {"fact_sales_order": "sales_order_id", "fact_purchase_order": "purchase_order_id", "fact_payment": "payment_id"}
+
+
+class MissingReference(ValueError):
+    """Tables that refer to others which are not among them."""
+
+
+def load_order(names: Iterable[str], tables: Mapping[str, Table] | None = None) -> list[str]:
+    """The tables, each after those that it refers to. A cycle raises graphlib.CycleError, a gap MissingReference."""
+    tables, names = tables or WAREHOUSE, list(names)
+    graph = {name: sorted({k.table for k in tables[name].foreign_keys}) for name in names}
+    gaps = sorted({(name, to) for name, others in graph.items() for to in others if to not in graph})
+    if gaps:
+        raise MissingReference("; ".join(f"{name} refers to {to}, which is not loaded with it" for name, to in gaps))
+    return list(TopologicalSorter(graph).static_order())
+
+
 # The operational tables that the sales star schema is built from.
 SALES_SOURCES = ("sales_order", "design", "address", "counterparty", "staff", "department", "currency")
