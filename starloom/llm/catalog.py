@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 import public_tokenizers
@@ -40,8 +41,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: Session setting that holds the secret of the pseudonyms. Without it a new one is drawn, which nobody keeps.
+PSEUDONYM_KEY = "spark.starloom.pseudonyms.key"
+
+
 def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"))
+    key = spark.conf.get(PSEUDONYM_KEY, None) or secrets.token_hex(16)
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), key)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

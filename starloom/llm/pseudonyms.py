@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from starloom.llm.common import once
 
 ROUNDS = 8
-#: Replace by a secret; who knows it can undo the permutation.
-KEY = "starloom-pseudonyms"
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
 SECRET = r"(?<=(?i:password|passwd|secret|api_key|apikey|token)[=:])[^\s\"'#*$%&|!]++"
@@ -191,9 +189,11 @@ def pseudonym(text: Column, kind: Column, key: str) -> Column:
     )
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """One row per row of `docs`: doc_id, text, n_replaced, kinds (of what was replaced, in order).
 
+    `key` is a secret: who knows it can undo the permutation, and the same key gives the same pseudonyms.
+
     Emails (the part before the @), secrets after `password=` and the like, cloud keys, long hexadecimal numbers,
     IPv4 addresses, dates from 1800 to 2199, international phone numbers (all but the country code), national numbers
     of the form 3-2-4 and card numbers with a right check digit. What looks alike but is not valid stays. A date with

@@ -66,7 +66,7 @@ OPERATORS = {
     "language": lambda docs, labels, benchmark: language.identify(docs),
     "licences": lambda docs, labels, benchmark: licences.scan(docs),
     "decontaminate": lambda docs, labels, benchmark: decontaminate.find_leaks(docs, benchmark),
-    "pseudonyms": lambda docs, labels, benchmark: pseudonyms.pseudonymise(docs),
+    "pseudonyms": lambda docs, labels, benchmark: pseudonyms.pseudonymise(docs, "k"),
     "rules": lambda docs, labels, benchmark: rules.apply_rules(docs),
     "toxicity": lambda docs, labels, benchmark: toxicity.detect(docs, labels),
     "crf": lambda docs, labels, benchmark: crf.classify(docs, labels),
@@ -168,7 +168,7 @@ def test_pseudonyms_keep_formats_and_links(spark):
         'password=e3b3ed3cc8548923d6 token = "1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae" ssn 123-45-6789'
     )
     rows = [(1, text), (2, f"other words\n{text}"), (3, "nothing 12 to see"), (4, None), (5, "")]
-    found = by_id(pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id int, text string")))
+    found = by_id(pseudonyms.pseudonymise(spark.createDataFrame(rows, "doc_id int, text string"), "k"))
     made = found[1]["text"]
     assert found[2]["text"] == f"other words\n{made}"
     assert [found[n]["text"] for n in (3, 4, 5)] == ["nothing 12 to see", None, ""]
@@ -189,13 +189,13 @@ def test_pseudonyms_are_a_permutation(spark):
     days = spark.range(146097).select(
         F.col("id").alias("doc_id"), F.date_add(F.lit("1800-01-01").cast("date"), F.col("id").cast("int")).cast("string").alias("text")
     )
-    made = pseudonyms.pseudonymise(days)
+    made = pseudonyms.pseudonymise(days, "k")
     assert made.select("text").distinct().count() == 146097
     assert made.agg(F.min("text"), F.max("text")).first()[:] == ("1800-01-01", "2199-12-31")
     numbers = spark.range(10_000).select(
         F.col("id").alias("doc_id"), F.concat(F.lit("10.1."), F.col("id") % 100, F.lit("."), F.floor(F.col("id") / 100)).alias("text")
     )
-    assert pseudonyms.pseudonymise(numbers).select("text").distinct().count() == 10_000
+    assert pseudonyms.pseudonymise(numbers, "k").select("text").distinct().count() == 10_000
 
 
 def test_another_key_gives_other_pseudonyms(spark):
