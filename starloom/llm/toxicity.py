@@ -322,12 +322,14 @@ def learn(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> tuple[float,
         return counted.groupBy("half", "part").agg(F.sum("n").alias("n"))
 
     frequent = settle(counts_of(1))
-    names = frequent.where(F.col("n") >= MIN_DOCS).select("part").distinct()
-    in_toxic = Counter({(r["half"], r["part"]): r["n"] for r in frequent.join(names, "part").collect()})
-    wanted = spark.sparkContext.broadcast(frozenset(part for _, part in in_toxic))
+    often = frequent.where(F.col("n") >= MIN_DOCS)
+    wanted = spark.sparkContext.broadcast(frozenset(often.select("part").distinct().toPandas()["part"]))
     # Parts that a tenth of the clean documents shows not to be precise need not be counted in the rest.
-    in_some = Counter({(r["half"], r["part"]): r["n"] for r in counts_of(0, wanted, tenth=True).collect()})
-    open_ = {p for (h, p), n in in_toxic.items() if n >= max(MIN_DOCS, PRECISION * (n + in_some[h, p]))}
+    some = counts_of(0, wanted, tenth=True).withColumnRenamed("n", "some")
+    precise = F.col("n") >= PRECISION * (F.col("n") + F.coalesce("some", F.lit(0)))
+    kept = settle(often.join(some, ["half", "part"], "left").where(precise).select("part").distinct())
+    in_toxic = Counter({(r["half"], r["part"]): r["n"] for r in frequent.join(kept, "part").collect()})
+    open_ = {part for _, part in in_toxic}
     wanted = spark.sparkContext.broadcast(frozenset(open_))
     in_clean = Counter({(r["half"], r["part"]): r["n"] for r in counts_of(0, wanted).collect()})
     sharp = spark.sparkContext.broadcast(
