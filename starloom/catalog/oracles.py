@@ -338,6 +338,11 @@ SELECT n.n_name country, CAST(year(o.o_orderdate) AS INT) "year",
  CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) revenue
 FROM orders o LEFT JOIN (customer c JOIN nation n ON c.c_nationkey = n.n_nationkey) ON o.o_custkey = c.c_custkey
 GROUP BY 1, 2
+""",
+    "bi_months": """
+SELECT CAST(strftime(o_orderdate, '%Y%m') AS INT) "month", CAST(count(*) AS BIGINT) n, month(o_orderdate) < 4 rewritten,
+ CAST(sum(CAST(o_totalprice + CASE WHEN month(o_orderdate) < 4 THEN 1 ELSE 0 END AS DECIMAL(10,2))) AS DECIMAL(28,2)) revenue
+FROM orders WHERE year(o_orderdate) = 1997 GROUP BY 1, 3
 """,
 }
 

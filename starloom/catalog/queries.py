@@ -20,6 +20,7 @@ from starloom.plans.increments import extract_changes, merge_changes
 from starloom.session import scratch_path, settle
 from starloom.sinks import snapshots as sink
 from starloom.sinks import warehouse as wh
+from starloom.sinks.months import of_days
 from starloom.sources import snapshots as source
 from starloom.sources.drift import landed_drift
 from starloom.sources.tables import FrameSource, changed_since, latest_per_key
@@ -658,6 +659,33 @@ def bi_star_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insight.country_years(daily, days, dim_counterparty(spark, sf_dir))
 
 
+def _monthly(spark: SparkSession, sf_dir: str, folder: str) -> wh.FolderWarehouse:
+    """Two batches of sales in a warehouse by month; in the second, orders of some months of 1997 are dearer."""
+    zones = Zones(f"{folder}/landed", f"{folder}/processed")
+    target = wh.FolderWarehouse(spark, f"{folder}/warehouse", by_month={"fact_sales_order": "created_date"})
+    tables = operational(spark, sf_dir)
+    orders, at = tables["sales_order"], F.col("created_at")
+    raised = F.when((F.year(at) == 1997) & (F.month(at) < 4), 1.0).otherwise(0.0)
+    dearer = orders.withColumn("unit_price", F.col("unit_price") + raised)
+    options = replace(OPTIONS, lasting_keys=True)
+    for day, version in ((1, orders), (2, dearer)):
+        run_batch(spark, FrameSource({**tables, "sales_order": version}), zones, target, datetime(2024, 1, day), options)
+    return target
+
+
+@tidy
+def bi_months(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Revenue and orders by month of 1997, from the folders of that year; and whether the second batch wrote the month."""
+    target = _monthly(spark, sf_dir, folder)
+    dates = target.table("dim_date").where("year = 1997")
+    sold = of_days(target.table("fact_sales_order"), "created_date", dates).groupBy("in_month").agg(
+        F.sum("unit_price").cast("decimal(28,2)").alias("revenue"), F.count(F.lit(1)).alias("n")
+    )
+    listed = target.months("fact_sales_order").listed(target.version())
+    written = listed.select("in_month", (F.col("version") == target.version()).alias("rewritten"))
+    return sold.join(written, "in_month").withColumnRenamed("in_month", "month")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -719,5 +747,6 @@ QUERIES: dict[str, Query] = {
         stream_load_order,
         bi_heatmap,
         bi_star_rollup,
+        bi_months,
     )
 }

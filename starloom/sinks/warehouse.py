@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Protocol
@@ -16,6 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.sinks.months import MonthFolders
 from starloom.sinks.snapshots import each_at_once
 from starloom.specs import SALES_NAMES, WAREHOUSE, load_order
 from starloom.storage import children, create, discard
@@ -102,11 +104,20 @@ class Versioned:
 
 @dataclass
 class FolderWarehouse(Versioned):
-    """Pointers are small files, each created by an exclusive call of the file system."""
+    """Pointers are small files, each created by an exclusive call of the file system.
+
+    `by_month` names facts and the day that they are kept in folders by: a refresh writes their changed months only, and
+    `table` gives them with a month, for pruning. Keys that are numbered anew by every batch change all months; take
+    lasting ones.
+    """
 
     spark: SparkSession
     root: str
     time_type: bool = False
+    by_month: Mapping[str, str] = field(default_factory=dict)
+
+    def months(self, name: str) -> MonthFolders:
+        return MonthFolders(self.spark, f"{self.root}/months/{name}", self.by_month[name])
 
     def _numbers(self) -> list[int]:
         names = children(self.spark, f"{self.root}/switches")
@@ -120,12 +131,28 @@ class FolderWarehouse(Versioned):
         return create(self.spark, f"{self.root}/switches/{number:012d}.json", line + "\n")
 
     def _write(self, version: str, name: str, df: DataFrame) -> None:
-        df.write.parquet(f"{self.root}/versions/{version}/{name}")
+        if name in self.by_month:
+            # If another refresh has switched since this one began, this one loses anyway.
+            shared = [p.version for p in self._newest(1) if p.version in self._listed(name)]
+            self.months(name).write(version, df, shared[0] if shared else None)
+        else:
+            df.write.parquet(f"{self.root}/versions/{version}/{name}")
+
+    def _listed(self, name: str) -> set[str]:
+        return set(children(self.spark, f"{self.root}/months/{name}/listed"))
 
     def _drop(self, version: str, names: list[str]) -> None:
+        """Remove a version, but for months that the last two list too."""
+        kept = {p.version for p in self._newest(2)} - {version}
+        for name in self.by_month:
+            listed = self._listed(name)
+            if version in listed:
+                self.months(name).drop(version, sorted(kept & listed))
         discard(self.spark, f"{self.root}/versions/{version}")
 
     def table(self, name: str) -> DataFrame:
+        if name in self.by_month:
+            return self.months(name).table(self.version())
         return self.spark.read.parquet(f"{self.root}/versions/{self.version()}/{name}")
 
 
