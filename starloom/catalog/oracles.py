@@ -346,4 +346,5 @@ FROM orders WHERE year(o_orderdate) = 1997 GROUP BY 1, 3
 """,
 }
 
+ORACLES["dq_fk_bitmaps"] = ORACLES["dq_fk_counts"]
 ORACLES["loaded_dim_counterparty"] = ORACLES["star_dim_counterparty"]

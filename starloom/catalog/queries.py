@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from starloom.catalog.roles import CURRENCIES, as_int, event_orders, operational, purchasing, sales_order, sample
 from starloom.functions import dates, text
-from starloom.operators import quality, star
+from starloom.operators import bitmaps, quality, star
 from starloom.operators.numbering import with_dense_key
 from starloom.plans import insight
 from starloom.plans.batch import Options, Zones, extract_batch, run_batch, transform_batch
@@ -467,8 +467,9 @@ def dq_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.orphan_rows(lines, "l_partkey", sample(spark, sf_dir, "part").where("p_size < 40"), "p_partkey")
 
 
-def dq_fk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.orphan_counts(
+def _references(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[ForeignKey], dict[str, DataFrame]]:
+    """Lines, and some of the parts and suppliers that they refer to."""
+    return (
         sample(spark, sf_dir, "lineitem"),
         [ForeignKey("l_partkey", "part", "p_partkey"), ForeignKey("l_suppkey", "supplier", "s_suppkey")],
         {
@@ -478,6 +479,15 @@ def dq_fk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_fk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.orphan_counts(*_references(spark, sf_dir))
+
+
+def dq_fk_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the difference of two bitmaps of keys."""
+    return bitmaps.orphan_counts(*_references(spark, sf_dir))
+
+
 def dq_numeric_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = sample(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return quality.numeric_misfits(orders, F.col("o_totalprice") * 1000)
@@ -734,6 +744,7 @@ QUERIES: dict[str, Query] = {
         dq_not_null,
         dq_fk_orphans,
         dq_fk_counts,
+        dq_fk_bitmaps,
         dq_numeric_fit,
         dq_date_parse,
         dq_report,
