@@ -251,6 +251,18 @@ SELECT 'l_partkey' column_name, CAST(l_partkey AS VARCHAR) "value", CAST(count(*
 WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size < 40) GROUP BY l_partkey
 UNION ALL SELECT 'l_suppkey', CAST(l_suppkey AS VARCHAR), count(*) FROM lineitem
 WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 20) GROUP BY l_suppkey
+""",
+    "bucketed_lines": """
+WITH places AS (
+  SELECT l_orderkey, l_linenumber, count(*) n, sum(CAST(l_extendedprice AS DECIMAL(18,2))) amount FROM lineitem GROUP BY 1, 2),
+each AS (SELECT l_orderkey, sum(n) n_lines, sum(n - 1) n_repeated, sum(amount) amount FROM places GROUP BY 1)
+SELECT o_orderkey, o_orderstatus, CAST(coalesce(n_lines, 0) AS BIGINT) n_lines,
+ CAST(coalesce(n_repeated, 0) AS BIGINT) n_repeated, CAST(amount AS DECIMAL(28,2)) amount
+FROM orders LEFT JOIN each ON o_orderkey = l_orderkey
+""",
+    "stream_completeness": """
+SELECT CAST(user_id AS VARCHAR) || '-' || CAST((day(ts) - 1) // 7 AS VARCHAR) batch_id FROM events
+GROUP BY 1 HAVING count(DISTINCT event_type) = 5
 """,
     "dq_numeric_fit": """
 SELECT o_orderkey, o_totalprice FROM orders

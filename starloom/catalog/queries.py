@@ -18,6 +18,7 @@ from starloom.plans import insight
 from starloom.plans.batch import Options, Zones, extract_batch, run_batch, transform_batch
 from starloom.plans.increments import extract_changes, merge_changes
 from starloom.session import scratch_path, settle
+from starloom.sinks import buckets
 from starloom.sinks import snapshots as sink
 from starloom.sinks import warehouse as wh
 from starloom.sinks.months import of_days
@@ -27,10 +28,14 @@ from starloom.sources.tables import FrameSource, changed_since, latest_per_key
 from starloom.specs import SALES_SOURCES, WAREHOUSE, ForeignKey
 from starloom.storage import batch_id, discard
 from starloom.streaming.arrivals import load_arrivals, transform_arrivals
+from starloom.streaming.completeness import complete_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AT = datetime(2024, 1, 1)
+BUCKETS = 16
+# Kinds of events.
+EVENT_KINDS = ("click", "error", "purchase", "signup", "view")
 OPTIONS = Options(currency_names=CURRENCIES)
 
 
@@ -488,6 +493,29 @@ def dq_fk_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitmaps.orphan_counts(*_references(spark, sf_dir))
 
 
+@tidy
+def bucketed_lines(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Lines, repeated line numbers and amount of every order, from snapshots in buckets of the order key: each is
+    shuffled when it is written, and never again."""
+    label = folder.rsplit("-", 1)[-1]
+    paths = {f"{name}_{label}": f"{folder}/{name}" for name in ("orders", "lineitem")}
+    for (name, path), key in zip(paths.items(), ("o_orderkey", "l_orderkey"), strict=True):
+        buckets.write_buckets(sample(spark, sf_dir, path.rsplit("/", 1)[1]), path, key, BUCKETS, name)
+    with buckets.attached(spark, paths) as tables:
+        return settle(order_lines(*tables.values()))
+
+
+def order_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    amount = F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("amount")
+    places = lines.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"), amount)
+    each = places.groupBy("l_orderkey").agg(
+        F.sum("n").alias("n_lines"), F.sum(F.col("n") - 1).alias("n_repeated"), F.sum("amount").cast("decimal(28,2)").alias("amount")
+    )
+    return orders.join(each, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        "o_orderkey", "o_orderstatus", *[F.coalesce(n, F.lit(0)).alias(n) for n in ("n_lines", "n_repeated")], "amount"
+    )
+
+
 def dq_numeric_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = sample(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     return quality.numeric_misfits(orders, F.col("o_totalprice") * 1000)
@@ -628,6 +656,35 @@ def stream_load_order(spark: SparkSession, sf_dir: str, folder: str) -> DataFram
     return fact.agg(F.lit(target.loaded()).alias("batch_id"), F.count(F.lit(1)).alias("n"), revenue)
 
 
+@tidy
+def stream_completeness(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    """Events as reports: a batch is a user's week, its tables the kinds of events. Reports arrive in files of any order,
+    a third of them twice; the batches that are released."""
+    events = sample(spark, sf_dir, "events")
+    week = F.floor((F.dayofmonth("ts") - 1) / 7)
+    reports = events.select(
+        F.concat_ws("-", F.col("user_id").cast("string"), week.cast("string")).alias("batch_id"),
+        F.col("event_type").alias("table_name"),
+        F.col("ts").alias("written_at"),
+    )
+    reports.repartition(4, "written_at").write.parquet(f"{folder}/reports")
+    again = reports.where(events["event_id"] % 3 == 0)
+    again.repartition(2, "written_at").write.mode("append").parquet(f"{folder}/reports")
+    schema = "batch_id STRING, table_name STRING, written_at TIMESTAMP_NTZ"
+    arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{folder}/reports")
+    # The files divide time at random, so no report is late.
+    released = complete_batches(arriving, EVENT_KINDS, "3660 DAYS")
+    stream = (
+        released.writeStream.option("checkpointLocation", f"{folder}/progress")
+        .trigger(availableNow=True)
+        .start(f"{folder}/released", format="parquet")
+    )
+    stream.awaitTermination()
+    if stream.exception():
+        raise stream.exception()
+    return spark.read.schema("batch_id STRING").parquet(f"{folder}/released")
+
+
 @tidy
 def snapshot_stream(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
     """Two landed batches, of the orders twice and once, transformed as they arrive; rows per processed table."""
@@ -745,6 +802,7 @@ QUERIES: dict[str, Query] = {
         dq_fk_orphans,
         dq_fk_counts,
         dq_fk_bitmaps,
+        bucketed_lines,
         dq_numeric_fit,
         dq_date_parse,
         dq_report,
@@ -755,6 +813,7 @@ QUERIES: dict[str, Query] = {
         loaded_dim_counterparty,
         loaded_dim_currency,
         snapshot_stream,
+        stream_completeness,
         stream_load_order,
         bi_heatmap,
         bi_star_rollup,
