@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from starloom.streaming import completeness
 from starloom.streaming.completeness import complete_batches, verdicts
 
 SCHEMA = "batch_id STRING, table_name STRING, written_at TIMESTAMP"
@@ -72,3 +73,31 @@ def test_nulls_and_other_tables_are_no_reports(spark, tmp_path):
 def test_no_tables_are_refused(spark):
     with pytest.raises(ValueError, match="without tables"):
         verdicts(spark.createDataFrame([], SCHEMA), [], "1 HOUR")
+
+
+def test_batches_that_share_a_shard_keep_their_own_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(completeness, "SHARDS", 1)
+    files = [
+        [report("b0", "staff"), report("b1", "design"), report("b2", "design", 50), report("b2", "staff", 51)],
+        [report("b2", "sales_order", 55), report("b3", "design", 55)],
+        [report("b4", "design", 130)],
+        # Past the hour of b0 and b1 only: b3, in the same shard, is still open and then completed.
+        [report("b3", "staff", 131), report("b3", "sales_order", 132), report("b1", "staff", 6)],
+    ]
+    given_up = [("b0", False, ["design", "sales_order"]), ("b1", False, ["sales_order", "staff"])]
+    assert run(spark, tmp_path, files) == [*given_up, ("b2", True, []), ("b3", True, [])]
+
+
+def test_calls_of_python_are_bounded_by_shards(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(completeness, "SHARDS", 8)
+    files = [[report(f"b{k}", t) for k in range(300)] for t in TABLES]
+    assert run(spark, tmp_path, files, complete_batches) == sorted((f"b{k}",) for k in range(300))
+    keys = spark.read.format("statestore").load(f"{tmp_path}/progress").count()
+    assert keys <= 8
+
+
+def test_more_tables_than_bits_of_a_long(spark, tmp_path):
+    many = [f"t{k:03d}" for k in range(70)]
+    files = [[report("b1", t) for t in many[:60]], [report("b1", t) for t in many[60:]] + [report("b2", many[69])]]
+    query = lambda reports, _, within: verdicts(reports, many, within)
+    assert run(spark, tmp_path, files, query) == [("b1", True, [])]
