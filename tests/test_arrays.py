@@ -5,7 +5,9 @@ import random
 
 import pytest
 
+from starloom.session import settle
 from starloom.sinks.snapshots import write_json_array
+from starloom.sources import arrays
 from starloom.sources.arrays import NotOneArray, is_flat, read_array
 from starloom.sources.snapshots import read_json
 
@@ -105,3 +107,25 @@ def test_plain_splits_are_not_exchanged(spark, tmp_path, small_splits):
     path = landed(tmp_path, "plain.json", json.dumps(records(7, 300, 0)))
     plan = read_array(spark, path, SCHEMA)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+@pytest.mark.parametrize("rows_a_batch", [1, 3])
+@pytest.mark.parametrize("split_bytes", [60, 500, 10**7])
+def test_records_over_batches_and_splits(spark, tmp_path, small_splits, rows_a_batch, split_bytes):
+    rows = [*records(8, 120, 0.6), {"a": -1, "b": '}"' * 200 + "}\\", "c": []}, *records(9, 40, 1)]
+    path = landed(tmp_path, "rows.json", json.dumps(rows))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows_a_batch))
+    try:
+        assert found(read_array(spark, path, SCHEMA)) == expected(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_only_ends_of_splits_are_kept_and_exchanged(spark, tmp_path, monkeypatch):
+    """One split of many records, all of them cut: its pieces are joined where they are read."""
+    rows, kept = records(10, 2000, 1), []
+    monkeypatch.setattr(arrays, "settle", lambda df: kept.append(settle(df)) or kept[-1])
+    read = arrays.read_array(spark, landed(tmp_path, "cut.json", json.dumps(rows)), SCHEMA)
+    assert found(read) == expected(rows)
+    assert kept[0].count() < 20 and kept[1].count() <= 3 * kept[0].count()
