@@ -21,7 +21,7 @@ from starloom.sinks.snapshots import (
     read_manifest,
     require_incomplete,
     write_batch,
-    write_json,
+    write_landed,
     write_log,
     write_parquet,
 )
@@ -76,7 +76,7 @@ def extract_batch(
     tables: Iterable[str] | None = None,
     declared: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Land every table of the source as JSON, then its manifest and log. Returns the manifest.
+    """Land every table of the source as compressed JSON, then its manifest and log. Returns the manifest.
 
     With `declared` schemas, columns are compared with them first, and SchemaDrift is raised before anything is landed.
     """
@@ -87,7 +87,7 @@ def extract_batch(
         if found:
             raise SchemaDrift(found)
     manifest = write_batch(
-        spark, zones.landed, batch, {n: lambda n=n: source.read(n) for n in names}, write_json, at
+        spark, zones.landed, batch, {n: lambda n=n: source.read(n) for n in names}, write_landed, at
     )
     write_log(manifest, zones.landed, at)
     return manifest

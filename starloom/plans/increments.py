@@ -20,7 +20,7 @@ from starloom.sinks.snapshots import (
     complete_batches,
     read_manifest,
     write_batch,
-    write_json,
+    write_landed,
     write_log,
 )
 from starloom.sources.snapshots import read_json
@@ -78,7 +78,7 @@ def extract_changes(
         marks = spark.createDataFrame(rows, WATERMARK).coalesce(1)
         marks.write.mode("overwrite").option("ignoreNullFields", "false").json(watermark_path(zone, batch))
 
-    manifest = write_batch(spark, zone, batch, {n: lambda n=n: build(n) for n in names}, write_json, at, seal)
+    manifest = write_batch(spark, zone, batch, {n: lambda n=n: build(n) for n in names}, write_landed, at, seal)
     write_log(manifest, zone, at)
     return manifest
 
@@ -128,6 +128,6 @@ def merge_changes(
         return merged(old, new, (keys or {}).get(name) or new.columns[0])
 
     tables = {name: lambda name=name: build(name) for name in sorted(landed | earlier)}
-    return write_batch(spark, merged_zone, batch, tables, write_json, at)
+    return write_batch(spark, merged_zone, batch, tables, write_landed, at)
 
 

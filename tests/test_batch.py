@@ -1,4 +1,5 @@
 from datetime import datetime
+from pathlib import Path
 
 import frames
 import golden
@@ -11,7 +12,7 @@ from starloom.plans import batch as plan
 from starloom.session import scratch_root
 from starloom.sinks import snapshots as sink
 from starloom.sinks.warehouse import CatalogWarehouse, FolderWarehouse, JdbcWarehouse, dump, preview, table_counts
-from starloom.sources.snapshots import read_processed
+from starloom.sources.snapshots import read_landed, read_processed
 from starloom.sources.tables import FrameSource
 from starloom.specs import SALES_NAMES, SALES_SOURCES, SALES_TABLES, SOURCES, WAREHOUSE
 from starloom.streaming.arrivals import load_arrivals, transform_arrivals
@@ -256,3 +257,19 @@ def test_extracts_only_what_is_asked_for(spark, zones):
     source = FrameSource({**frames.consistent(spark), "payment_type": spark.range(1)})
     manifest = plan.extract_batch(spark, source, zones, BATCH, AT, SALES_SOURCES)
     assert sorted(r.table_name for r in manifest.collect()) == sorted(SALES_SOURCES)
+
+
+def test_landed_text_is_compressed_in_files_of_bounded_length(spark, zones, tmp_path, monkeypatch):
+    monkeypatch.setattr(sink, "LANDED_RECORDS", 300)
+    numbers = F.col("id").cast("int")
+    orders = frames.sales_order(spark).limit(1).drop("sales_order_id").crossJoin(
+        spark.range(0, 1000, numPartitions=1).select(numbers.alias("sales_order_id"))
+    ).coalesce(1)
+    plan.extract_batch(spark, FrameSource({"sales_order": orders}), zones, BATCH, AT)
+    sink.write_json(orders, str(tmp_path / "plain"))
+    landed = list(Path(storage.snapshot_path(zones.landed, BATCH, "sales_order")).glob("part-*"))
+    plain = sum(f.stat().st_size for f in (tmp_path / "plain").glob("part-*"))
+    assert len(landed) == 4 and sum(f.stat().st_size for f in landed) < plain / 3
+    names = orders.columns
+    read = read_landed(spark, zones.landed, BATCH, "sales_order").select(*names)
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, orders.collect()))
