@@ -68,13 +68,10 @@ def orphan_rows(df: DataFrame, column: str, dimension: DataFrame, key: str) -> D
     return df.join(missing, df[column] == missing["_missing"], "left_semi")
 
 
-def value_counts(df: DataFrame, kinds: dict[str, str | None]) -> DataFrame:
-    """(column_name, missing, value, n): how often every value of every column occurs.
-
-    Columns that are alike in type and declared type are grouped together, on one scan of just these columns, under
-    their names. Values are combined before the shuffle, so what moves is distinct values in their own
-    type. They become their declared type after that, then text; a value that does not fit is NULL without
-    being `missing`.
+def _alike_counts(df: DataFrame, kinds: dict[str, str | None]) -> list[tuple[list[str], DataFrame]]:
+    """For the columns that are alike in type and declared type: their names, and (_column, missing, value, n) by the
+    position of the name, in the declared type. One scan of just these columns each; values are combined before the
+    shuffle, so what moves is distinct values in their own type.
     """
     types = dict(df.dtypes)
     alike: dict[tuple[str, str | None], list[str]] = {}
@@ -82,13 +79,63 @@ def value_counts(df: DataFrame, kinds: dict[str, str | None]) -> DataFrame:
         alike.setdefault((types[column], kind), []).append(column)
     counted = []
     for (_, kind), columns in alike.items():
-        named = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("_value")) for c in columns]
-        each = df.select(F.explode(F.array(*named)).alias("_each")).select("_each.*")
-        grouped = each.groupBy("column_name", "_value").agg(F.count(F.lit(1)).alias("n"))
+        each = df.select(F.posexplode(F.array(*columns)).alias("_column", "_value"))
+        grouped = each.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("n"))
         value = converted(grouped, "_value", kind) if kind else F.col("_value")
         missing = F.col("_value").isNull().alias("missing")
-        counted.append(grouped.select("column_name", missing, value.cast("string").alias("value"), "n"))
-    return reduce(DataFrame.unionByName, counted)
+        counted.append((columns, grouped.select("_column", missing, value.alias("value"), "n")))
+    return counted
+
+
+def _name(columns: Sequence[str]) -> Column:
+    """The name at the position `_column`."""
+    return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("_column") + 1).alias("column_name")
+
+
+def value_counts(df: DataFrame, kinds: dict[str, str | None]) -> DataFrame:
+    """(column_name, missing, value, n): how often every value of every column occurs, as text.
+
+    A value that does not fit its declared type is NULL without being `missing`.
+    """
+    return reduce(
+        DataFrame.unionByName,
+        [
+            each.select(_name(columns), "missing", F.col("value").cast("string"), "n")
+            for columns, each in _alike_counts(df, kinds)
+        ],
+    )
+
+
+def judged_references(df: DataFrame, spec: Table, dimensions: dict[str, DataFrame]) -> DataFrame:
+    """(rule, column_name, n) for every value of a reference, where the rule is NULL for those that are sound.
+
+    Values meet the keys of the dimensions in the type that both have, so they stay where they were counted; only
+    where the types differ are they compared as text.
+    """
+    references = {r.column: r for r in spec.foreign_keys}
+    found = []
+    for columns, used in _alike_counts(df, {c.name: c.type for c in spec.columns if c.name in references}):
+        positions: dict[tuple[str, str], list[int]] = {}
+        for i, column in enumerate(columns):
+            positions.setdefault((references[column].table, references[column].key), []).append(i)
+        keys = [dimensions[table].select(F.col(key).alias("value")) for table, key in positions]
+        if {k.schema["value"].dataType for k in keys} != {used.schema["value"].dataType}:
+            keys = [k.select(F.col("value").cast("string")) for k in keys]
+            used = used.withColumn("value", F.col("value").cast("string"))
+        known = reduce(
+            DataFrame.unionByName,
+            [
+                k.select(F.explode(F.array(*[F.lit(i) for i in at])).alias("_column"), "value")
+                for k, at in zip(keys, positions.values(), strict=True)
+            ],
+        ).withColumn("known", F.lit(True))
+        # A key that a broken dimension repeats only multiplies rows that are no violations.
+        judged = used.join(known, ["_column", "value"], "left")
+        rule = F.expr(
+            "CASE WHEN missing THEN 'not_null' WHEN value IS NULL THEN 'type' WHEN known IS NULL THEN 'foreign_key' END"
+        )
+        found.append(judged.select(rule.alias("rule"), _name(columns), "n"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def known_references(references: Sequence[ForeignKey], dimensions: dict[str, DataFrame]) -> DataFrame:
@@ -180,15 +227,7 @@ def findings(df: DataFrame, spec: Table, tables: dict[str, DataFrame]) -> DataFr
 
     if references:
         dimensions = {r.table: conform(tables[r.table], WAREHOUSE[r.table], [r.key]) for r in spec.foreign_keys}
-        used = value_counts(df, {c.name: c.type for c in spec.columns if c.name in references})
-        known = known_references(spec.foreign_keys, dimensions).withColumn("known", F.lit(True))
-        # A key that a broken dimension repeats only multiplies rows that are no violations.
-        judged = used.join(known, ["column_name", "value"], "left").selectExpr(
-            "CASE WHEN missing THEN 'not_null' WHEN value IS NULL THEN 'type' WHEN known IS NULL THEN 'foreign_key' END"
-            " AS rule",
-            "column_name",
-            "n",
-        )
+        judged = judged_references(df, spec, dimensions)
         found = found.unionByName(judged.where("rule IS NOT NULL"))
     return found.selectExpr(f"'{spec.name}' AS table_name", "rule", "column_name", "n")
 

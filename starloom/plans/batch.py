@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from concurrent.futures import Future
 from dataclasses import dataclass
 from datetime import datetime
 from functools import partial, reduce
@@ -18,8 +19,10 @@ from starloom.operators.numbering import with_dense_key, with_lasting_key
 from starloom.session import scratch_path, stage
 from starloom.sinks.snapshots import (
     complete_batches,
+    each_at_once,
     read_manifest,
     require_incomplete,
+    under_way,
     write_batch,
     write_landed,
     write_log,
@@ -144,14 +147,34 @@ def star_tables(
     return {name: builders[name] for name in options.targets}
 
 
+class Awaited(Mapping[str, DataFrame]):
+    """Tables by name, some of which are still being made; asking for one of these waits until it is there."""
+
+    def __init__(self, ready: Mapping[str, DataFrame], coming: Mapping[str, Future[DataFrame]]):
+        self._ready, self._coming = ready, coming
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._coming[name].result() if name in self._coming else self._ready[name]
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._ready
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._ready)
+
+    def __len__(self) -> int:
+        return len(self._ready)
+
+
 def transform_batch(
     spark: SparkSession, zones: Zones, batch: str, at: datetime, options: Options = Options()
 ) -> DataFrame:
     """Build the targets of one landed batch as Parquet. Returns the manifest.
 
     Sources of facts feed the dates, the counts behind the surrogate key and the fact. They are parsed from JSON
-    once, into a Parquet copy whose columns are then read one by one as needed. A set of targets in which one refers to
-    another that is not there is refused.
+    once, into a Parquet copy whose columns are then read one by one as needed. The copies are made side by side, and each
+    target is built as soon as those it reads are there, so no step waits for the last tasks of another that it does not
+    need. A set of targets in which one refers to another that is not there is refused.
     """
     require_incomplete(spark, zones.processed, batch)
     load_order(options.targets)
@@ -161,16 +184,15 @@ def transform_batch(
     }
     scratch = scratch_path(spark, f"batch-{batch}")
     try:
-        for n in star.FACT_DAYS:
-            if n in landed:
-                landed[n] = stage(landed[n], f"{scratch}/{n}")
+        copies = {n: partial(stage, landed[n], f"{scratch}/{n}") for n in star.FACT_DAYS if n in landed}
 
         def number(fact: str) -> Callable[..., DataFrame]:
             known = options.lasting_keys
             return lasting(spark, zones.processed, fact, FACT_KEYS[fact], batch) if known else with_dense_key
 
-        tables = star_tables(landed, options, scratch, number)
-        return write_batch(spark, zones.processed, batch, tables, write_parquet, at)
+        with under_way(spark, copies) as staged:
+            tables = star_tables(Awaited(landed, staged), options, scratch, number)
+            return write_batch(spark, zones.processed, batch, tables, write_parquet, at)
     finally:
         storage.discard(spark, scratch)
 
@@ -186,6 +208,14 @@ def check_batch(spark: SparkSession, zones: Zones, batch: str, names: Iterable[s
     return quality.violations({n: read_processed(spark, zones.processed, batch, n) for n in names})
 
 
+def broken_constraints(spark: SparkSession, zones: Zones, batch: str, names: Iterable[str]) -> list:
+    """What `check_batch` finds, at most a row per constraint. Tables are checked side by side, each as a job of its own:
+    in one job for all, few tasks would be left to the last steps of each."""
+    tables = {n: read_processed(spark, zones.processed, batch, n) for n in names}
+    checks = [lambda n=n: quality.violations(tables, [n]).collect() for n in tables]
+    return [row for rows in each_at_once(spark, checks) for row in rows]
+
+
 def load_batch(spark: SparkSession, zones: Zones, batch: str, warehouse: Warehouse) -> bool:
     """Replace the warehouse by all tables of a processed batch, unless it holds a newer one already; whether it did.
 
@@ -195,9 +225,8 @@ def load_batch(spark: SparkSession, zones: Zones, batch: str, warehouse: Warehou
     loaded = warehouse.loaded()
     if loaded is not None and batch < loaded:
         return False
-    # At most one row per constraint comes back.
     names = targets_of(spark, zones, batch)
-    found = check_batch(spark, zones, batch, names).collect()
+    found = broken_constraints(spark, zones, batch, names)
     if found:
         raise BrokenConstraints(found)
     processed = {n: read_processed(spark, zones.processed, batch, n) for n in names}

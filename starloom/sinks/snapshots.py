@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from concurrent.futures import Future, ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import astuple, dataclass
 from datetime import datetime
 
@@ -81,6 +82,13 @@ def each_at_once(spark: SparkSession, tasks: Iterable[Callable[[], object]]) ->
         return [f.result() for f in futures]
 
 
+@contextmanager
+def under_way(spark: SparkSession, tasks: Mapping[str, Callable[[], object]]) -> Iterator[dict[str, Future]]:
+    """Start independent jobs and give their futures by name. All have ended when the block is left."""
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        yield {name: pool.submit(inheritable_thread_target(spark)(task)) for name, task in tasks.items()}
+
+
 def is_complete(spark: SparkSession, zone: str, batch: str) -> bool:
     return exists(spark, f"{manifest_path(zone, batch)}/_SUCCESS")
 

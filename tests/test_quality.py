@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starloom.operators import quality, star
-from starloom.specs import SALES_TABLES, WAREHOUSE, ForeignKey
+from starloom.specs import SALES_TABLES, WAREHOUSE, Column, ForeignKey, Table
 
 
 def star_of(spark, **changes):
@@ -91,6 +91,32 @@ def test_orphans(spark):
     assert counts.where("column_name = 'id'").count() == 4
 
 
+def test_references_meet_the_keys_in_their_own_type(spark):
+    fact = spark.createDataFrame(
+        [(1, 2, "2024-01-01"), (1, 9, "2024-01-02"), (None, 2, "2024-01-01T00:00:00"), (7, 2, "2024-02-30"), (7, 2, None)],
+        "a INT, b INT, day STRING",
+    )
+    columns = tuple(Column(n, t) for n, t in (("a", "INT"), ("b", "INT"), ("day", "DATE")))
+    references = tuple(ForeignKey(*r) for r in (("a", "d", "id"), ("b", "e", "id"), ("day", "days", "at")))
+    # A key that is there twice, and one that is null, are nothing to the rows that refer to others.
+    d, e = spark.createDataFrame([(1,), (1,), (None,)], "id INT"), spark.createDataFrame([(2,)], "id INT")
+    days = spark.sql("SELECT DATE '2024-01-01' AS at")
+    expected = [
+        ("foreign_key", "a", 2), ("foreign_key", "b", 1), ("foreign_key", "day", 1),
+        ("not_null", "a", 1), ("not_null", "day", 1), ("type", "day", 1),
+    ]
+
+    def judged(dimensions):
+        return quality.judged_references(fact, Table("f", columns, references), dimensions).where("rule IS NOT NULL")
+
+    found = judged({"d": d, "e": e, "days": days})
+    assert sorted(map(tuple, found.collect())) == expected
+    assert "as string" not in found._jdf.queryExecution().optimizedPlan().toString()
+    # Keys of another type are compared as text.
+    found = judged({"d": d, "e": e.withColumn("id", F.col("id").cast("string")), "days": days})
+    assert sorted(map(tuple, found.collect())) == expected
+
+
 def fits(value, precision, scale):
     with localcontext(prec=400):
         number = Decimal(repr(value)).quantize(Decimal(1).scaleb(-scale), ROUND_HALF_UP)

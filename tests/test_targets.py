@@ -3,6 +3,7 @@
 from dataclasses import replace
 from datetime import datetime
 from graphlib import CycleError
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,6 +34,35 @@ def test_all_eleven_targets_in_one_batch(spark, tmp_path):
     assert target.loaded() == "20240101_000000"
 
 
+def test_copies_and_checks_are_made_side_by_side(spark, tmp_path, monkeypatch):
+    zones, target = plan.Zones(f"{tmp_path}/landed", f"{tmp_path}/processed"), FolderWarehouse(spark, f"{tmp_path}/wh")
+    tables = {**operational(spark, SF), **purchasing(spark, SF)}
+    copies, checks = Barrier(3), Barrier(2)
+    stage, violations = plan.stage, plan.quality.violations
+
+    def staged(df, path):
+        copies.wait(60)
+        return stage(df, path)
+
+    def checked(known, names=None):
+        if set(names) & {"fact_sales_order", "fact_payment"}:
+            checks.wait(60)
+        return violations(known, names)
+
+    monkeypatch.setattr(plan, "stage", staged)
+    monkeypatch.setattr(plan.quality, "violations", checked)
+    # Rows that break constraints of two tables are all reported.
+    lost = {n: tables[n].withColumn("counterparty_id", F.lit(-1)) for n in ("sales_order", "payment")}
+    options = replace(OPTIONS, targets=tuple(WAREHOUSE))
+    with pytest.raises(plan.BrokenConstraints) as broken:
+        plan.run_batch(spark, FrameSource({**tables, **lost}), zones, target, datetime(2024, 1, 1), options)
+    n = tables["payment"].count()
+    assert sorted(map(tuple, broken.value.found)) == [
+        ("fact_payment", "foreign_key", "counterparty_id", n), ("fact_sales_order", "foreign_key", "counterparty_id", n),
+    ]
+    assert target.loaded() is None
+
+
 def test_order_of_loading():
     order = load_order(reversed(WAREHOUSE))
     assert sorted(order) == sorted(WAREHOUSE)
